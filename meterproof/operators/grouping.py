@@ -1,0 +1,39 @@
+"""Grouping helpers that stay safe when one key owns a large share of the rows."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+INLINE_LIMIT = 100
+HOT_SLOTS = 10_000
+
+
+def bounded_lists(
+    rows: DataFrame, keys: Sequence[str], value: Column, name: str, limit: int = INLINE_LIMIT
+) -> DataFrame:
+    """Sorted array of `value` per key, for keys of at most `limit` rows.
+
+    Arrays of larger keys would not fit a row, so those keys get none and stay
+    available as rows. A key is hot when it owns more than 1/HOT_SLOTS of the
+    rows; fewer than HOT_SLOTS keys can, which bounds the broadcast that drops
+    them before the shuffle. Every other key is small enough for one task.
+    """
+    keys = list(keys)
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    everything = rows.agg(F.count(F.lit(1)).alias("_all"))
+    hot = (
+        sizes.where(F.col("_n") > limit)
+        .crossJoin(F.broadcast(everything))
+        .where(F.col("_n") * HOT_SLOTS > F.col("_all"))
+        .select(*keys)
+    )
+    small = sizes.where(F.col("_n") <= limit).select(*keys)
+    return (
+        rows.select(*keys, value.alias("_value"))
+        .join(F.broadcast(hot), keys, "left_anti")
+        .join(small, keys, "left_semi")
+        .groupBy(*keys)
+        .agg(F.sort_array(F.collect_list("_value")).alias(name))
+    )
