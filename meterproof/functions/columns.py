@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, functions as F
 
 from meterproof.schemas import MONEY
@@ -18,9 +20,12 @@ def holds(predicate: Column) -> Column:
 
 def broken_rules(rules: dict[str, Column]) -> Column:
     """Codes of the rules a row breaks, in declaration order; empty when the row is fine."""
-    return F.array_compact(
-        F.array(*[F.when(~holds(rule), F.lit(code)) for code, rule in rules.items()])
-    )
+    codes = F.array(*[F.when(~holds(rule), F.lit(code)) for code, rule in rules.items()])
+    return F.array_except(codes, F.array(F.lit(None).cast("string")))
+
+
+def keeps_all(rules: dict[str, Column]) -> Column:
+    return reduce(lambda a, b: a & b, [holds(rule) for rule in rules.values()])
 
 
 def sha256(column: str | Column) -> Column:
@@ -42,16 +47,18 @@ def absent_at(document: Column, path: str) -> Column:
     return part.isNull() | F.is_variant_null(part)
 
 
-def exact_decimal_at(document: Column, path: str) -> Column:
+def kind_at(document: Column, path: str) -> Column:
+    """Type of the value at a path, e.g. BIGINT, DECIMAL(3,2), DOUBLE or STRING."""
+    return F.schema_of_variant(F.try_variant_get(document, path, "variant"))
+
+
+def plain_decimal(kind: Column, text: Column) -> Column:
     """Nonnegative plain decimal of at most six fractional digits; NULL for anything else.
 
-    Parsed JSON keeps decimals exactly but turns exponents into doubles, so the
-    value type is checked before the text form is.
+    Parsed JSON keeps plain decimals exactly and turns exponents into doubles, so the
+    kind of the value is asked as well as its text.
     """
-    kind = F.schema_of_variant(F.try_variant_get(document, path, "variant"))
-    text = text_at(document, path)
-    plain = (kind != F.lit("DOUBLE")) & text.rlike(PLAIN_DECIMAL)
-    return F.when(plain, text.try_cast(MONEY))
+    return F.when((kind != "DOUBLE") & text.rlike(PLAIN_DECIMAL), text.try_cast(MONEY))
 
 
 def micros_between(start: Column, end: Column) -> Column:

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 INLINE_LIMIT = 100
-HOT_SLOTS = 10_000
 
 
 def bounded_lists(
@@ -15,25 +14,16 @@ def bounded_lists(
 ) -> DataFrame:
     """Sorted array of `value` per key, for keys of at most `limit` rows.
 
-    Arrays of larger keys would not fit a row, so those keys get none and stay
-    available as rows. A key is hot when it owns more than 1/HOT_SLOTS of the
-    rows; fewer than HOT_SLOTS keys can, which bounds the broadcast that drops
-    them before the shuffle. Every other key is small enough for one task.
+    A larger list would not fit a row: those keys get NULL here and stay available
+    as rows. Ranking stops at limit + 1, and Spark applies that bound before the
+    shuffle as well, so a hot key sends a handful of rows from each task, not all.
     """
-    keys = list(keys)
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    everything = rows.agg(F.count(F.lit(1)).alias("_all"))
-    hot = (
-        sizes.where(F.col("_n") > limit)
-        .crossJoin(F.broadcast(everything))
-        .where(F.col("_n") * HOT_SLOTS > F.col("_all"))
-        .select(*keys)
-    )
-    small = sizes.where(F.col("_n") <= limit).select(*keys)
+    in_key = Window.partitionBy(*keys).orderBy("_value")
+    fits = F.count(F.lit(1)) <= limit
     return (
         rows.select(*keys, value.alias("_value"))
-        .join(F.broadcast(hot), keys, "left_anti")
-        .join(small, keys, "left_semi")
+        .withColumn("_rank", F.row_number().over(in_key))
+        .where(F.col("_rank") <= limit + 1)
         .groupBy(*keys)
-        .agg(F.sort_array(F.collect_list("_value")).alias(name))
+        .agg(F.when(fits, F.sort_array(F.collect_list("_value"))).alias(name))
     )

@@ -7,14 +7,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 from meterproof.functions.columns import (
     broken_rules,
     cents,
-    exact_decimal_at,
     filled,
     holds,
     hours,
     iso_utc,
+    keeps_all,
+    kind_at,
     kwh,
     micros_between,
     once,
+    plain_decimal,
     sha256,
     tally,
     text_at,
@@ -25,6 +27,12 @@ from meterproof.schemas import MONEY, ROLES
 
 SESSION = ("run_id", "session_id")
 IDENTITY = ("run_id", "release_role", "country_code", "party_id", "cdr_id")
+# Fixed value: the part of a reported record that is checked.
+CDR_DOCUMENT = (
+    "STRUCT<country_code: STRING, party_id: STRING, id: STRING, session_id: STRING, "
+    "start_date_time: STRING, end_date_time: STRING, currency: STRING, credit: STRING, "
+    "charging_periods: ARRAY<STRUCT<tariff_id: STRING>>>"
+)
 CHARGE = (
     "session_id",
     "started_at",
@@ -183,29 +191,44 @@ def cdr_land(responses: DataFrame) -> DataFrame:
 
 
 def _reported(cdrs: DataFrame) -> DataFrame:
-    """Typed fields of each raw record, parsed once from the original payload."""
-    document = F.col("_document")
-    periods = F.try_variant_get(document, "$.charging_periods", "array<variant>")
-    fields = F.struct(
-        document.isNotNull().alias("parsed"),
-        text_at(document, "$.country_code").alias("country"),
-        text_at(document, "$.party_id").alias("party"),
-        text_at(document, "$.id").alias("id"),
-        text_at(document, "$.session_id").alias("session_id"),
-        text_at(document, "$.start_date_time").try_cast("timestamp").alias("started_at"),
-        text_at(document, "$.end_date_time").try_cast("timestamp").alias("ended_at"),
-        text_at(document, "$.currency").alias("currency"),
-        exact_decimal_at(document, "$.total_energy").alias("actual_energy_kwh"),
-        exact_decimal_at(document, "$.total_time").alias("actual_duration_hours"),
-        exact_decimal_at(document, "$.total_cost.excl_vat").alias("actual_amount"),
-        text_at(document, "$.credit").alias("credit"),
-        F.size(periods).alias("periods"),
-        text_at(document, "$.charging_periods[0].tariff_id").alias("tariff"),
-    )
+    """Typed fields of each raw record, read once from the original payload.
+
+    Text fields come from one schema-driven parse. The three amounts come from the
+    parsed document, which keeps decimals exactly and refuses repeated keys.
+    """
+    exact = F.col("_exact")
+    amounts = {"energy": "$.total_energy", "duration": "$.total_time", "amount": "$.total_cost.excl_vat"}
+    read = {"parsed": exact.isNotNull(), "text": F.from_json("payload", CDR_DOCUMENT)}
+    for name, path in amounts.items():
+        read |= {f"{name}_text": text_at(exact, path), f"{name}_kind": kind_at(exact, path)}
+    typed = [
+        plain_decimal(F.col(f"{name}_kind"), F.col(f"{name}_text")).alias(name) for name in amounts
+    ]
     return (
-        cdrs.withColumn("_document", F.try_parse_json("payload"))
-        .withColumn("_fields", once(fields))
-        .select("run_id", "release_role", "payload", "payload_hash", "_fields.*")
+        cdrs.select("run_id", "release_role", "payload", "payload_hash")
+        .withColumn("_exact", F.try_parse_json("payload"))
+        .withColumns(read)
+        .withColumn("_fields", once(F.struct("parsed", "text", *typed)))
+        .select(
+            "run_id",
+            "release_role",
+            "payload",
+            "payload_hash",
+            F.col("_fields.parsed").alias("parsed"),
+            F.col("_fields.text.country_code").alias("country"),
+            F.col("_fields.text.party_id").alias("party"),
+            F.col("_fields.text.id").alias("id"),
+            F.col("_fields.text.session_id").alias("session_id"),
+            F.col("_fields.text.start_date_time").try_cast("timestamp").alias("started_at"),
+            F.col("_fields.text.end_date_time").try_cast("timestamp").alias("ended_at"),
+            F.col("_fields.text.currency").alias("currency"),
+            F.col("_fields.energy").alias("actual_energy_kwh"),
+            F.col("_fields.duration").alias("actual_duration_hours"),
+            F.col("_fields.amount").alias("actual_amount"),
+            F.col("_fields.text.credit").alias("credit"),
+            F.size("_fields.text.charging_periods").alias("periods"),
+            F.try_element_at("_fields.text.charging_periods", F.lit(1))["tariff_id"].alias("tariff"),
+        )
     )
 
 
@@ -235,9 +258,8 @@ def cdr_rules() -> dict[str, Column]:
 
 def cdr_validate(cdrs: DataFrame) -> DataFrame:
     """Every raw record with its typed fields and the contract rules it breaks. No shuffle."""
-    return _reported(cdrs).withColumn("reasons", broken_rules(cdr_rules())).withColumn(
-        "ok", F.size("reasons") == 0
-    )
+    rules = cdr_rules()
+    return _reported(cdrs).withColumns({"reasons": broken_rules(rules), "ok": keeps_all(rules)})
 
 
 def _normalised(cdrs: DataFrame) -> DataFrame:
@@ -268,15 +290,14 @@ def cdr_sources(cdrs: DataFrame) -> DataFrame:
     return _normalised(cdrs).select(*IDENTITY, "payload_hash").distinct()
 
 
-def _by_identity(cdrs: DataFrame) -> DataFrame:
+def _by_identity(records: DataFrame) -> DataFrame:
     """Records sharing an identity agree exactly when the smallest and largest charge are equal.
 
     That needs a fixed-size state per identity, however many copies arrive.
     """
     charge = F.struct(*CHARGE)
     return (
-        _normalised(cdrs)
-        .groupBy(*IDENTITY)
+        records.groupBy(*IDENTITY)
         .agg(
             F.min(charge).alias("charge"),
             F.max(charge).alias("_highest"),
@@ -292,13 +313,13 @@ def actual_ledger(cdrs: DataFrame) -> DataFrame:
 
     Different ids of one session stay apart. An identity with conflicting charges is
     left out here and listed by `cdr_conflicts`. The hash list is a left join on a
-    unique key, which the optimizer drops when the column is not read; identities
-    with more than INLINE_LIMIT payloads have a NULL list and live in `cdr_sources`.
+    unique key, which the optimizer drops when the column is not read. Identities with
+    more than INLINE_LIMIT payloads have a NULL list and live in `cdr_sources`.
     """
     hashes = bounded_lists(cdr_sources(cdrs), IDENTITY, F.col("payload_hash"), "_hashes")
     single = F.col("_first_hash") == F.col("_last_hash")
     return (
-        _by_identity(cdrs)
+        _by_identity(_normalised(cdrs))
         .where(~F.col("conflict"))
         .join(hashes, list(IDENTITY), "left")
         .select(
@@ -315,7 +336,7 @@ def actual_ledger(cdrs: DataFrame) -> DataFrame:
 
 def cdr_conflicts(cdrs: DataFrame) -> DataFrame:
     """Identities reported with different charges."""
-    return _by_identity(cdrs).where("conflict").select(*IDENTITY)
+    return _by_identity(_normalised(cdrs)).where("conflict").select(*IDENTITY)
 
 
 def cdr_quarantine(cdrs: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from meterproof.functions.columns import absent_at, broken_rules, filled, once, sha256, text_at
+from meterproof.functions.columns import absent_at, broken_rules, filled, keeps_all, once, sha256, text_at
 
 # Fixed value: layout of a tariff document.
 TARIFF_DOCUMENT = (
@@ -45,12 +45,9 @@ def tariff_rules(document: Column) -> dict[str, Column]:
 
 def tariff_validate(tariffs: DataFrame) -> DataFrame:
     """Every raw period with the contract rules it breaks. No shuffle."""
+    rules = tariff_rules(F.col("_document"))
     parsed = tariffs.withColumn("_document", once(F.try_parse_json("payload")))
-    return (
-        parsed.withColumn("reasons", broken_rules(tariff_rules(F.col("_document"))))
-        .withColumn("ok", F.size("reasons") == 0)
-        .drop("_document")
-    )
+    return parsed.withColumns({"reasons": broken_rules(rules), "ok": keeps_all(rules)}).drop("_document")
 
 
 def tariff_overlaps(tariffs: DataFrame) -> DataFrame:

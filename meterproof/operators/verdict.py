@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from meterproof.functions.columns import total
+from meterproof.functions.columns import broken_rules, total
 from meterproof.operators.assertions import release_grid
 from meterproof.schemas import COUNTS, DEFECTS, PROVENANCE, ROLES, RULES, RULE_VERSION, STATUSES
 
@@ -174,7 +174,7 @@ def problem_union(
     of_release = counts.where("required_assertions = 0").select(
         "run_id", F.lit("NO_REQUIRED_CHECKS").alias("problem_type"), "release_role"
     )
-    kinds = F.array_compact(F.array(*[F.when(found, kind) for kind, found in _key_problems().items()]))
+    kinds = broken_rules({kind: ~found for kind, found in _key_problems().items()})
     of_key = keys.select("run_id", F.explode(kinds).alias("problem_type"), *KEY[1:])
     stacked = of_key.unionByName(of_release, allowMissingColumns=True).unionByName(
         of_run.withColumn("release_role", nobody), allowMissingColumns=True

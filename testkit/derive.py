@@ -3,15 +3,26 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterproof.session import use_utc
+from meterproof.session import shared_dir, use_utc
 from testkit.recipes import recipes
 
 TABLES = ("nation", "customer", "supplier", "orders", "lineitem", "events", "part")
 
 
+# Tables of the pipeline, written once per session and directory so that operators
+# read stored tables, as they do in production, and not the recipes behind them.
+STORED = (
+    "events_raw", "input_session", "tariffs_raw", "tariffs_faulty", "responses", "cdrs_raw",
+    "run_manifest", "damage", "landing", "receipts", "batch_snapshots", "frozen", "observed",
+    "run_snapshots", "run_receipts", "task_states",
+)
+_written: dict[tuple[str, str, str], str] = {}
+
+
 class Derived:
     """Lazily built inputs for one scale-factor directory."""
 
@@ -22,28 +33,36 @@ class Derived:
         self._frames: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        """One test file is one split; spread it as a real table would be."""
-        rows = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        return rows.repartition(self.spark.sparkContext.defaultParallelism)
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
         if name not in self._frames:
-            self._frames[name] = self._build(name)
+            frame = self._build(name)
+            self._frames[name] = self._stored(name, frame) if name in STORED else frame
         return self._frames[name]
 
+    def _stored(self, name: str, frame: DataFrame) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _written:
+            path = f"{shared_dir(self.spark)}/meterproof-{uuid.uuid4().hex}/{name}"
+            frame.write.parquet(path)
+            _written[key] = path
+        return self.spark.read.schema(frame.schema).parquet(_written[key])
+
     def _build(self, name: str) -> DataFrame:
         if name not in self._recipes:
             if name in TABLES:
-                return self.table(name)
+                # One test file is one split; spread it as a large table would be.
+                return self.table(name).repartition(self.spark.sparkContext.defaultParallelism)
             raise AttributeError(name)
         body = self._recipes[name]
         order = list(self._recipes)
         sources = [*TABLES, *order[: order.index(name)]]
         used = {source for source in sources if re.search(rf"(FROM|JOIN) {source}\b", body)}
-        views = {source: f"mp_{source}" for source in used}
-        for source, view in views.items():
+        for source in used:
+            view = f"derived_{source}"
             getattr(self, source).createOrReplaceTempView(view)
             body = re.sub(rf"(FROM|JOIN) {source}\b", rf"\1 {view}", body)
         return self.spark.sql(body)
