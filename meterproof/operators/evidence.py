@@ -381,10 +381,15 @@ def capture_snapshot(
         "verdict",
         at.cast("timestamp").alias("captured_at"),
     )
-    frozen = assertions.join(fit.select("execution_id", "run_id"), "run_id").select(
-        "execution_id", "run_id", "session_id", "release_role", "assertion_id", "status",
+    result = (
+        "run_id", "session_id", "release_role", "assertion_id", "status",
         "expected_value", "actual_value", "difference",
     )
+    frozen = (
+        assertions.select(*result)
+        .join(fit.select("execution_id", "run_id"), "run_id")
+        .select("execution_id", *result)
+    )
     return snapshots, frozen
 
 

@@ -209,4 +209,97 @@ def recipes(engine: str) -> dict[str, str]:
       SELECT run_id, session_id, CASE WHEN k % 41 = 1 THEN 'drop' WHEN k % 43 = 2 THEN 'double'
         WHEN k % 47 = 3 THEN 'shadow' WHEN k % 53 = 4 THEN 'odd' ELSE 'none' END AS kind
       FROM sess"""
+
+    # Landed event lines of seven batches; a batch declares its own number of sessions.
+    r["batch_sizes"] = "SELECT o_orderkey % 7 AS b, count(*) AS n FROM orders GROUP BY o_orderkey % 7"
+    r["batch_events"] = f"""
+      SELECT k, seq, dmin, batch_id, n, 'txn-' || ident AS session_id, ident, event_type, event_time,
+        spent + CASE WHEN k % 167 = 10 AND seq = 2 THEN 1 ELSE 0 END AS spent,
+        CASE WHEN k % 173 = 11 AND seq = 1 THEN m0 - 5 ELSE m0 + (wh {div} 2) * seq END AS meter
+      FROM (SELECT *, 'b' || {s('k % 7')} AS batch_id,
+          substr({sha("'sessions-v1:b' || " + s('k % 7') + " || ':' || " + s(f'k {div} 7'))}, 1, 24) AS ident
+        FROM meter_events JOIN batch_sizes ON b = k % 7 WHERE NOT (k % 149 = 3 AND seq = 2)) x"""
+    # copy 0 is the first delivery; re-delivered and contradicting events arrive once more.
+    r["batch_copies"] = """
+      SELECT *, 0 AS copy FROM batch_events
+      UNION ALL SELECT *, 1 AS copy FROM batch_events WHERE k % 53 = 7 OR (k % 101 = 9 AND seq = 1)"""
+    escaped = f"replace(payload, {d['quote']}, {d['backslash']} || {d['quote']})"
+    r["landing"] = f"""
+      SELECT raw_record, CASE WHEN k % 151 = 5 AND seq = 1 THEN 'x' || {sha('raw_record')} ELSE {sha('raw_record')} END AS record_hash,
+        '/in/' || file_name AS source_file_path, file_name AS source_file_name,
+        {ts('2026-01-01 00:00:00')} AS source_file_modification_time, ingested_at
+      FROM (SELECT k, seq, 'events-' || batch_id || '-' || {s('copy')} || '.jsonl' AS file_name,
+          {seconds('event_time', '60 + 3600 * copy')} AS ingested_at,
+          '{{"schema_version":' || CASE WHEN k % 163 = 9 THEN '2' ELSE '1' END
+          || ',"run_id":"' || CASE WHEN k % 191 = 14 THEN 'other' ELSE 'generated-v1-' || batch_id END
+          || '","event_id":"msg-' || ident || '-' || lower(event_type)
+          || '","charging_station_id":"cs-' || ident || '","payload":"' || {escaped}
+          || '","generator":{{"version":"sessions-v1","batch_id":"' || batch_id || '","session_count":' || {s('n')}
+          || ',"seed":' || CASE WHEN k % 193 = 15 THEN '43' ELSE '42' END
+          || ',"tariff":{{"id":"generated-energy-v1","currency":"EUR","price_per_kwh":"0.45"}}}}'
+          || CASE WHEN k % 157 = 8 THEN ',"cdr_id":"c"' ELSE '' END
+          || CASE WHEN k % 179 = 12 THEN '' ELSE '}}' END AS raw_record
+        FROM (SELECT *, {event_payload.replace("|| " + s('meter'), "|| " + s("meter + CASE WHEN copy = 1 AND k % 101 = 9 THEN 1 ELSE 0 END"))} AS payload
+          FROM batch_copies) y) x"""
+
+    # One evaluation attempt per customer, with the frozen results of the customer's sessions.
+    r["attempts"] = f"""
+      SELECT c_custkey AS c, {s('1 + c_custkey % 3')} || ':' || {s('c_custkey')} || ':0' AS execution_id,
+        'b' || {s('c_custkey')} AS batch_id, 'exec-run-' || {s('c_custkey')} AS run_id,
+        {minutes(ts('2026-01-01 00:00:00'), 'c_custkey')} AS started_at
+      FROM customer"""
+    r["receipts"] = f"""
+      SELECT execution_id, batch_id, CASE WHEN c % 2 = 0 THEN 'healthy' ELSE 'amount_error' END AS candidate_mode,
+        'code' AS pipeline_hash, CASE WHEN c % 7 = 1 THEN 'FAILED' WHEN c % 11 = 2 THEN 'RUNNING' ELSE 'SUCCEEDED' END AS status,
+        CASE WHEN c % 7 = 1 THEN 'ValueError: damaged input' WHEN c % 11 = 2 THEN 'Validating generated inputs.' ELSE 'Captured.' END AS reason,
+        run_id, started_at, CASE WHEN c % 11 = 2 THEN NULL ELSE {minutes('started_at', '5')} END AS finished_at
+      FROM (SELECT * FROM attempts WHERE c % 17 <> 4 UNION ALL SELECT * FROM attempts WHERE c % 13 = 3 AND c % 17 <> 4) x"""
+    names = "'oracle_available', 'final_cdr_count', 'energy_match', 'duration_match', 'currency_match', 'tariff_match', 'amount_match'"
+    rule_names = names.split(", ")
+    by_number = " ".join(f"WHEN {i} THEN {name}" for i, name in enumerate(rule_names))
+    r["whole_frozen"] = f"""
+      SELECT c, k, '1' AS one, {s('1 + c % 3')} || ':' || {s('c')} || ':0' AS execution_id, 'exec-run-' || {s('c')} AS run_id,
+        session_id, release_role, CASE i {by_number} END AS assertion_id, cents,
+        CASE WHEN fault = 'missing' AND i > 1 THEN 'BLOCKED' WHEN fault = 'missing' AND i = 1 THEN 'FAIL'
+          WHEN fault = 'amount' AND i = 6 THEN 'FAIL' ELSE 'PASS' END AS status,
+        CASE WHEN i = 4 THEN 'EUR' WHEN i = 6 THEN {text('cents', 2)} || '0000' END AS expected_value,
+        CASE WHEN fault = 'missing' THEN NULL WHEN i = 4 THEN 'EUR'
+          WHEN i = 6 THEN {text("cents + CASE WHEN fault = 'amount' THEN 87 ELSE 0 END", 2)} || '0000' END AS actual_value,
+        CASE WHEN fault = 'missing' OR i <> 6 THEN NULL WHEN fault = 'amount' THEN CAST('0.870000' AS DECIMAL(38,6))
+          ELSE CAST('0.000000' AS DECIMAL(38,6)) END AS difference
+      FROM (SELECT *, {numbers(0, 6)} AS i FROM bills) x"""
+    # Some results were lost, doubled, renamed or moved to another run after capture.
+    columns = "execution_id, session_id, release_role, assertion_id, status, expected_value, actual_value, difference"
+    r["frozen"] = f"""
+      SELECT {columns}, CASE WHEN c % 47 = 11 THEN 'elsewhere' ELSE run_id END AS run_id FROM whole_frozen
+      WHERE NOT (k % 61 = 5 AND assertion_id = 'tariff_match')
+      UNION ALL SELECT {columns}, run_id FROM whole_frozen WHERE k % 67 = 6 AND assertion_id = 'energy_match'
+      UNION ALL SELECT execution_id, session_id, release_role, 'new_rule', status, expected_value, actual_value, difference, run_id
+        FROM whole_frozen WHERE k % 71 = 7 AND assertion_id = 'energy_match'"""
+    r["whole_snapshots"] = """
+      SELECT c, execution_id, run_id, count(DISTINCT session_id) AS session_count, count(*) AS required_assertions,
+        sum(CASE WHEN status = 'PASS' THEN 1 ELSE 0 END) AS passed_assertions,
+        sum(CASE WHEN status = 'FAIL' THEN 1 ELSE 0 END) AS failed_assertions,
+        sum(CASE WHEN status = 'BLOCKED' THEN 1 ELSE 0 END) AS blocked_assertions,
+        min(CASE WHEN release_role = 'candidate' OR status = 'PASS' THEN 'PASS' ELSE 'FAIL' END) AS baseline_verdict,
+        min(CASE WHEN release_role = 'baseline' OR status = 'PASS' THEN 'PASS' ELSE 'FAIL' END) AS candidate_verdict,
+        min(CASE WHEN status = 'PASS' THEN 'PASS' ELSE 'FAIL' END) AS verdict
+      FROM whole_frozen GROUP BY c, execution_id, run_id"""
+    r["batch_snapshots"] = f"""
+      SELECT execution_id, run_id, 'input' AS input_hash, CASE WHEN c % 19 = 5 THEN 'older' ELSE 'code' END AS pipeline_hash,
+        CAST(session_count AS BIGINT) AS session_count, CAST(14 * session_count AS BIGINT) AS assertion_count,
+        baseline_verdict, candidate_verdict, CASE WHEN c % 31 = 8 THEN 'PASS' ELSE verdict END AS verdict,
+        CAST(required_assertions AS BIGINT) AS required_assertions, CAST(passed_assertions AS BIGINT) AS passed_assertions,
+        CAST(failed_assertions AS BIGINT) AS failed_assertions, CAST(blocked_assertions AS BIGINT) AS blocked_assertions,
+        CAST(CASE WHEN c % 37 = 9 THEN 1 ELSE 0 END AS BIGINT) AS missing_assertions, CAST(0 AS BIGINT) AS duplicate_assertion_keys,
+        CAST(0 AS BIGINT) AS unexpected_assertions, CAST(0 AS BIGINT) AS invalid_assertions,
+        'Snapshot of ' || run_id AS reason,
+        {minutes(ts('2026-01-01 00:00:00'), 'c + CASE WHEN c % 43 = 10 THEN -60 ELSE 3 END')} AS evaluated_at,
+        {minutes(ts('2026-01-01 00:00:00'), 'c + 4')} AS captured_at
+      FROM (SELECT * FROM whole_snapshots WHERE c % 29 <> 7
+        UNION ALL SELECT * FROM whole_snapshots WHERE c % 23 = 6 AND c % 29 <> 7) x"""
+    r["task_states"] = f"""
+      SELECT execution_id, 'task-' || {s('t')} AS task_key, CASE WHEN c % 41 = 3 AND t = 2 THEN 'failed' ELSE 'success' END AS state
+      FROM (SELECT *, {numbers(1, 4)} AS t FROM attempts) x WHERE NOT (c % 53 = 4 AND t = 3)"""
+    r["requested"] = "SELECT execution_id, run_id, execution_id AS selector FROM attempts"
     return {name: body.strip() for name, body in r.items()}
