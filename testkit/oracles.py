@@ -98,9 +98,9 @@ _DOMAIN["norm"] = """
     lower(tariff) AS tariff_id, payload_hash
   FROM checked_cdrs WHERE len(reasons) = 0"""
 _DOMAIN["variants"] = """
-  SELECT * EXCLUDE (payload_hash), string_agg(DISTINCT payload_hash, ',' ORDER BY payload_hash) AS source_payload_hashes,
-    count(*) OVER (PARTITION BY run_id, release_role, country_code, party_id, cdr_id) AS versions
-  FROM norm GROUP BY ALL"""
+  SELECT *, count(*) OVER (PARTITION BY run_id, release_role, country_code, party_id, cdr_id) AS versions
+  FROM (SELECT * EXCLUDE (payload_hash), string_agg(DISTINCT payload_hash, ',' ORDER BY payload_hash) AS source_payload_hashes
+    FROM norm GROUP BY ALL)"""
 _DOMAIN["actual"] = "SELECT * EXCLUDE (versions), 'FINAL' AS cdr_type FROM variants WHERE versions = 1"
 _DOMAIN["conflicts"] = "SELECT DISTINCT run_id, release_role, country_code, party_id, cdr_id FROM variants WHERE versions > 1"
 _DOMAIN["grid"] = """
@@ -154,7 +154,7 @@ _DOMAIN["seen"] = """
   SELECT run_id, release_role, session_id, assertion_id, count(*) AS n, count(*) FILTER (status = 'PASS') AS p,
     count(*) FILTER (status = 'FAIL') AS f, count(*) FILTER (status = 'BLOCKED') AS b,
     count(*) FILTER (status NOT IN ('PASS', 'FAIL', 'BLOCKED')) AS i FROM damaged GROUP BY ALL"""
-_DOMAIN["both"] = """
+_DOMAIN["checks_both"] = """
   SELECT run_id, release_role, session_id, assertion_id, r.k IS NOT NULL AS req, coalesce(n, 0) AS n, coalesce(p, 0) AS p,
     coalesce(f, 0) AS f, coalesce(b, 0) AS b, coalesce(i, 0) AS i
   FROM (SELECT *, 1 AS k FROM required) r FULL JOIN seen USING (run_id, release_role, session_id, assertion_id)"""
@@ -168,8 +168,8 @@ _NAMES = [
 _DOMAIN["manifests"] = "SELECT run_id, count(*) AS manifest_rows FROM run_manifest GROUP BY run_id"
 _DOMAIN["counted"] = f"""
   SELECT run_id, release_role, coalesce(manifest_rows, 0) AS manifest_rows, {', '.join(f'coalesce({n}, 0) AS {n}' for n in _NAMES)}
-  FROM (SELECT DISTINCT run_id FROM both) CROSS JOIN (VALUES ('baseline'), ('candidate')) roles(release_role)
-    LEFT JOIN manifests USING (run_id) LEFT JOIN (SELECT run_id, release_role, {_SUMS} FROM both GROUP BY ALL) USING (run_id, release_role)"""
+  FROM (SELECT DISTINCT run_id FROM checks_both) CROSS JOIN (VALUES ('baseline'), ('candidate')) roles(release_role)
+    LEFT JOIN manifests USING (run_id) LEFT JOIN (SELECT run_id, release_role, {_SUMS} FROM checks_both GROUP BY ALL) USING (run_id, release_role)"""
 _DOMAIN["decided"] = f"""
   SELECT *, CASE WHEN manifest_rows = 1 AND required_assertions > 0 AND passed_assertions = required_assertions
     AND failed_assertions + blocked_assertions + missing_assertions + duplicate_assertion_keys + unexpected_assertions
@@ -178,12 +178,12 @@ _DOMAIN["problems"] = """
   SELECT DISTINCT run_id, 1 AS priority, 'MANIFEST_COUNT' AS problem_type, NULL AS release_role, NULL AS session_id, NULL AS assertion_id
     FROM counted WHERE manifest_rows <> 1
   UNION ALL SELECT run_id, 2, 'NO_REQUIRED_CHECKS', release_role, NULL, NULL FROM counted WHERE required_assertions = 0
-  UNION ALL SELECT run_id, 3, 'MISSING_ASSERTION', release_role, session_id, assertion_id FROM both WHERE req AND n = 0
-  UNION ALL SELECT run_id, 4, 'DUPLICATE_ASSERTION', release_role, session_id, assertion_id FROM both WHERE n > 1
-  UNION ALL SELECT run_id, 5, 'UNEXPECTED_ASSERTION', release_role, session_id, assertion_id FROM both WHERE NOT req
-  UNION ALL SELECT run_id, 6, 'INVALID_STATUS', release_role, session_id, assertion_id FROM both WHERE i > 0
-  UNION ALL SELECT run_id, 7, 'FAILED_ASSERTION', release_role, session_id, assertion_id FROM both WHERE f > 0
-  UNION ALL SELECT run_id, 8, 'BLOCKED_ASSERTION', release_role, session_id, assertion_id FROM both WHERE b > 0"""
+  UNION ALL SELECT run_id, 3, 'MISSING_ASSERTION', release_role, session_id, assertion_id FROM checks_both WHERE req AND n = 0
+  UNION ALL SELECT run_id, 4, 'DUPLICATE_ASSERTION', release_role, session_id, assertion_id FROM checks_both WHERE n > 1
+  UNION ALL SELECT run_id, 5, 'UNEXPECTED_ASSERTION', release_role, session_id, assertion_id FROM checks_both WHERE NOT req
+  UNION ALL SELECT run_id, 6, 'INVALID_STATUS', release_role, session_id, assertion_id FROM checks_both WHERE i > 0
+  UNION ALL SELECT run_id, 7, 'FAILED_ASSERTION', release_role, session_id, assertion_id FROM checks_both WHERE f > 0
+  UNION ALL SELECT run_id, 8, 'BLOCKED_ASSERTION', release_role, session_id, assertion_id FROM checks_both WHERE b > 0"""
 _DOMAIN["first"] = """
   SELECT run_id, priority, release_role, session_id, assertion_id, problem_type FROM (SELECT *, row_number() OVER (PARTITION BY run_id
     ORDER BY priority, release_role NULLS FIRST, session_id NULLS FIRST, assertion_id NULLS FIRST) AS place FROM problems) WHERE place = 1"""
@@ -443,8 +443,8 @@ _FINALS: dict[str, str] = {
       FROM expected JOIN lifecycle USING (run_id, session_id) CROSS JOIN (VALUES ('baseline'), ('candidate')) roles(role)""",
     "release_grid": "SELECT run_id, release_role, session_id FROM grid",
     "assertion_result": f"SELECT * REPLACE (CAST(evidence_cdrs AS BIGINT) AS evidence_cdrs) FROM asserted",
-    "missing_assertions": "SELECT run_id, release_role, session_id, assertion_id FROM both WHERE req AND n = 0",
-    "unexpected_assertions": f"SELECT run_id, release_role, session_id, assertion_id, {big('n', 'unexpected_assertions')} FROM both WHERE NOT req",
+    "missing_assertions": "SELECT run_id, release_role, session_id, assertion_id FROM checks_both WHERE req AND n = 0",
+    "unexpected_assertions": f"SELECT run_id, release_role, session_id, assertion_id, {big('n', 'unexpected_assertions')} FROM checks_both WHERE NOT req",
     "release_counts": f"SELECT run_id, release_role, {big('manifest_rows', 'manifest_rows')}, {_COUNTS}, release_verdict FROM decided",
     "problem_union": "SELECT run_id, priority, problem_type, release_role, session_id, assertion_id FROM problems",
     "first_problem": "SELECT run_id, priority, release_role, session_id, assertion_id, problem_type FROM first",
@@ -452,7 +452,7 @@ _FINALS: dict[str, str] = {
       CASE WHEN baseline_verdict = 'PASS' AND candidate_verdict = 'PASS' AND unexpected_assertions + invalid_assertions + duplicate_assertion_keys = 0 THEN 'PASS' ELSE 'FAIL' END AS verdict,
       problem_type || ': ' || CASE problem_type {' '.join(f"WHEN {q(kind)} THEN {q(text)}" for _, kind, text in v.PROBLEMS)} END AS reason,
       problem_type AS first_problem_type, release_role AS first_release_role, session_id AS first_session_id, assertion_id AS first_assertion_id
-      FROM (SELECT run_id, {_SUMS} FROM both GROUP BY run_id)
+      FROM (SELECT run_id, {_SUMS} FROM checks_both GROUP BY run_id)
       JOIN (SELECT run_id, max(CASE WHEN release_role = 'baseline' THEN release_verdict END) AS baseline_verdict, max(CASE WHEN release_role = 'candidate' THEN release_verdict END) AS candidate_verdict FROM decided GROUP BY run_id) USING (run_id)
       LEFT JOIN (SELECT run_id, max(scenario_id) AS scenario_id, max(seed) AS seed, max(baseline_sha) AS baseline_sha, max(candidate_sha) AS candidate_sha, max(tariff_hash) AS tariff_hash
         FROM run_manifest GROUP BY run_id HAVING count(*) = 1) USING (run_id) LEFT JOIN first USING (run_id)""",
