@@ -114,45 +114,76 @@ def _by_release(keys: DataFrame) -> DataFrame:
     )
 
 
-def _runs(manifests: DataFrame, inputs: list[DataFrame], roles: DataFrame) -> DataFrame:
-    """Every run named anywhere, with its manifest count and provenance."""
-    stacked = reduce(
-        DataFrame.unionByName, [frame.select("run_id").distinct() for frame in [manifests, roles, *inputs]]
-    ).distinct()
-    provenance = singleton_value(manifests, ["run_id"], list(PROVENANCE))
-    return stacked.join(provenance, "run_id", "left").withColumn(
-        "manifest_rows", F.coalesce("key_rows", F.lit(0))
-    ).drop("key_rows")
-
-
-def release_counts(
+def _by_run(
     manifests: DataFrame,
     expected: DataFrame,
     sessions: DataFrame,
     actual: DataFrame,
     keys: DataFrame,
 ) -> DataFrame:
-    """Both releases of every run with their counts and verdict."""
-    observed = _by_release(keys)
-    runs = _runs(manifests, [expected, sessions, actual], observed)
-    grid = runs.withColumn("release_role", F.explode(F.array(*[F.lit(role) for role in ROLES])))
-    counted = grid.join(observed, ["run_id", "release_role"], "left").select(
-        "run_id",
-        "release_role",
-        "manifest_rows",
-        *[F.coalesce(name, F.lit(0)).alias(name) for name in COUNTS],
+    """One row per run named anywhere: manifest, both releases, totals and first problem.
+
+    Release counts, manifests and bare run ids are stacked and grouped once, so runs
+    without manifest, sessions or results keep a row and nothing has to be joined.
+    Inputs are reduced to their distinct run ids before they are stacked.
+    """
+    counted = F.struct(*COUNTS)
+    stacked = _by_release(keys).select(
+        "run_id", "release_role", counted.alias("counts"), "first_problem"
+    )
+    provenance = manifests.select("run_id", F.struct(*PROVENANCE).alias("provenance"))
+    stacked = stacked.unionByName(provenance, allowMissingColumns=True)
+    for frame in (expected, sessions, actual):
+        stacked = stacked.unionByName(frame.select("run_id").distinct(), allowMissingColumns=True)
+    grouped = stacked.groupBy("run_id").agg(
+        F.count("provenance").alias("manifest_rows"),
+        F.when(F.count("provenance") == 1, F.max("provenance")).alias("provenance"),
+        *[F.max(F.when(F.col("release_role") == role, F.col("counts"))).alias(role) for role in ROLES],
+        *[total(f"counts.{name}").alias(name) for name in COUNTS],
+        F.min("first_problem").alias("key_problem"),
     )
+    return grouped.withColumns({role: _release(role) for role in ROLES})
+
+
+def _release(role: str) -> Column:
+    """Counts of one release, zeros when it has none, with its verdict in front."""
+    counts = {name: F.coalesce(f"{role}.{name}", F.lit(0)) for name in COUNTS}
     clean = reduce(
         lambda a, b: a & b,
-        [F.col(name) == 0 for name in ("failed_assertions", "blocked_assertions", *DEFECTS)],
+        [counts[name] == 0 for name in ("failed_assertions", "blocked_assertions", *DEFECTS)],
     )
     passed = (
         (F.col("manifest_rows") == 1)
-        & (F.col("required_assertions") > 0)
-        & (F.col("passed_assertions") == F.col("required_assertions"))
+        & (counts["required_assertions"] > 0)
+        & (counts["passed_assertions"] == counts["required_assertions"])
         & clean
     )
-    return counted.withColumn("release_verdict", F.when(passed, "PASS").otherwise("FAIL"))
+    return F.struct(
+        F.when(passed, "PASS").otherwise("FAIL").alias("verdict"),
+        *[value.alias(name) for name, value in counts.items()],
+    )
+
+
+def _counts(by_run: DataFrame) -> DataFrame:
+    releases = F.array(*[F.struct(F.lit(r).alias("release_role"), F.col(r).alias("c")) for r in ROLES])
+    return by_run.select("run_id", "manifest_rows", F.explode(releases).alias("r")).select(
+        "run_id",
+        "r.release_role",
+        "manifest_rows",
+        *[F.col(f"r.c.{name}").alias(name) for name in COUNTS],
+        F.col("r.c.verdict").alias("release_verdict"),
+    )
+
+
+def release_counts(
+    manifests: DataFrame,
+    expected: DataFrame,
+    sessions: DataFrame,
+    actual: DataFrame,
+    keys: DataFrame,
+) -> DataFrame:
+    """Both releases of every run with their counts and verdict."""
+    return _counts(_by_run(manifests, expected, sessions, actual, keys))
 
 
 def problem_union(
@@ -183,6 +214,25 @@ def problem_union(
     return stacked.withColumn("priority", priority).withColumn("message", _problem_text(priority, 2))
 
 
+def _first_problem() -> Column:
+    """The run's own problems come before those of its checks; NULL when there is none."""
+
+    def run_level(priority: int, role: str | None) -> Column:
+        none = F.lit(None).cast("string")
+        return F.struct(
+            F.lit(priority).alias("priority"),
+            (none if role is None else F.lit(role)).alias("release_role"),
+            none.alias("session_id"),
+            none.alias("assertion_id"),
+        )
+
+    return F.coalesce(
+        F.when(F.col("manifest_rows") != 1, run_level(1, None)),
+        *[F.when(F.col(f"{role}.required_assertions") == 0, run_level(2, role)) for role in ROLES],
+        F.col("key_problem"),
+    )
+
+
 def first_problem(
     manifests: DataFrame,
     expected: DataFrame,
@@ -194,37 +244,10 @@ def first_problem(
 
     A minimum over a struct replaces ranking a run's problems in one task.
     """
-    return _first(
-        release_counts(manifests, expected, sessions, actual, keys), _by_release(keys)
-    )
-
-
-def _first(counts: DataFrame, observed: DataFrame) -> DataFrame:
-    none = F.lit(None).cast("string")
-    of_release = F.when(
-        F.col("manifest_rows") != 1,
-        F.struct(
-            F.lit(1).alias("priority"),
-            none.alias("release_role"),
-            none.alias("session_id"),
-            none.alias("assertion_id"),
-        ),
-    ).when(
-        F.col("required_assertions") == 0,
-        F.struct(
-            F.lit(2).alias("priority"),
-            F.col("release_role").alias("release_role"),
-            none.alias("session_id"),
-            none.alias("assertion_id"),
-        ),
-    )
-    candidates = counts.select("run_id", of_release.alias("p")).unionByName(
-        observed.select("run_id", F.col("first_problem").alias("p"))
-    )
     return (
-        candidates.where("p IS NOT NULL")
-        .groupBy("run_id")
-        .agg(F.min("p").alias("p"))
+        _by_run(manifests, expected, sessions, actual, keys)
+        .select("run_id", _first_problem().alias("p"))
+        .where(F.col("p").isNotNull())
         .select("run_id", "p.*")
         .withColumn("problem_type", _problem_text(F.col("priority"), 1))
         .withColumn("message", _problem_text(F.col("priority"), 2))
@@ -241,53 +264,34 @@ def release_verdict(
 ) -> DataFrame:
     """One fail-closed decision per run, counting results of unknown releases as well."""
     keys = checked_keys(expected, sessions, actual, assertions)
-    observed = _by_release(keys)
-    counts = release_counts(manifests, expected, sessions, actual, keys)
-    by_role = counts.groupBy("run_id").agg(
-        F.max("manifest_rows").alias("manifest_rows"),
-        total("required_assertions").alias("required_assertions"),
-        total("missing_assertions").alias("missing_assertions"),
-        *[
-            F.max(
-                F.when(
-                    F.col("release_role") == role,
-                    F.struct(F.col("release_verdict").alias("verdict"), *COUNTS),
-                )
-            ).alias(role)
-            for role in ROLES
-        ],
-    )
-    whole_run = observed.groupBy("run_id").agg(
-        *[total(n).alias(n) for n in COUNTS if n not in ("required_assertions", "missing_assertions")]
-    )
-    provenance = singleton_value(manifests, ["run_id"], list(PROVENANCE)).drop("key_rows")
-    # From here on there is one row per run.
-    zero = [n for n in COUNTS if n not in ("required_assertions", "missing_assertions")]
     clean = reduce(
         lambda a, b: a & b,
         [F.col(n) == 0 for n in ("unexpected_assertions", "invalid_assertions", "duplicate_assertion_keys")],
     )
     both = reduce(lambda a, b: a & b, [F.col(f"{role}.verdict") == "PASS" for role in ROLES])
-    problem = _first(counts, observed).select("run_id", F.struct(
-        "problem_type", "run_id", "release_role", "session_id", "assertion_id", "message"
-    ).alias("problem"))
+    found = F.col("p").isNotNull()
+    kind, message = (_problem_text(F.col("p.priority"), i) for i in (1, 2))
+    problem = F.struct(
+        kind.alias("problem_type"),
+        F.col("run_id"),
+        F.col("p.release_role").alias("release_role"),
+        F.col("p.session_id").alias("session_id"),
+        F.col("p.assertion_id").alias("assertion_id"),
+        message.alias("message"),
+    )
     return (
-        by_role.join(provenance, "run_id", "left")
-        .join(whole_run, "run_id", "left")
-        .join(problem, "run_id", "left")
-        .withColumns({n: F.coalesce(n, F.lit(0)) for n in zero})
+        _by_run(manifests, expected, sessions, actual, keys)
+        .withColumn("p", _first_problem())
         .select(
             "run_id",
-            *PROVENANCE,
+            *[F.col(f"provenance.{name}").alias(name) for name in PROVENANCE],
             *COUNTS,
             *[F.col(f"{role}.verdict").alias(f"{role}_verdict") for role in ROLES],
             F.when(both & clean, "PASS").otherwise("FAIL").alias("verdict"),
-            F.when(
-                F.col("problem").isNotNull(), F.concat("problem.problem_type", F.lit(": "), "problem.message")
-            )
+            F.when(found, F.concat(kind, F.lit(": "), message))
             .otherwise(F.lit(ALL_PASSED))
             .alias("reason"),
-            F.when(F.col("problem").isNotNull(), F.to_json("problem")).alias("first_problem"),
+            F.when(found, F.to_json(problem)).alias("first_problem"),
             F.to_json(
                 F.struct(F.lit(RULE_VERSION).alias("rule_version"), "manifest_rows", *ROLES)
             ).alias("evidence"),

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from meterproof.session import shared_dir, use_utc
 from testkit.recipes import recipes
@@ -20,7 +22,7 @@ STORED = (
     "run_manifest", "damage", "landing", "receipts", "batch_snapshots", "frozen", "observed",
     "run_snapshots", "run_receipts", "task_states",
 )
-_written: dict[tuple[str, str, str], str] = {}
+_written: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
 class Derived:
@@ -39,17 +41,21 @@ class Derived:
         if name.startswith("_"):
             raise AttributeError(name)
         if name not in self._frames:
-            frame = self._build(name)
-            self._frames[name] = self._stored(name, frame) if name in STORED else frame
+            self._frames[name] = (
+                self.store(name, lambda: self._build(name)) if name in STORED else self._build(name)
+            )
         return self._frames[name]
 
-    def _stored(self, name: str, frame: DataFrame) -> DataFrame:
+    def store(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """Writes a table to the shared folder the first time and reads it from there."""
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key not in _written:
+            frame = build()
             path = f"{shared_dir(self.spark)}/meterproof-{uuid.uuid4().hex}/{name}"
             frame.write.parquet(path)
-            _written[key] = path
-        return self.spark.read.schema(frame.schema).parquet(_written[key])
+            _written[key] = (path, frame.schema)
+        path, schema = _written[key]
+        return self.spark.read.schema(schema).parquet(path)
 
     def _build(self, name: str) -> DataFrame:
         if name not in self._recipes:

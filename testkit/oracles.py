@@ -360,7 +360,7 @@ _FINALS: dict[str, str] = {
     "landing_stream": "SELECT v AS raw_record, sha256(v) AS record_hash FROM (SELECT concat_ws('|', CAST(event_id AS VARCHAR), event_type, props) AS v FROM events)",
     "landing_projection": "SELECT raw_record, sha256(raw_record) AS record_hash FROM landing",
     "landing_batch_slice": """SELECT source_file_name, record_hash FROM landing WHERE source_file_name = 'events-b3-0.jsonl'
-      OR (json_valid(raw_record) AND raw_record LIKE '%"run_id":"generated-v1-b3"%') OR raw_record LIKE '%"batch_id":"b3"%'""",
+      OR (json_valid(raw_record) AND (raw_record LIKE '%"run_id":"generated-v1-b3"%' OR raw_record LIKE '%"batch_id":"b3"%'))""",
     "landing_audit": f"""SELECT source_file_path, source_file_name, {big('count(*)', 'landed_rows')}, {big('count(DISTINCT record_hash)', 'distinct_record_hashes')},
       epoch_us(min(ingested_at)) AS first_ingested_at_us, epoch_us(max(ingested_at)) AS last_ingested_at_us FROM landing GROUP BY ALL""",
     "landing_integrity": f"""SELECT {big('count(*) FILTER (record_hash <> sha256(raw_record))', 'invalid_record_hashes')}, CAST(0 AS BIGINT) AS missing_source_metadata FROM landing""",

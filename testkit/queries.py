@@ -55,24 +55,41 @@ class Chain:
         self.d = Derived(spark, sf_dir)
         self.spark = spark
 
+    # Results of a layer are stored before the next layer reads them, as its jobs would.
+
     @cached_property
     def sessions(self):
-        return ses.session_lifecycle(self.d.events_raw)
+        return self.d.store("sessions", self.compute_sessions)
 
     @cached_property
     def history(self):
-        return tar.tariff_history(self.d.tariffs_raw)
+        return self.d.store("history", self.compute_history)
 
     @cached_property
     def expected(self):
-        return led.expected_ledger(self.d.input_session, self.sessions, self.history)
+        return self.d.store("expected", self.compute_expected)
 
     @cached_property
     def actual(self):
-        return led.actual_ledger(self.d.cdrs_raw)
+        return self.d.store("actual", self.compute_actual)
 
     @cached_property
     def assertions(self):
+        return self.d.store("assertions", self.compute_assertions)
+
+    def compute_sessions(self):
+        return ses.session_lifecycle(self.d.events_raw)
+
+    def compute_history(self):
+        return tar.tariff_history(self.d.tariffs_raw)
+
+    def compute_expected(self):
+        return led.expected_ledger(self.d.input_session, self.sessions, self.history)
+
+    def compute_actual(self):
+        return led.actual_ledger(self.d.cdrs_raw)
+
+    def compute_assertions(self):
         return asr.assertion_result(self.expected, self.sessions, self.actual)
 
     @cached_property
@@ -325,7 +342,7 @@ def _adapted(name: str, drop: tuple[str, ...] = ()):
 
 
 def _actual(c: Chain) -> DataFrame:
-    return times(c.actual.withColumn("source_payload_hashes", joined("source_payload_hashes")))
+    return times(c.compute_actual().withColumn("source_payload_hashes", joined("source_payload_hashes")))
 
 
 def _evidence_rows(c: Chain) -> DataFrame:
@@ -337,7 +354,7 @@ def _evidence_rows(c: Chain) -> DataFrame:
 
 
 def _assertion_columns(c: Chain) -> DataFrame:
-    return c.assertions.withColumn(
+    return c.compute_assertions().withColumn(
         "evidence_cdrs", F.get_json_object("evidence", "$.cdr_count").cast("bigint")
     ).drop("evidence")
 
@@ -411,7 +428,7 @@ _BUILDERS: dict[str, Callable[[Chain], DataFrame]] = {
             .alias("selector")
         ),
     ),
-    "session_lifecycle": lambda c: times(c.sessions),
+    "session_lifecycle": lambda c: times(c.compute_sessions()),
     "tariff_validate": lambda c: times(
         tar.tariff_validate(c.d.tariffs_faulty).select(
             "run_id", "tariff_id", "valid_from", "ok", joined("reasons")
@@ -421,14 +438,14 @@ _BUILDERS: dict[str, Callable[[Chain], DataFrame]] = {
         tar.tariff_overlaps(c.d.tariffs_raw).select("run_id", "tariff_id", "valid_from", "valid_to", "next_valid_from")
     ),
     "tariff_history": lambda c: times(
-        c.history.withColumn("price", F.col("price_components")[0]["price"])
+        c.compute_history().withColumn("price", F.col("price_components")[0]["price"])
         .withColumn("components", F.size("price_components").cast("bigint"))
         .drop("price_components")
     ),
     "lineage_check": _lineage,
     "registry_check": _registry,
     "pricing_preconditions": lambda c: led.pricing_preconditions(c.d.input_session, c.sessions, c.history),
-    "expected_ledger": lambda c: times(c.expected),
+    "expected_ledger": lambda c: times(c.compute_expected()),
     "join_inner": lambda c: c.sessions.join(c.d.input_session, ["run_id", "session_id"]).select(
         "run_id", "session_id", "tariff_id", "status"
     ),
