@@ -36,15 +36,36 @@ PROVENANCE = ("scenario_id", "seed", "baseline_sha", "candidate_sha", "tariff_ha
 MONEY = T.DecimalType(18, 6)
 
 
-def _table(ddl: str, optional: str = "") -> T.StructType:
-    """Schema from DDL in which every column is required unless listed as optional."""
+_TYPES = {
+    "STRING": T.StringType(),
+    "BIGINT": T.LongType(),
+    "INT": T.IntegerType(),
+    "TIMESTAMP": T.TimestampType(),
+    "DECIMAL(18,2)": T.DecimalType(18, 2),
+    "DECIMAL(18,6)": MONEY,
+    "DECIMAL(37,12)": T.DecimalType(37, 12),
+    "DECIMAL(38,6)": T.DecimalType(38, 6),
+    "STRINGS": T.ArrayType(T.StringType()),
+    "COMPONENTS": T.ArrayType(
+        T.StructType()
+        .add("type", T.StringType())
+        .add("price", MONEY)
+        .add("step_size", T.IntegerType())
+    ),
+}
+
+
+def _table(columns: str, optional: str = "") -> T.StructType:
+    """Schema from "name TYPE, ..." in which every column is required unless listed as optional.
+
+    Needs no session, so that schemas can be imported before one exists.
+    """
     nullable = set(optional.split())
-    return T.StructType(
-        [T.StructField(f.name, f.dataType, f.name in nullable) for f in T.StructType.fromDDL(ddl)]
-    )
+    fields = [column.split() for column in columns.split(", ")]
+    return T.StructType([T.StructField(name, _TYPES[kind], name in nullable) for name, kind in fields])
 
 
-_COUNT_DDL = ", ".join(f"{name} BIGINT" for name in COUNTS)
+_COUNT_COLUMNS = ", ".join(f"{name} BIGINT" for name in COUNTS)
 
 TABLES: dict[str, T.StructType] = {
     "run_manifest": _table(
@@ -90,7 +111,7 @@ TABLES: dict[str, T.StructType] = {
     ),
     "tariff_history": _table(
         "run_id STRING, tariff_id STRING, valid_from TIMESTAMP, valid_to TIMESTAMP, currency STRING, "
-        "price_components ARRAY<STRUCT<type: STRING, price: DECIMAL(18,6), step_size: INT>>, "
+        "price_components COMPONENTS, "
         "source_payload_hash STRING",
         optional="valid_to",
     ),
@@ -104,7 +125,7 @@ TABLES: dict[str, T.StructType] = {
         "run_id STRING, release_role STRING, country_code STRING, party_id STRING, cdr_id STRING, "
         "session_id STRING, cdr_type STRING, started_at TIMESTAMP, ended_at TIMESTAMP, currency STRING, "
         "actual_energy_kwh DECIMAL(18,6), actual_duration_hours DECIMAL(18,6), "
-        "actual_amount DECIMAL(18,6), tariff_id STRING, source_payload_hashes ARRAY<STRING>",
+        "actual_amount DECIMAL(18,6), tariff_id STRING, source_payload_hashes STRINGS",
         # An identity with very many payload versions keeps them in the source rows only.
         optional="source_payload_hashes",
     ),
@@ -116,13 +137,13 @@ TABLES: dict[str, T.StructType] = {
     ),
     "release_verdict": _table(
         "run_id STRING, scenario_id STRING, seed BIGINT, baseline_sha STRING, candidate_sha STRING, "
-        f"tariff_hash STRING, {_COUNT_DDL}, baseline_verdict STRING, candidate_verdict STRING, "
+        f"tariff_hash STRING, {_COUNT_COLUMNS}, baseline_verdict STRING, candidate_verdict STRING, "
         "verdict STRING, reason STRING, first_problem STRING, evidence STRING, evaluated_at TIMESTAMP",
         optional="scenario_id seed baseline_sha candidate_sha tariff_hash first_problem",
     ),
     "execution_verdict": _table(
         "execution_id STRING, run_id STRING, baseline_verdict STRING, candidate_verdict STRING, "
-        f"verdict STRING, {_COUNT_DDL}, reason STRING, first_problem STRING, evaluated_at TIMESTAMP",
+        f"verdict STRING, {_COUNT_COLUMNS}, reason STRING, first_problem STRING, evaluated_at TIMESTAMP",
         optional="first_problem",
     ),
     "batch_verdict": _table(

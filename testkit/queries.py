@@ -29,7 +29,13 @@ from meterproof.sources.publish import publish_once
 from meterproof.streaming.landing import landing_stream
 from testkit.derive import Derived
 
-AT = F.lit("2026-06-01 00:00:00").cast("timestamp")
+
+
+def at():
+    """The clock of the queries."""
+    return F.lit("2026-06-01 00:00:00").cast("timestamp")
+
+
 CODE = "code"
 OLD_CREDIT, NEW_CREDIT = '"credit":false', '"credit":true'
 
@@ -119,7 +125,7 @@ class Chain:
 
     @cached_property
     def verdicts(self):
-        return ver.release_verdict(*self.verdict_inputs, self.damaged, AT)
+        return ver.release_verdict(*self.verdict_inputs, self.damaged, at())
 
     @cached_property
     def lines(self):
@@ -256,7 +262,7 @@ def _receipt_register(c: Chain) -> DataFrame:
         parts[0].cast("bigint").alias("job_id"), parts[1].cast("bigint").alias("job_run_id"),
         (parts[1].cast("bigint") % 2).alias("repair_count"), F.lit("[]").alias("expected_run_ids_json"),
     )
-    return times(evi.receipt_register(known, attempts, AT)).drop("task_states_json")
+    return times(evi.receipt_register(known, attempts, at())).drop("task_states_json")
 
 
 def _receipt_transition(c: Chain) -> DataFrame:
@@ -264,7 +270,7 @@ def _receipt_transition(c: Chain) -> DataFrame:
         "execution_id", F.lit("SUCCEEDED").alias("new_status"), F.lit("Finished.").alias("new_reason")
     ).where(F.split("execution_id", ":")[1].cast("bigint") % 2 == 0)
     return times(
-        evi.receipt_transition(c.d.receipts, outcomes, AT).select(
+        evi.receipt_transition(c.d.receipts, outcomes, at()).select(
             "execution_id", "status", "reason", "finished_at"
         )
     )
@@ -304,7 +310,7 @@ def _capture_snapshot(c: Chain) -> DataFrame:
     executions = c.d.receipts.where("status = 'SUCCEEDED'").select(
         "execution_id", "run_id", F.lit("input").alias("input_hash"), "pipeline_hash", "started_at"
     ).distinct()
-    snapshots, frozen = evi.capture_snapshot(checks, executions, verdicts, c.d.frozen, AT)
+    snapshots, frozen = evi.capture_snapshot(checks, executions, verdicts, c.d.frozen, at())
     rows = frozen.groupBy("execution_id").agg(F.count(F.lit(1)).alias("frozen_rows"))
     return snapshots.drop("captured_at").join(rows, "execution_id")
 

@@ -21,7 +21,7 @@ def test_lists_of_hot_keys_are_left_to_the_rows(spark):
 
 
 def test_bound_is_applied_before_the_shuffle(spark):
-    rows = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
+    rows = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
     plan = grouping.bounded_lists(rows, ["k"], F.col("id"), "v")._jdf.queryExecution().executedPlan().toString()
     assert plan.rindex("WindowGroupLimit") > plan.index("Exchange")
 

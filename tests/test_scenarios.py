@@ -110,7 +110,9 @@ def test_damaged_results_fail_closed(spark):
     damaged = {
         "MISSING_ASSERTION": rows.where(~rule),
         "DUPLICATE_ASSERTION": rows.unionByName(rows.where(rule)),
-        "UNEXPECTED_ASSERTION": rows.unionByName(rows.where(rule).withColumn("release_role", F.lit("shadow"))),
+        "UNEXPECTED_ASSERTION": rows.unionByName(
+            rows.where(rule & (F.col("release_role") == "baseline")).withColumn("release_role", F.lit("shadow"))
+        ),
         "INVALID_STATUS": rows.withColumn("status", F.when(rule, "ODD").otherwise(F.col("status"))),
     }
     for kind, changed in damaged.items():
