@@ -153,8 +153,9 @@ def event_dedup(lines: DataFrame) -> DataFrame:
     )
 
 
-def batch_clean_events(landing: DataFrame) -> DataFrame:
-    return event_dedup(batch_lines(landing)).where(~F.col("conflict")).drop("conflict")
+def batch_clean_events(events: DataFrame) -> DataFrame:
+    """The events of `event_dedup` whose copies agree."""
+    return events.where(~F.col("conflict")).drop("conflict")
 
 
 def sequence_violations(events: DataFrame) -> DataFrame:
@@ -221,11 +222,13 @@ def inventory_gap(events: DataFrame) -> DataFrame:
     )
 
 
-def batch_violations(landing: DataFrame) -> DataFrame:
-    """Per batch and kind of violation, how many lines, events, sessions or settings break it."""
-    lines = batch_lines(landing)
-    events = event_dedup(lines)
-    clean = events.where(~F.col("conflict"))
+def batch_violations(lines: DataFrame, events: DataFrame) -> DataFrame:
+    """Per batch and kind of violation, how many lines, events, sessions or settings break it.
+
+    Takes the results of `batch_lines` and `event_dedup`, which a job stores first:
+    both are read several times here and the lines are costly to parse.
+    """
+    clean = batch_clean_events(events)
     settings = (
         events.groupBy("batch_id")
         .agg(

@@ -129,11 +129,15 @@ class Chain:
 
     @cached_property
     def lines(self):
-        return bat.batch_lines(self.d.landing)
+        return self.d.store("lines", lambda: bat.batch_lines(self.d.landing))
+
+    @cached_property
+    def events(self):
+        return self.d.store("deduplicated", lambda: bat.event_dedup(self.lines))
 
     @cached_property
     def clean(self):
-        return bat.batch_clean_events(self.d.landing)
+        return bat.batch_clean_events(self.events)
 
     @property
     def attempt(self):
@@ -491,7 +495,7 @@ _BUILDERS: dict[str, Callable[[Chain], DataFrame]] = {
     ),
     "sequence_violations": lambda c: bat.sequence_violations(c.clean),
     "inventory_gap": lambda c: bat.inventory_gap(c.clean),
-    "batch_violations": lambda c: bat.batch_violations(c.d.landing),
+    "batch_violations": lambda c: bat.batch_violations(c.lines, c.events),
     "batch_clean_events": lambda c: times(
         c.clean.select("batch_id", "event_id", "session_id", "event_type", "event_time", "meter_wh", "ingested_at")
     ),
