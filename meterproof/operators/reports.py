@@ -136,7 +136,7 @@ def bills_pivot(frozen: DataFrame) -> DataFrame:
 
 
 def execution_choices(receipts: DataFrame) -> DataFrame:
-    latest = receipts.sparkSession.createDataFrame([("latest",)], "execution_id STRING")
+    latest = receipts.sparkSession.range(1).select(F.lit("latest").alias("execution_id"))
     return latest.union(receipts.select("execution_id")).distinct()
 
 
