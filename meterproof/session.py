@@ -32,6 +32,18 @@ def use_utc(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: the cluster's checkpoint dir, else (tests) a local one."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    return configured.rstrip("/") if configured else tempfile.mkdtemp(prefix="meterproof-")
+    """Folder every executor can reach: `spark.checkpoint.dir`, or the context's checkpoint folder.
+
+    There is no machine-local fallback: on a cluster each executor would write to a disk of its own.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not configured:
+        raise ValueError("no shared folder: set spark.checkpoint.dir or call SparkContext.setCheckpointDir")
+    return configured.rstrip("/")
+
+
+def use_local_dir(spark: SparkSession) -> None:
+    """For tests and benches in one JVM: a temporary folder, unless a shared one is configured."""
+    local = spark.sparkContext.master.split("[")[0] == "local"
+    if local and not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="meterproof-"))

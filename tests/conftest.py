@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from meterproof.session import build_session  # noqa: E402
+from meterproof.session import build_session, use_local_dir  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -19,5 +19,6 @@ def spark():
         spark__ui__showConsoleProgress="false",
     )
     session.sparkContext.setLogLevel("ERROR")
+    use_local_dir(session)
     yield session
     session.stop()
