@@ -83,7 +83,8 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", keep: Sequence[str] = (
     marks = later_windows(found).groupBy(F.col("id").alias("_id"), F.col("hash").alias("_hash")).agg(F.collect_set("place").alias("places"))
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash"))
     names = [f"k{i}" for i in range(len(keep))]
-    marked = rows.join(stored(marks, "marks"), same, "left").select("text", "places", "id", *names)
+    # By shuffle at every size: marks grow with the corpus, so they must not be broadcast here.
+    marked = rows.join(stored(marks, "marks").hint("merge"), same, "left").select("text", "places", "id", *names)
     kinds = ", ".join(f"{c} {marked.schema[c].dataType.simpleString()}" for c in ["id", *names])
     cut = in_arrow(marked, _cutting(WINDOW), f"text string, n_lines long, n_removed long, {kinds}")
     return cut.select(F.col("id").alias(doc_id), "text", "n_lines", "n_removed", *[F.col(n).alias(c) for n, c in zip(names, keep)])
