@@ -16,7 +16,8 @@ ORACLE_SQL = None
 
 def _rows_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of `docs` whose id is not among the rejected `ids`."""
-    rejected = ids.select(F.col("doc_id").alias("_id")).distinct()
+    # By shuffle at every size: the rejected ids grow with the corpus.
+    rejected = ids.select(F.col("doc_id").alias("_id")).distinct().hint("merge")
     return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["_id"]), "left_anti").select(*COLUMNS)
 
 

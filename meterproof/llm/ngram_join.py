@@ -320,7 +320,7 @@ def one_of_each_group(docs: DataFrame, doc_id: str = "doc_id", **options) -> Dat
         linked["_id"], linked["_hash"], F.coalesce("_stays", F.lit(False)).alias("_stays"), F.lit(True).alias("_linked")
     )
     rows = docs.withColumn("_of", F.xxhash64("text"))
-    judged = rows.join(chosen, rows[doc_id].eqNullSafe(chosen["_id"]) & (rows["_of"] == chosen["_hash"]), "left")
+    judged = rows.join(chosen.hint("merge"), rows[doc_id].eqNullSafe(chosen["_id"]) & (rows["_of"] == chosen["_hash"]), "left")
     alone = judged.where("_linked IS NULL").select(*docs.columns)
     kept = judged.where("_stays").dropDuplicates(["_id", "_hash"]).select(*docs.columns)
     return alone.unionByName(kept)
