@@ -32,6 +32,18 @@ def sha256(column: str | Column) -> Column:
     return F.sha2(F.col(column) if isinstance(column, str) else column, 256)
 
 
+def digest_words(text: str | Column) -> list[Column]:
+    """Four 60-bit words of a text's SHA-256: their sums name a set of texts, in any order."""
+    digest = sha256(text)
+    return [F.conv(F.substring(digest, 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)") for i in range(4)]
+
+
+def set_digest(members: Column, sums: list[Column]) -> Column:
+    """Digest of a set from its size and the sums of its members' words."""
+    parts = [F.coalesce(s, F.lit(0)).cast("decimal(38,0)").cast("string") for s in sums]
+    return F.sha2(F.concat_ws(":", members.cast("string"), *parts), 256)
+
+
 def filled(column: str | Column) -> Column:
     return F.length(F.trim(column)) > 0
 

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from meterproof.functions.columns import (
     broken_rules,
     cents,
+    digest_words,
     filled,
     holds,
     hours,
@@ -17,11 +18,11 @@ from meterproof.functions.columns import (
     micros_between,
     once,
     plain_decimal,
+    set_digest,
     sha256,
     tally,
     text_at,
 )
-from meterproof.operators.grouping import bounded_lists
 from meterproof.operators.joins import join_validity
 from meterproof.schemas import MONEY, ROLES
 
@@ -68,10 +69,10 @@ def registry_check(registry: DataFrame) -> DataFrame:
 
 
 def priced_sessions(registry: DataFrame, sessions: DataFrame, history: DataFrame) -> DataFrame:
-    """One row per registered session: how many sessions and tariffs apply, and its price.
+    """One row per registered session: how many registrations, sessions and tariffs apply, and its price.
 
-    Left joins keep a session without evidence visible. Only counts of exactly one
-    make a row `ok`; repeated registrations double the tariff count and so fail.
+    Left joins keep a session without evidence visible. Only counts of exactly one make
+    a row `ok`; a second registration fails even under a tariff nobody knows.
     """
     valid_session = (
         (F.col("status") == "Completed")
@@ -107,8 +108,11 @@ def priced_sessions(registry: DataFrame, sessions: DataFrame, history: DataFrame
             & F.col("source_payload_hash").isNotNull()
         ).alias("flat"),
     )
+    registered = registry.groupBy(*SESSION).agg(
+        F.count(F.lit(1)).alias("registration_rows"), tally(holds(filled("tariff_id"))).alias("named_rows")
+    )
     candidates = join_validity(
-        registry.join(evidence, list(SESSION), "left"),
+        registry.join(registered, list(SESSION)).join(evidence, list(SESSION), "left"),
         periods,
         ["run_id", "tariff_id"],
         "started_at",
@@ -121,6 +125,8 @@ def priced_sessions(registry: DataFrame, sessions: DataFrame, history: DataFrame
     return (
         candidates.groupBy(*SESSION)
         .agg(
+            F.max("registration_rows").alias("registration_rows"),
+            F.max("named_rows").alias("named_rows"),
             F.max(F.coalesce("session_rows", F.lit(0))).alias("session_rows"),
             F.max(F.coalesce("valid_session_rows", F.lit(0))).alias("valid_session_rows"),
             F.count("valid_from").alias("tariff_rows"),
@@ -131,7 +137,9 @@ def priced_sessions(registry: DataFrame, sessions: DataFrame, history: DataFrame
         )
         .withColumn(
             "ok",
-            (F.col("session_rows") == 1)
+            (F.col("registration_rows") == 1)
+            & (F.col("named_rows") == 1)
+            & (F.col("session_rows") == 1)
             & (F.col("valid_session_rows") == 1)
             & (F.col("tariff_rows") == 1)
             & (F.col("valid_tariff_rows") == 1),
@@ -141,7 +149,7 @@ def priced_sessions(registry: DataFrame, sessions: DataFrame, history: DataFrame
 
 def pricing_preconditions(registry: DataFrame, sessions: DataFrame, history: DataFrame) -> DataFrame:
     return priced_sessions(registry, sessions, history).select(
-        *SESSION, "session_rows", "valid_session_rows", "tariff_rows", "valid_tariff_rows", "ok"
+        *SESSION, "registration_rows", "named_rows", "session_rows", "valid_session_rows", "tariff_rows", "valid_tariff_rows", "ok"
     )
 
 
@@ -262,9 +270,18 @@ def cdr_validate(cdrs: DataFrame) -> DataFrame:
     return _reported(cdrs).withColumns({"reasons": broken_rules(rules), "ok": keeps_all(rules)})
 
 
+def _checked(cdrs: DataFrame) -> DataFrame:
+    """Raw records are validated; the stored result of `cdr_validate` is taken as it is.
+
+    A job stores that layer once, without payloads, and derives ledger, sources,
+    conflicts and quarantine from it, so that no payload is parsed twice.
+    """
+    return cdrs if "reasons" in cdrs.columns else cdr_validate(cdrs)
+
+
 def _normalised(cdrs: DataFrame) -> DataFrame:
     return (
-        cdr_validate(cdrs)
+        _checked(cdrs)
         .where("ok")
         .select(
             "run_id",
@@ -296,40 +313,41 @@ def _by_identity(records: DataFrame) -> DataFrame:
     That needs a fixed-size state per identity, however many copies arrive.
     """
     charge = F.struct(*CHARGE)
+    per_payload = records.groupBy(*IDENTITY, "payload_hash").agg(
+        F.min(charge).alias("lowest"), F.max(charge).alias("highest")
+    )
+    words = [word.alias(f"w{i}") for i, word in enumerate(digest_words("payload_hash"))]
+    payloads = F.count(F.lit(1))
     return (
-        records.groupBy(*IDENTITY)
+        per_payload.select(*IDENTITY, "lowest", "highest", *words)
+        .groupBy(*IDENTITY)
         .agg(
-            F.min(charge).alias("charge"),
-            F.max(charge).alias("_highest"),
-            F.min("payload_hash").alias("_first_hash"),
-            F.max("payload_hash").alias("_last_hash"),
+            F.min("lowest").alias("charge"),
+            F.max("highest").alias("_highest"),
+            payloads.alias("source_payloads"),
+            set_digest(payloads, [F.sum(f"w{i}") for i in range(4)]).alias("source_digest"),
         )
         .withColumn("conflict", F.col("charge") != F.col("_highest"))
     )
 
 
 def actual_ledger(cdrs: DataFrame) -> DataFrame:
-    """One row per reported record; equivalent payloads collapse, keeping every source hash.
+    """One row per reported record; equivalent payloads collapse into one.
 
     Different ids of one session stay apart. An identity with conflicting charges is
-    left out here and listed by `cdr_conflicts`. The hash list is a left join on a
-    unique key, which the optimizer drops when the column is not read. Identities with
-    more than INLINE_LIMIT payloads have a NULL list and live in `cdr_sources`.
+    left out here and listed by `cdr_conflicts`. The distinct payloads are counted and
+    digested, whatever their number; their hashes are the rows of `cdr_sources`.
     """
-    hashes = bounded_lists(cdr_sources(cdrs), IDENTITY, F.col("payload_hash"), "_hashes")
-    single = F.col("_first_hash") == F.col("_last_hash")
     return (
         _by_identity(_normalised(cdrs))
         .where(~F.col("conflict"))
-        .join(hashes, list(IDENTITY), "left")
         .select(
             *IDENTITY,
             F.col("charge.session_id"),
             F.lit("FINAL").alias("cdr_type"),
             *[F.col(f"charge.{name}") for name in CHARGE[1:]],
-            F.when(single, F.array("_first_hash"))
-            .otherwise(F.col("_hashes"))
-            .alias("source_payload_hashes"),
+            "source_payloads",
+            "source_digest",
         )
     )
 
@@ -341,11 +359,11 @@ def cdr_conflicts(cdrs: DataFrame) -> DataFrame:
 
 def cdr_quarantine(cdrs: DataFrame) -> DataFrame:
     """Raw records kept out of the ledger, each with its reasons."""
-    checked = cdr_validate(cdrs)
+    checked = _checked(cdrs)
     invalid = checked.where(~F.col("ok")).select("run_id", "release_role", "payload_hash", "reasons")
     conflicting = (
-        _normalised(cdrs)
-        .join(cdr_conflicts(cdrs), list(IDENTITY), "left_semi")
+        _normalised(checked)
+        .join(cdr_conflicts(checked), list(IDENTITY), "left_semi")
         .select(
             "run_id", "release_role", "payload_hash", F.array(F.lit("conflicting_charge")).alias("reasons")
         )

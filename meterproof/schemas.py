@@ -125,9 +125,9 @@ TABLES: dict[str, T.StructType] = {
         "run_id STRING, release_role STRING, country_code STRING, party_id STRING, cdr_id STRING, "
         "session_id STRING, cdr_type STRING, started_at TIMESTAMP, ended_at TIMESTAMP, currency STRING, "
         "actual_energy_kwh DECIMAL(18,6), actual_duration_hours DECIMAL(18,6), "
-        "actual_amount DECIMAL(18,6), tariff_id STRING, source_payload_hashes STRINGS",
-        # An identity with very many payload versions keeps them in the source rows only.
-        optional="source_payload_hashes",
+        "actual_amount DECIMAL(18,6), tariff_id STRING, source_payloads BIGINT, "
+        # Order-free digest of the payload hashes, which are rows of their own.
+        "source_digest STRING"
     ),
     "assertion_result": _table(
         "run_id STRING, release_role STRING, session_id STRING, assertion_id STRING, "

@@ -27,6 +27,13 @@ def q(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+def set_digest(members: str, digest: str, having: str = "TRUE") -> str:
+    """Digest of a set: its size and the sums of the four 60-bit words of its members' SHA-256."""
+    word = "coalesce(sum(CAST(('0x' || substr({}, {}, 15)) AS BIGINT)) FILTER ({}), 0)"
+    sums = " || ':' || ".join(f"CAST(CAST({word.format(digest, 1 + 15 * i, having)} AS HUGEINT) AS VARCHAR)" for i in range(4))
+    return f"sha256(CAST({members} AS VARCHAR) || ':' || {sums})"
+
+
 _DOMAIN: dict[str, str] = {}
 _DOMAIN["lifecycle"] = """
   SELECT run_id, session_id, min(t) FILTER (kind = 'Started') AS started_at, max(t) FILTER (kind = 'Ended') AS ended_at,
@@ -51,6 +58,10 @@ _DOMAIN["pre"] = """
     LEFT JOIN history t ON t.run_id = m.run_id AND t.tariff_id = m.tariff_id AND s.started_at >= t.valid_from
       AND (t.valid_to IS NULL OR s.started_at < t.valid_to)
   GROUP BY m.run_id, m.session_id"""
+_DOMAIN["registry_twice"] = """
+  SELECT run_id, session_id, tariff_id FROM input_session
+  UNION ALL SELECT run_id, session_id, 'unknown' FROM input_session WHERE CAST(substr(session_id, 5) AS BIGINT) % 61 = 1"""
+_DOMAIN["pre_twice"] = _DOMAIN["pre"].replace("FROM input_session m", "FROM registry_twice m")
 _DOMAIN["expected"] = """
   SELECT run_id, session_id, tariff_id, valid_from AS tariff_valid_from, hash AS tariff_payload_hash, 'EUR' AS currency,
     CAST(wh * 0.001 AS DECIMAL(18,6)) AS expected_energy_kwh, price AS price_per_kwh,
@@ -99,8 +110,8 @@ _DOMAIN["norm"] = """
   FROM checked_cdrs WHERE len(reasons) = 0"""
 _DOMAIN["variants"] = """
   SELECT *, count(*) OVER (PARTITION BY run_id, release_role, country_code, party_id, cdr_id) AS versions
-  FROM (SELECT * EXCLUDE (payload_hash), string_agg(DISTINCT payload_hash, ',' ORDER BY payload_hash) AS source_payload_hashes
-    FROM norm GROUP BY ALL)"""
+  FROM (SELECT * EXCLUDE (payload_hash, h), count(*) AS source_payloads, """ + set_digest("count(*)", "h") + """ AS source_digest
+    FROM (SELECT DISTINCT *, sha256(payload_hash) AS h FROM norm) GROUP BY ALL)"""
 _DOMAIN["actual"] = "SELECT * EXCLUDE (versions), 'FINAL' AS cdr_type FROM variants WHERE versions = 1"
 _DOMAIN["conflicts"] = "SELECT DISTINCT run_id, release_role, country_code, party_id, cdr_id FROM variants WHERE versions > 1"
 _DOMAIN["grid"] = """
@@ -108,18 +119,21 @@ _DOMAIN["grid"] = """
     SELECT run_id, session_id FROM expected UNION SELECT run_id, session_id FROM lifecycle WHERE status = 'Completed')
     CROSS JOIN (VALUES ('baseline'), ('candidate')) roles(role)
   UNION SELECT run_id, session_id, release_role FROM actual WHERE release_role IN ('baseline', 'candidate')"""
+_DOMAIN["digested"] = """
+  SELECT *, sha256(concat_ws('|', country_code, party_id, cdr_id, CAST(actual_energy_kwh AS VARCHAR), CAST(actual_duration_hours AS VARCHAR),
+    CAST(actual_amount AS VARCHAR), currency, tariff_id, source_digest)) AS h FROM actual"""
 _DOMAIN["cmp"] = """
   SELECT g.run_id, g.session_id, g.release_role,
     coalesce(x.session_id IS NOT NULL AND s.status = 'Completed' AND s.ended_at >= s.started_at, FALSE) AS oracle,
-    coalesce(n, 0) AS n, x.expected_energy_kwh AS xe, x.expected_amount AS xa, x.currency AS xc, lower(x.tariff_id) AS xt,
+    coalesce(n, 0) AS n, coalesce(dg, sha256('0:0:0:0:0')) AS dg, x.expected_energy_kwh AS xe, x.expected_amount AS xa, x.currency AS xc, lower(x.tariff_id) AS xt,
     CAST(((epoch_us(s.ended_at) - epoch_us(s.started_at) + 1800) // 3600) * 0.000001 AS DECIMAL(18,6)) AS xd, ae, ad, aa, ac, art
   FROM grid g LEFT JOIN expected x USING (run_id, session_id) LEFT JOIN lifecycle s USING (run_id, session_id)
     LEFT JOIN (SELECT run_id, session_id, release_role, count(*) AS n, max(actual_energy_kwh) AS ae, max(actual_duration_hours) AS ad,
-        max(actual_amount) AS aa, max(currency) AS ac, max(tariff_id) AS art FROM actual GROUP BY ALL) r
+        max(actual_amount) AS aa, max(currency) AS ac, max(tariff_id) AS art, """ + set_digest("count(*)", "h") + """ AS dg FROM digested GROUP BY ALL) r
       USING (run_id, session_id, release_role)"""
 _WIDE = "CAST({} AS DECIMAL(26,6))"
 _DOMAIN["asserted"] = f"""
-  SELECT run_id, release_role, session_id, assertion_id, n AS evidence_cdrs,
+  SELECT run_id, release_role, session_id, assertion_id, n AS evidence_cdrs, dg AS evidence_digest,
     CASE WHEN assertion_id = 'oracle_available' THEN 'AVAILABLE' WHEN NOT oracle THEN NULL
       WHEN assertion_id = 'currency_match' THEN xc WHEN assertion_id = 'tariff_match' THEN xt ELSE CAST(xn AS VARCHAR) END AS expected_value,
     CASE WHEN assertion_id = 'oracle_available' THEN CASE WHEN oracle THEN 'AVAILABLE' ELSE 'UNAVAILABLE' END
@@ -416,8 +430,10 @@ _FINALS: dict[str, str] = {
     "registry_check": f"""SELECT run_id, {big('count(*)', 'session_rows')}, {big('count(DISTINCT session_id)', 'distinct_sessions')}, {big('count(*) FILTER (good)', 'complete_rows')},
       count(*) = count(DISTINCT session_id) AND count(*) = count(*) FILTER (good) AS ok FROM (
         SELECT run_id, session_id, NOT (run_id = 'run-2' AND k % 59 = 2) AS good FROM sess UNION ALL SELECT run_id, session_id, TRUE FROM sess WHERE run_id = 'run-1' AND k % 61 = 1) GROUP BY run_id""",
-    "pricing_preconditions": """SELECT run_id, session_id, session_rows, valid_session_rows, tariff_rows, valid_tariff_rows,
-      session_rows = 1 AND valid_session_rows = 1 AND tariff_rows = 1 AND valid_tariff_rows = 1 AS ok FROM pre""",
+    "pricing_preconditions": """SELECT run_id, session_id, registration_rows, named_rows, session_rows, valid_session_rows, tariff_rows, valid_tariff_rows,
+      registration_rows = 1 AND named_rows = 1 AND session_rows = 1 AND valid_session_rows = 1 AND tariff_rows = 1 AND valid_tariff_rows = 1 AS ok
+      FROM pre_twice JOIN (SELECT run_id, session_id, count(*) AS registration_rows, count(*) FILTER (trim(tariff_id) <> '') AS named_rows
+        FROM registry_twice GROUP BY ALL) USING (run_id, session_id)""",
     "expected_ledger": f"SELECT * EXCLUDE (tariff_valid_from), {us('tariff_valid_from')} FROM expected",
     "join_inner": "SELECT run_id, session_id, tariff_id, status FROM lifecycle JOIN input_session USING (run_id, session_id)",
     "join_validity": f"""SELECT s.run_id, s.session_id, m.tariff_id, epoch_us(h.valid_from) AS valid_from_us FROM lifecycle s JOIN input_session m USING (run_id, session_id)
@@ -435,8 +451,9 @@ _FINALS: dict[str, str] = {
     "cdr_conflicts": "SELECT * FROM conflicts",
     "cdr_sources": "SELECT DISTINCT run_id, release_role, country_code, party_id, cdr_id, payload_hash FROM norm",
     "actual_ledger": f"SELECT * EXCLUDE (started_at, ended_at), {us('started_at')}, {us('ended_at')} FROM actual",
-    "actual_evidence": """SELECT run_id, release_role, session_id, string_agg(cdr_id, ',' ORDER BY country_code, party_id, cdr_id) AS cdr_ids,
-      string_agg(source_payload_hashes, ',' ORDER BY country_code, party_id, cdr_id) AS hashes FROM actual GROUP BY ALL""",
+    "actual_evidence": f"SELECT run_id, release_role, session_id, count(*) AS cdr_count, {set_digest('count(*)', 'h')} AS records_digest FROM digested GROUP BY ALL",
+    "assertion_records": """SELECT run_id, release_role, session_id, country_code, party_id, cdr_id, actual_energy_kwh, actual_duration_hours, actual_amount, currency,
+      tariff_id, source_payloads, source_digest FROM actual""",
     "rate_sessions": f"""SELECT run_id, role AS release_role, 'cdr-' || substr(session_id, 5) AS cdr_id, expected_energy_kwh AS energy,
       CAST(((epoch_us(ended_at) - epoch_us(started_at) + 1800) // 3600) * 0.000001 AS DECIMAL(18,6)) AS duration,
       CAST(expected_amount + CASE WHEN role = 'candidate' THEN 0.87 ELSE 0 END AS DECIMAL(18,2)) AS amount, tariff_id, epoch_us(ended_at) + 2000000 AS ingest_time_us

@@ -79,6 +79,10 @@ class Chain:
     def actual(self):
         return self.d.store("actual", self.compute_actual)
 
+    @cached_property
+    def checked(self):
+        return self.d.store("checked", lambda: led.cdr_validate(self.d.cdrs_raw).drop("payload"))
+
     @cached_property
     def assertions(self):
         return self.d.store("assertions", self.compute_assertions)
@@ -93,7 +97,7 @@ class Chain:
         return led.expected_ledger(self.d.input_session, self.sessions, self.history)
 
     def compute_actual(self):
-        return led.actual_ledger(self.d.cdrs_raw)
+        return led.actual_ledger(self.checked)
 
     def compute_assertions(self):
         return asr.assertion_result(self.expected, self.sessions, self.actual)
@@ -352,21 +356,17 @@ def _adapted(name: str, drop: tuple[str, ...] = ()):
 
 
 def _actual(c: Chain) -> DataFrame:
-    return times(c.compute_actual().withColumn("source_payload_hashes", joined("source_payload_hashes")))
+    return times(c.compute_actual())
 
 
 def _evidence_rows(c: Chain) -> DataFrame:
-    ids = F.array_join(F.transform("actual_cdrs", lambda r: r["cdr_id"]), ",")
-    hashes = F.array_join(F.flatten(F.transform("actual_cdrs", lambda r: r["source_payload_hashes"])), ",")
-    return asr.actual_evidence(c.actual).select(
-        "run_id", "release_role", "session_id", ids.alias("cdr_ids"), hashes.alias("hashes")
-    )
+    return asr.actual_evidence(c.actual)
 
 
 def _assertion_columns(c: Chain) -> DataFrame:
     return c.compute_assertions().withColumn(
         "evidence_cdrs", F.get_json_object("evidence", "$.cdr_count").cast("bigint")
-    ).drop("evidence")
+    ).withColumn("evidence_digest", F.get_json_object("evidence", "$.actual_cdrs_digest")).drop("evidence")
 
 
 def _verdict_columns(c: Chain) -> DataFrame:
@@ -397,6 +397,13 @@ def _registry(c: Chain) -> DataFrame:
     return led.registry_check(damaged.unionByName(twice))
 
 
+def _registered_twice(c: Chain) -> DataFrame:
+    """The registry, with some sessions registered once more under a tariff nobody knows."""
+    key = F.regexp_replace("session_id", "^txn-", "").cast("bigint")
+    again = c.d.input_session.where(key % 61 == 1).withColumn("tariff_id", F.lit("unknown"))
+    return c.d.input_session.unionByName(again)
+
+
 def _conformance(c: Chain) -> DataFrame:
     return exp.schema_conformance(c.sessions, TABLES["session_lifecycle"])
 
@@ -454,7 +461,9 @@ _BUILDERS: dict[str, Callable[[Chain], DataFrame]] = {
     ),
     "lineage_check": _lineage,
     "registry_check": _registry,
-    "pricing_preconditions": lambda c: led.pricing_preconditions(c.d.input_session, c.sessions, c.history),
+    "pricing_preconditions": lambda c: led.pricing_preconditions(
+        _registered_twice(c), c.sessions, c.history
+    ),
     "expected_ledger": lambda c: times(c.compute_expected()),
     "join_inner": lambda c: c.sessions.join(c.d.input_session, ["run_id", "session_id"]).select(
         "run_id", "session_id", "tariff_id", "status"
@@ -467,13 +476,14 @@ _BUILDERS: dict[str, Callable[[Chain], DataFrame]] = {
     "cdr_validate": lambda c: led.cdr_validate(c.d.cdrs_raw).select(
         "run_id", "release_role", "payload_hash", "ok", joined("reasons")
     ),
-    "cdr_quarantine": lambda c: led.cdr_quarantine(c.d.cdrs_raw).select(
+    "cdr_quarantine": lambda c: led.cdr_quarantine(c.checked).select(
         "run_id", "release_role", "payload_hash", joined("reasons")
     ),
-    "cdr_conflicts": lambda c: led.cdr_conflicts(c.d.cdrs_raw),
-    "cdr_sources": lambda c: led.cdr_sources(c.d.cdrs_raw),
+    "cdr_conflicts": lambda c: led.cdr_conflicts(c.checked),
+    "cdr_sources": lambda c: led.cdr_sources(c.checked),
     "actual_ledger": _actual,
     "actual_evidence": _evidence_rows,
+    "assertion_records": lambda c: asr.assertion_records(c.actual),
     "rate_sessions": _rated,
     "release_grid": lambda c: asr.release_grid(c.expected, c.sessions, c.actual),
     "assertion_result": _assertion_columns,

@@ -6,33 +6,13 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from meterproof.operators import batch, dml, evidence, expectations, grouping, joins, tariffs
+from meterproof.operators import batch, dml, evidence, expectations, joins, tariffs
 from meterproof.schemas import TABLES
 from meterproof.sources.publish import publish_once
 from meterproof.sources.tables import append_new, ensure_table, sync_runs, upsert
 from meterproof.streaming.landing import landing_stream
 
 
-def test_lists_of_hot_keys_are_left_to_the_rows(spark):
-    rows = spark.range(3000).select(F.when(F.col("id") < 2900, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"), "id")
-    found = {r.k: r.v for r in grouping.bounded_lists(rows, ["k"], F.col("id"), "v", limit=10).collect()}
-    assert found["hot"] is None and len(found) == 51
-    assert all(v == sorted(v) and len(v) == 2 for k, v in found.items() if k != "hot")
-
-
-def test_bound_is_applied_before_the_shuffle(spark):
-    rows = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
-    plan = grouping.bounded_lists(rows, ["k"], F.col("id"), "v")._jdf.queryExecution().executedPlan().toString()
-    assert plan.rindex("WindowGroupLimit") > plan.index("Exchange")
-
-
-def test_unread_lists_cost_nothing(spark):
-    from tests.scenario import Case
-
-    plan = Case(spark).results.actual_ledger.drop("source_payload_hashes")._jdf.queryExecution().optimizedPlan().toString()
-    assert "Join" not in plan
-
-
 def test_merges_are_idempotent(spark):
     target = spark.createDataFrame([(1, "a"), (2, "b")], "k INT, v STRING")
     source = spark.createDataFrame([(2, "x"), (3, "c")], "k INT, v STRING")

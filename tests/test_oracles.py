@@ -3,7 +3,9 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from testkit.oracles import oracle_sql
+from testkit.queries import queries
 
 DIR = "/root/testdata/sf0.001"
 TABLES = (
