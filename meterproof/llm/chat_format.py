@@ -55,7 +55,7 @@ def unescape(text: str) -> str:
 
 def label(role: str) -> str:
     """Name of a role in a turn's head; other roles than the usual ones are spelt out, escaped."""
-    return LABELS.get(role) or "=" + escape(role).replace(":", "\\:")
+    return LABELS.get(role) or "=" + escape(role).replace(": ", ":\\ ")
 
 
 def role_of(name: str) -> str:
@@ -142,15 +142,21 @@ class _Expression:
         return ("not", value) if inverted else value
 
     def comparison(self) -> tuple:
-        left = self.sum()
+        left = self.joined()
         while sign := self.next_is(*_COMPARE):
-            left = ("compare", sign, left, self.sum())
+            left = ("compare", sign, left, self.joined())
+        return left
+
+    def joined(self) -> tuple:
+        left = self.sum()
+        while self.next_is("~"):
+            left = ("join", left, self.sum())
         return left
 
     def sum(self) -> tuple:
         left = self.filtered()
-        while sign := self.next_is("+", "-", "~"):
-            left = ("join" if sign == "~" else "add" if sign == "+" else "subtract", left, self.filtered())
+        while sign := self.next_is("+", "-"):
+            left = ("add" if sign == "+" else "subtract", left, self.filtered())
         return left
 
     def filtered(self) -> tuple:
@@ -199,7 +205,10 @@ def fold(tree: tuple) -> tuple:
     parts = tuple(fold(p) if isinstance(p, tuple) else p for p in tree[1:])
     inner = [p for p in parts if isinstance(p, tuple)]
     if all(p[0] == "const" for p in inner):
-        return ("const", evaluator((kind, *parts))({}))
+        try:
+            return ("const", evaluator((kind, *parts))({}))
+        except (TypeError, AttributeError) as error:
+            raise TemplateError(f"constant expression fails: {error}") from error
     if kind == "choice" and parts[0][0] == "const":
         return parts[1] if parts[0][1] else parts[2]
     return (kind, *parts)
