@@ -149,13 +149,20 @@ def fit_ftrl(rows: list[tuple[int, np.ndarray, np.ndarray]], languages: int, siz
 
 
 def fit_temperature(logits: np.ndarray, truth: np.ndarray) -> float:
-    """Temperature of the least log loss, by golden section on its logarithm."""
+    """Temperature of the least log loss, by golden section on its logarithm.
+
+    Targets are smoothed by one part in the number of rows: separable rows do not say that
+    every further answer is certain.
+    """
     if not len(truth):
         return 1.0
+    rest = 1 / (len(truth) + 2)
 
     def loss(log_t: float) -> float:
-        p = softmax(logits / np.exp(log_t))
-        return float(-np.log(np.maximum(p[np.arange(len(truth)), truth], 1e-12)).mean())
+        p = np.log(np.maximum(softmax(logits / np.exp(log_t)), 1e-12))
+        right = p[np.arange(len(truth)), truth]
+        wrong = (p.sum(axis=1) - right) / max(1, p.shape[1] - 1)
+        return float(-((1 - rest) * right + rest * wrong).mean())
 
     low, high, ratio = np.log(0.05), np.log(20.0), (np.sqrt(5) - 1) / 2
     a, b = high - ratio * (high - low), low + ratio * (high - low)
@@ -191,11 +198,15 @@ def train(docs: DataFrame, doc_id: str = "doc_id", sample: int = SAMPLE) -> Mode
         else:
             found[feature] = docs_with
     idf = np.log((1 + total) / (1 + found)) + 1
-    languages = sorted(r[0] for r in known.select("lang").distinct().collect())
+    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    languages = sorted(sizes)
     share = max(1, sample // len(languages))
-    # The rank's bound is applied before the shuffle too: no language gathers in one task.
-    lot = F.xxhash64("id")
-    ranked = known.select("id", "lang", lot.alias("lot")).withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("lot", "id")))
+    # Lots are even in [0, 1): a bound of twice the share leaves each language about 2 * share rows
+    # to rank, however large it is and however many partitions it lies in.
+    lot = F.pmod(F.xxhash64("id"), F.lit(1 << 32)) / (1 << 32)
+    bound = F.element_at(F.create_map(*[F.lit(x) for language in languages for x in (language, 2 * share / sizes[language])]), F.col("lang"))
+    drawn = known.select("id", "lang", lot.alias("lot")).where(F.col("lot") < bound)
+    ranked = drawn.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("lot", "id")))
     chosen = ranked.where(F.col("rank") <= share).select(F.col("id").alias("_id"), F.col("lang").alias("_lang"), (F.col("rank") % ASIDE).alias("fold"))
     # At most `sample` rows, by construction.
     picked = known.join(F.broadcast(chosen.distinct()), F.col("id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang")))
