@@ -261,7 +261,8 @@ def content_fingerprint(rows: DataFrame, keys: list[str], content: Column) -> Da
     words = [
         F.conv(F.substring("_digest", 1 + 8 * i, 8), 16, 10).cast("bigint").alias(f"w{i}") for i in range(8)
     ]
-    sums = [F.sum(f"w{i}").cast("string") for i in range(8)]
+    # As decimals: a sum of 64-bit integers would overflow beyond some four billion documents.
+    sums = [F.sum(F.col(f"w{i}").cast("decimal(20,0)")).cast("string") for i in range(8)]
     return (
         rows.select(*keys, digest.alias("_digest"))
         .select(*keys, *words)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from meterproof.functions.columns import absent_at, broken_rules, filled, keeps_all, once, sha256, text_at
@@ -63,6 +65,9 @@ def tariff_overlaps(tariffs: DataFrame) -> DataFrame:
     in_day = Window.partitionBy("run_id", "tariff_id", "_day").orderBy(
         "valid_from", F.col("valid_to").asc_nulls_last(), "payload_hash"
     )
+    # A period without a start sorts first and meets the next start like any other.
+    key = ("run_id", "tariff_id", "_day")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key])
     over_days = Window.partitionBy("run_id", "tariff_id").orderBy("_day")
     later = (
         periods.groupBy("run_id", "tariff_id", "_day")
@@ -72,7 +77,7 @@ def tariff_overlaps(tariffs: DataFrame) -> DataFrame:
     )
     return (
         periods.withColumn("_next", F.lead("valid_from").over(in_day))
-        .join(later, ["run_id", "tariff_id", "_day"])
+        .join(later.withColumnsRenamed({c: f"_{c}" for c in key}), same)
         .withColumn("next_valid_from", F.coalesce("_next", "_later"))
         .where(
             F.col("next_valid_from").isNotNull()

@@ -381,7 +381,7 @@ _FINALS: dict[str, str] = {
     "landing_duplicates": f"SELECT '/in/all' AS source_file_path, record_hash, {big('count(*)', 'occurrences')} FROM landing GROUP BY record_hash HAVING count(*) > 1",
     "landing_preview": """SELECT doc->>'$.schema_version' AS schema_version, doc->>'$.run_id' AS run_id, event_id, station AS charging_station_id, session_id, event_type,
       CAST(seq AS INT) AS sequence_number, body->>'$.timestamp' AS event_time, meter_wh, doc->>'$.generator.seed' AS seed,
-      doc->>'$.generator.tariff.price_per_kwh' AS price_per_kwh FROM opened WHERE doc IS NOT NULL""",
+      doc->>'$.generator.tariff.price_per_kwh' AS price_per_kwh FROM opened""",
     "publish_once": f"SELECT sha256(raw_record) AS record_hash, {big('count(*)', 'n')} FROM landing GROUP BY ALL",
     "schema_conformance": " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, {big(f'count(*) FILTER ({c} IS NULL)', 'null_rows')} FROM lifecycle"
@@ -475,8 +475,6 @@ _FINALS: dict[str, str] = {
         FROM run_manifest GROUP BY run_id HAVING count(*) = 1) USING (run_id) LEFT JOIN first USING (run_id)""",
     "singleton_value": f"SELECT run_id, {big('count(*)', 'key_rows')}, CASE WHEN count(*) = 1 THEN max(scenario_id) END AS scenario_id, CASE WHEN count(*) = 1 THEN max(seed) END AS seed FROM run_manifest GROUP BY run_id",
     "status_counts": f"SELECT run_id, release_role, assertion_id, status, {big('count(*)', 'assertion_rows')} FROM asserted GROUP BY ALL",
-    "cdr_zero_fill": f"""SELECT run_id, role AS release_role, {big('count(x.payload)', 'cdr_rows')} FROM (SELECT DISTINCT run_id FROM run_manifest) CROSS JOIN (VALUES ('baseline'), ('candidate')) roles(role)
-      LEFT JOIN (SELECT run_id, release_role, payload FROM cdrs_raw WHERE NOT (run_id = 'run-4' AND release_role = 'candidate')) x USING (run_id) WHERE FALSE GROUP BY ALL""",
     "event_dedup": f"SELECT batch_id, event_id, {us('ingested_at')}, copies, conflict FROM dedup",
     "sequence_violations": "SELECT batch_id, session_id, violation FROM seqviol",
     "inventory_gap": "SELECT batch_id, session_id, gap FROM gaps",

@@ -419,9 +419,7 @@ _BUILDERS: dict[str, Callable[[Chain], DataFrame]] = {
     "landing_duplicates": lambda c: lan.landing_duplicates(
         c.d.landing.withColumn("source_file_path", F.lit("/in/all"))
     ),
-    "landing_preview": lambda c: lan.landing_preview(
-        c.d.landing.where(F.try_parse_json("raw_record").isNotNull())
-    ),
+    "landing_preview": lambda c: lan.landing_preview(c.d.landing),
     "publish_once": _publish_once,
     "schema_conformance": _conformance,
     "expectations": _expectations,
@@ -429,7 +427,9 @@ _BUILDERS: dict[str, Callable[[Chain], DataFrame]] = {
     "merge_insert_only": lambda c: times(dml.merge_insert_only(*c.split_sessions, ["run_id", "session_id"])),
     "merge_upsert": lambda c: times(dml.merge_upsert(*c.split_sessions, ["run_id", "session_id"])),
     "merge_sync_scope": lambda c: times(
-        dml.merge_sync_scope(*c.split_sessions, F.col("run_id").isin("run-0", "run-3"))
+        dml.merge_sync_scope(
+            c.split_sessions[0], c.split_sessions[1].where(F.col("run_id").isin("run-0", "run-3")), F.col("run_id").isin("run-0", "run-3")
+        )
     ),
     "immutable_diff": _immutable_diff,
     "scenario_replay": lambda c: times(_replayed(c).drop("payload")),

@@ -150,3 +150,31 @@ def test_failed_receipts_stay_failed(spark):
     done = {r.execution_id: r for r in evidence.receipt_transition(receipts, outcomes, at(3)).collect()}
     assert (done["1:1:0"].status, done["1:1:0"].finished_at.hour) == ("SUCCEEDED", 3)
     assert (done["1:2:1"].status, done["1:2:1"].finished_at.hour) == ("FAILED", 1)
+
+
+def test_merges_refuse_repeated_keys_and_rows_outside_their_scope(spark):
+    target = spark.createDataFrame([(1, "a")], "k INT, v STRING")
+    twice = spark.createDataFrame([(2, "b"), (2, "c")], "k INT, v STRING")
+    for merge in (dml.merge_insert_only, dml.merge_upsert):
+        with pytest.raises(Exception, match="repeated key"):
+            merge(target, twice, ["k"]).collect()
+    with pytest.raises(Exception, match="outside the scope"):
+        dml.merge_sync_scope(target, twice, F.col("k") == 1).collect()
+
+
+def test_equal_stream_paths_are_refused():
+    from meterproof.streaming.landing import check_paths
+
+    same = "/data/in"
+    for paths in ((same, same, "/data/out"), ("/data/in", "/data/state", "/data/in/out"), ("", "/a", "/b")):
+        with pytest.raises(ValueError):
+            check_paths(*paths)
+
+
+def test_a_period_without_a_start_overlaps_the_next(spark):
+    rows = [("r", "t", None, datetime(2026, 2, 1), "EUR", "{}", "h1"), ("r", "t", datetime(2026, 1, 1), None, "EUR", "{}", "h2")]
+    periods = spark.createDataFrame(
+        rows, "run_id STRING, tariff_id STRING, valid_from TIMESTAMP, valid_to TIMESTAMP, currency STRING, payload STRING, payload_hash STRING"
+    )
+    found = tariffs.tariff_overlaps(periods).collect()
+    assert [(r.valid_from, r.next_valid_from) for r in found] == [(None, datetime(2026, 1, 1))]
