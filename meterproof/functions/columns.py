@@ -10,6 +10,8 @@ from meterproof.schemas import MONEY
 
 # Fixed value: where a meter event carries its register reading.
 METER_PATH = "$.meterValue[0].sampledValue[0].value"
+# Fixed value: form of an event's timestamps.
+INSTANT = "^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,6})?(Z|[+-][0-9]{2}:[0-9]{2})$"
 PLAIN_DECIMAL = "^[0-9]+([.][0-9]{1,6})?$"
 
 
@@ -53,6 +55,36 @@ def text_at(document: Column, path: str) -> Column:
     return F.try_variant_get(document, path, "string")
 
 
+def document_within(marked: Column, text: str | Column) -> Column:
+    """The document of a `marked` text, or NULL when anything but blanks follows it."""
+    return F.when(text_at(marked, "$[1]") == sha256(text), F.try_variant_get(marked, "$[0]", "variant"))
+
+
+def marked(text: str | Column) -> Column:
+    """Parses a text within a list that ends in the text's own hash.
+
+    The parser stops at the end of the first value; in this form whatever follows it shows.
+    """
+    own = F.col(text) if isinstance(text, str) else text
+    return F.try_parse_json(F.concat(F.lit("["), own, F.lit(',"'), sha256(own), F.lit('"]')))
+
+
+def whole_at(document: Column, path: str) -> Column:
+    """An integer that is written as one, or NULL: not quoted, no fraction, no exponent."""
+    return F.when(kind_at(document, path) == "BIGINT", text_at(document, path).try_cast("bigint"))
+
+
+def instant_at(document: Column, path: str) -> Column:
+    """An instant that names its zone and has six fractional digits at most, or NULL."""
+    text = text_at(document, path)
+    return F.when((kind_at(document, path) == "STRING") & text.rlike(INSTANT), text.try_cast("timestamp"))
+
+
+def items_at(document: Column, path: str) -> Column:
+    """Members of the list at the path, NULL when it is none."""
+    return F.size(F.try_variant_get(document, path, "array<variant>"))
+
+
 def absent_at(document: Column, path: str) -> Column:
     """Nothing at the path, or a JSON null."""
     part = F.try_variant_get(document, path, "variant")

@@ -6,10 +6,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from meterproof.functions.columns import (
     broken_rules,
+    document_within,
+    instant_at,
+    items_at,
     keeps_all,
+    kind_at,
+    marked,
     once,
     sha256,
     text_at,
+    whole_at,
 )
 from meterproof.schemas import EVENT_TYPES
 
@@ -23,70 +29,68 @@ TARIFF_PAYLOAD = (
     '{"currency":"EUR","elements":[{"price_components":[{"price":0.45,"step_size":1,"type":"ENERGY"}]}],'
     '"id":"generated-energy-v1"}'
 )
-BODY = (
-    "STRUCT<eventType: STRING, timestamp: STRING, seqNo: STRING, "
-    "transactionInfo: STRUCT<transactionId: STRING, timeSpentCharging: STRING>, "
-    "meterValue: ARRAY<STRUCT<timestamp: STRING, sampledValue: ARRAY<STRUCT<value: STRING, "
-    "measurand: STRING, location: STRING, unitOfMeasure: STRUCT<unit: STRING, multiplier: STRING>>>>>>"
+# Kinds of the generator's fields, as the engine prints them: nothing else may be there.
+GENERATOR = (
+    "OBJECT<batch_id: STRING, seed: BIGINT, session_count: BIGINT, "
+    "tariff: OBJECT<currency: STRING, id: STRING, price_per_kwh: STRING>, version: STRING>"
 )
 CHUNK = 10_000
-WHOLE = "^[0-9]+$"
+#: Copies of a batch's run id, so that the events of one large batch are joined in as many tasks.
+SALTS = 64
 
 
 def _opened(landing: DataFrame) -> DataFrame:
     """Landed lines with the envelope and the event inside it, each parsed once."""
-    envelope = F.col("_envelope")
-    body = F.col("_body")
-    meter = F.try_element_at(body["meterValue"], F.lit(1))
-    sample = F.try_element_at(meter["sampledValue"], F.lit(1))
+    envelope, body = F.col("_envelope"), F.col("_body")
     outer = {
         "keys": F.json_object_keys("raw_record"),
         "canonical": F.to_json(envelope),
         "parsed": envelope.isNotNull(),
-        "schema_version": text_at(envelope, "$.schema_version"),
+        "schema_version": whole_at(envelope, "$.schema_version"),
         "run_id": text_at(envelope, "$.run_id"),
         "event_id": text_at(envelope, "$.event_id"),
         "station": text_at(envelope, "$.charging_station_id"),
-        "payload": text_at(envelope, "$.payload"),
+        "payload": F.when(kind_at(envelope, "$.payload") == "STRING", text_at(envelope, "$.payload")),
+        "generator": kind_at(envelope, "$.generator"),
         "version": text_at(envelope, "$.generator.version"),
         "batch_id": text_at(envelope, "$.generator.batch_id"),
-        "session_count": text_at(envelope, "$.generator.session_count").try_cast("bigint"),
-        "seed": text_at(envelope, "$.generator.seed").try_cast("bigint"),
+        "session_count": whole_at(envelope, "$.generator.session_count"),
+        "seed": whole_at(envelope, "$.generator.seed"),
         "tariff": F.concat_ws(
             "|", *[F.coalesce(text_at(envelope, f"$.generator.tariff.{name}"), F.lit("")) for name in TARIFF]
         ),
     }
-    parsed = landing.select("raw_record", "record_hash", "ingested_at").withColumn(
-        "_envelope", F.try_parse_json("raw_record")
-    )
-    opened = parsed.withColumn("_e", once(F.struct(*[v.alias(k) for k, v in outer.items()]))).select(
-        "raw_record", "record_hash", "ingested_at", "_e.*"
+    kept = ["raw_record", "record_hash", "source_file_name", "ingested_at"]
+    parsed = (
+        landing.select(*kept)
+        .withColumn("_marked", marked("raw_record"))
+        .withColumn("_envelope", document_within(F.col("_marked"), "raw_record"))
     )
+    opened = parsed.withColumn("_e", once(F.struct(*[v.alias(k) for k, v in outer.items()]))).select(*kept, "_e.*")
+    sample = "$.meterValue[0].sampledValue[0]"
     inner = {
-        "body_parsed": F.try_parse_json("payload").isNotNull(),
-        "session_id": body["transactionInfo"]["transactionId"],
-        "event_type": body["eventType"],
-        "sequence_number": body["seqNo"].try_cast("bigint"),
-        "event_time": body["timestamp"].try_cast("timestamp"),
-        "spent": body["transactionInfo"]["timeSpentCharging"].try_cast("bigint"),
-        "meter_time": meter["timestamp"].try_cast("timestamp"),
-        "samples": F.size(body["meterValue"]) * F.size(meter["sampledValue"]),
-        "meter_wh": F.when(sample["value"].rlike(WHOLE), sample["value"].try_cast("bigint")),
+        "body_parsed": kind_at(body, "$").startswith("OBJECT"),
+        "session_id": text_at(body, "$.transactionInfo.transactionId"),
+        "event_type": text_at(body, "$.eventType"),
+        "sequence_number": whole_at(body, "$.seqNo"),
+        "event_time": instant_at(body, "$.timestamp"),
+        "spent": whole_at(body, "$.transactionInfo.timeSpentCharging"),
+        "meter_time": instant_at(body, "$.meterValue[0].timestamp"),
+        "meters": items_at(body, "$.meterValue"),
+        "samples": items_at(body, "$.meterValue[0].sampledValue"),
+        "meter_wh": whole_at(body, f"{sample}.value"),
+        "multiplier": whole_at(body, f"{sample}.unitOfMeasure.multiplier"),
         "register": F.concat_ws(
             "|",
             *[
-                F.coalesce(part, F.lit(""))
-                for part in (
-                    sample["measurand"],
-                    sample["location"],
-                    sample["unitOfMeasure"]["unit"],
-                    sample["unitOfMeasure"]["multiplier"],
-                )
+                F.coalesce(text_at(body, f"{sample}.{part}"), F.lit(""))
+                for part in ("measurand", "location", "unitOfMeasure.unit")
             ],
         ),
     }
     return (
-        opened.withColumn("_body", once(F.from_json("payload", BODY)))
+        opened.withColumn("_marked", marked("payload"))
+        .withColumn("_body", document_within(F.col("_marked"), "payload"))
         .withColumn("_i", once(F.struct(*[v.alias(k) for k, v in inner.items()])))
         .select(*opened.columns, "_i.*")
     )
@@ -94,9 +98,8 @@ def _opened(landing: DataFrame) -> DataFrame:
 
 def _line_rules() -> dict[str, Column]:
     identity = F.regexp_replace("session_id", "^txn-", "")
-    kind = F.try_element_at(
-        F.array(*[F.lit(name) for name in EVENT_TYPES]), F.col("sequence_number").cast("int") + 1
-    )
+    place = F.when(F.col("sequence_number").between(0, 2), F.col("sequence_number").cast("int") + 1)
+    kind = F.try_element_at(F.array(*[F.lit(name) for name in EVENT_TYPES]), place)
     wanted = F.array(*[F.lit(name) for name in FIELDS])
     foreign = F.array(*[F.lit(name) for name in FOREIGN_FIELDS])
     return {
@@ -104,21 +107,22 @@ def _line_rules() -> dict[str, Column]:
         "malformed_line": F.col("parsed"),
         "mixed_record": ~F.coalesce(F.arrays_overlap("keys", foreign), F.lit(False)),
         "unexpected_fields": F.sort_array("keys") == wanted,
-        "schema_version": F.col("schema_version") == "1",
+        "schema_version": F.col("schema_version") == 1,
         "run_id": F.col("run_id") == F.concat(F.lit(RUN_PREFIX), "batch_id"),
-        "generator": (F.col("version") == VERSION)
+        "generator": (F.col("generator") == GENERATOR)
+        & (F.col("version") == VERSION)
         & F.col("batch_id").rlike("^[a-z][a-z0-9_-]{0,31}$")
         & (F.col("session_count") >= 1)
         & F.col("seed").between(0, 4294967295)
         & (F.col("tariff") == "|".join(TARIFF.values())),
         "malformed_event": F.col("body_parsed"),
-        "sequence_type": F.col("sequence_number").between(0, 2) & (F.col("event_type") == kind),
+        "sequence_type": F.col("event_type") == kind,
         "identity": F.col("session_id").startswith("txn-")
         & (F.col("event_id") == F.concat(F.lit("msg-"), identity, F.lit("-"), F.lower("event_type")))
         & (F.col("station") == F.concat(F.lit("cs-"), identity)),
         "meter_time": F.col("meter_time") == F.col("event_time"),
-        "one_sample": F.col("samples") == 1,
-        "register": F.col("register") == "Energy.Active.Import.Register|Outlet|Wh|0",
+        "one_sample": (F.col("meters") == 1) & (F.col("samples") == 1),
+        "register": (F.col("register") == "Energy.Active.Import.Register|Outlet|Wh") & (F.col("multiplier") == 0),
         "meter_value": F.col("meter_wh") >= 0,
         "elapsed": (F.col("sequence_number") == 0) | (F.col("spent") > 0),
     }
@@ -174,8 +178,9 @@ def sequence_violations(events: DataFrame) -> DataFrame:
         *[at(i, "meter_wh").alias(f"m{i}") for i in range(3)],
         *[at(i, "spent").alias(f"s{i}") for i in (1, 2)],
     )
+    # As decimals: an absurd number of seconds must not overflow.
     elapsed = [
-        F.unix_micros(f"t{i}") - F.unix_micros("t0") == F.col(f"s{i}") * 1_000_000 for i in (1, 2)
+        F.unix_micros(f"t{i}") - F.unix_micros("t0") == F.col(f"s{i}").cast("decimal(20,0)") * 1_000_000 for i in (1, 2)
     ]
     complete = F.col("t0").isNotNull() & F.col("t1").isNotNull() & F.col("t2").isNotNull()
     rules = {
@@ -193,11 +198,19 @@ def inventory_gap(events: DataFrame) -> DataFrame:
     """Declared sessions without events, and sessions nobody declared.
 
     Declared ids are generated in two steps, so that a batch declaring a billion
-    sessions is spread over tasks before it becomes rows.
+    sessions is spread over tasks before it becomes rows. A batch that declares more than
+    CHUNK sessions beyond twice those that its events name cannot be complete; it gets one
+    row, `mostly_missing`, and its ids are not listed: one false number must not decide how
+    many rows are generated.
     """
-    declared = events.groupBy("batch_id").agg(F.max("session_count").alias("n"))
+    found = events.groupBy("batch_id", "session_id").agg(F.max("session_count").alias("n"))
+    declared = found.groupBy("batch_id").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("seen"))
+    absurd = F.col("n") - CHUNK > F.col("seen") * 2
+    mostly = declared.where(absurd).select(
+        "batch_id", F.lit(None).cast("string").alias("session_id"), F.lit("mostly_missing").alias("gap")
+    )
     last_chunk = F.floor((F.col("n") - 1) / CHUNK)
-    chunks = declared.select(
+    chunks = declared.where(~absurd).select(
         "batch_id", "n", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)).alias("chunk")
     ).repartition("batch_id", "chunk")
     first = F.col("chunk") * CHUNK
@@ -208,18 +221,20 @@ def inventory_gap(events: DataFrame) -> DataFrame:
         F.concat(F.lit("txn-"), F.substring(sha256(seed), 1, 24)).alias("session_id"),
         F.lit(1).alias("declared"),
     )
-    found = events.select("batch_id", "session_id", F.lit(1).alias("seen"))
-    return (
-        wanted.unionByName(found, allowMissingColumns=True)
+    listed = found.select("batch_id", "session_id", F.lit(1).alias("seen"))
+    gaps = (
+        wanted.unionByName(listed, allowMissingColumns=True)
         .groupBy("batch_id", "session_id")
         .agg(F.max("declared").alias("declared"), F.max("seen").alias("seen"))
         .where(F.col("declared").isNull() | F.col("seen").isNull())
-        .select(
-            "batch_id",
-            "session_id",
-            F.when(F.col("seen").isNull(), "missing").otherwise("undeclared").alias("gap"),
-        )
     )
+    # The sessions of a batch whose ids are not listed are not undeclared; there are few such batches.
+    checked = gaps.join(mostly.select("batch_id"), "batch_id", "left_anti")
+    return checked.select(
+        "batch_id",
+        "session_id",
+        F.when(F.col("seen").isNull(), "missing").otherwise("undeclared").alias("gap"),
+    ).unionByName(mostly)
 
 
 def batch_violations(lines: DataFrame, events: DataFrame) -> DataFrame:
@@ -250,6 +265,30 @@ def batch_violations(lines: DataFrame, events: DataFrame) -> DataFrame:
     return stacked.groupBy("batch_id", "violation").agg(F.count(F.lit(1)).alias("occurrences"))
 
 
+def batch_gate(lines: DataFrame, events: DataFrame, violations: DataFrame) -> DataFrame:
+    """Per batch with valid events: whether all of it may be adapted.
+
+    One violation keeps the whole batch out. A line that names no batch counts against the
+    batches of its file, and one whose run id names another batch counts against that as well.
+    """
+    named = F.regexp_extract("run_id", f"^{RUN_PREFIX}(.*)$", 1)
+    bad = lines.where(F.size("reasons") > 0)
+    nameless = bad.where(F.col("batch_id").isNull()).select("source_file_name").distinct()
+    of_files = lines.where("ok").select("batch_id", "source_file_name").distinct().join(nameless, "source_file_name", "left_semi")
+    rejected = (
+        violations.select("batch_id")
+        .unionByName(bad.select(named.alias("batch_id")))
+        .unionByName(of_files.select("batch_id"))
+        .where(F.col("batch_id").isNotNull())
+        .distinct()
+        .withColumn("_rejected", F.lit(True))
+    )
+    return (
+        events.select("batch_id").distinct().join(rejected, "batch_id", "left")
+        .select("batch_id", F.col("_rejected").isNull().alias("accepted"))
+    )
+
+
 def content_fingerprint(rows: DataFrame, keys: list[str], content: Column) -> DataFrame:
     """Identity of a set of documents that ignores order, arrival and partitioning.
 
@@ -282,21 +321,24 @@ def batch_identity(clean: DataFrame, code_hash: str, mode: str) -> DataFrame:
     )
 
 
-def batch_adapt(clean: DataFrame, code_hash: str, mode: str = "healthy") -> dict[str, DataFrame]:
-    """Manifest, registry, events and tariff rows of each batch.
+def batch_adapt(clean: DataFrame, gate: DataFrame, code_hash: str, mode: str = "healthy") -> dict[str, DataFrame]:
+    """Manifest, registry, events and tariff rows of each batch that the gate accepts.
 
-    The run id is attached with a join on the batch, of which there are far fewer than events.
+    An accepted batch is complete, so its sessions are those declared. A batch may hold most
+    of the events: the join that attaches run ids is salted by event.
     """
-    per_batch = batch_identity(clean, code_hash, mode).join(
-        clean.groupBy("batch_id").agg(
-            F.min("event_time").alias("earliest"), F.max("seed").alias("seed")
-        ),
-        "batch_id",
+    accepted = gate.where("accepted").select("batch_id")
+    per_batch = (
+        batch_identity(clean, code_hash, mode)
+        .join(clean.groupBy("batch_id").agg(F.min("event_time").alias("earliest"), F.max("seed").alias("seed")), "batch_id")
+        .join(accepted, "batch_id", "left_semi")
     )
     tariff = F.lit(TARIFF_PAYLOAD)
     tariff_hash = F.sha2(tariff, 256)
-    runs = per_batch.select("batch_id", F.col("run_id").alias("check_run"))
-    events = clean.join(runs, "batch_id").withColumn("run_id", F.col("check_run"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    runs = per_batch.select("batch_id", F.col("run_id").alias("check_run"), salts.alias("salt"))
+    salted = clean.withColumn("salt", F.pmod(F.xxhash64("event_id"), F.lit(SALTS)).cast("int"))
+    events = salted.join(runs, ["batch_id", "salt"]).withColumn("run_id", F.col("check_run"))
     return {
         "run_manifest": per_batch.select(
             "run_id",

@@ -203,34 +203,52 @@ _DOMAIN["first"] = """
     ORDER BY priority, release_role NULLS FIRST, session_id NULLS FIRST, assertion_id NULLS FIRST) AS place FROM problems) WHERE place = 1"""
 
 # Landed batches.
+def _whole(document: str, path: str) -> str:
+    return f"CASE WHEN json_type({document}, '{path}') IN ('UBIGINT', 'BIGINT') THEN TRY_CAST(json_extract_string({document}, '{path}') AS BIGINT) END"
+
+
+def _instant(path: str) -> str:
+    """All valid instants of the recipes are in UTC."""
+    form = "[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,6})?Z"
+    text = f"json_extract_string(body, '{path}')"
+    return f"CASE WHEN regexp_full_match({text}, '{form}') THEN TRY_CAST(replace(replace({text}, 'T', ' '), 'Z', '') AS TIMESTAMP) END"
+
+
+_SAMPLE = "$.meterValue[0].sampledValue[0]"
 _ENVELOPE = {
     "record_hash": "record_hash = sha256(raw_record)",
     "malformed_line": "doc IS NOT NULL",
-    "mixed_record": "NOT coalesce(list_contains(json_keys(doc), 'cdr_id'), FALSE)",
+    "mixed_record": "NOT coalesce(list_has_any(json_keys(doc), ['cdr_id', 'release_role', 'tariff_id']), FALSE)",
     "unexpected_fields": "list_sort(json_keys(doc)) = ['charging_station_id', 'event_id', 'generator', 'payload', 'run_id', 'schema_version']",
-    "schema_version": "doc->>'$.schema_version' = '1'",
-    "run_id": "doc->>'$.run_id' = 'generated-v1-' || batch_id",
-    "generator": "batch_id IS NOT NULL",
-    "malformed_event": "body IS NOT NULL",
-    "sequence_type": "body->>'$.eventType' = ['Started', 'Updated', 'Ended'][seq + 1]",
-    "identity": "doc->>'$.event_id' = 'msg-' || substr(session_id, 5) || '-' || lower(body->>'$.eventType')",
-    "meter_time": "body->>'$.meterValue[0].timestamp' = body->>'$.timestamp'",
-    "one_sample": "body IS NOT NULL",
-    "register": "body->>'$.meterValue[0].sampledValue[0].unitOfMeasure.unit' = 'Wh'",
+    "schema_version": f"({_whole('doc', '$.schema_version')}) = 1",
+    "run_id": "json_extract_string(doc, '$.run_id') = 'generated-v1-' || batch_id",
+    "generator": "list_sort(json_keys(doc, '$.generator')) = ['batch_id', 'seed', 'session_count', 'tariff', 'version'] "
+    "AND json_extract_string(doc, '$.generator.version') = 'sessions-v1' AND regexp_full_match(batch_id, '[a-z][a-z0-9_-]{0,31}') "
+    "AND session_count >= 1 AND seed BETWEEN 0 AND 4294967295 AND list_sort(json_keys(doc, '$.generator.tariff')) = ['currency', 'id', 'price_per_kwh'] "
+    "AND json_extract(doc, '$.generator.tariff.id') = '\"generated-energy-v1\"' AND json_extract(doc, '$.generator.tariff.currency') = '\"EUR\"' "
+    "AND json_extract(doc, '$.generator.tariff.price_per_kwh') = '\"0.45\"'",
+    "malformed_event": "json_type(body) = 'OBJECT'",
+    "sequence_type": "event_type = ['Started', 'Updated', 'Ended'][seq + 1]",
+    "identity": "starts_with(session_id, 'txn-') AND event_id = 'msg-' || substr(session_id, 5) || '-' || lower(event_type) "
+    "AND station = 'cs-' || substr(session_id, 5)",
+    "meter_time": f"({_instant('$.meterValue[0].timestamp')}) = event_time",
+    "one_sample": "json_array_length(body, '$.meterValue') = 1 AND json_array_length(body, '$.meterValue[0].sampledValue') = 1",
+    "register": f"json_extract_string(body, '{_SAMPLE}.measurand') = 'Energy.Active.Import.Register' AND json_extract_string(body, '{_SAMPLE}.location') = 'Outlet' "
+    f"AND json_extract_string(body, '{_SAMPLE}.unitOfMeasure.unit') = 'Wh' AND ({_whole('body', _SAMPLE + '.unitOfMeasure.multiplier')}) = 0",
     "meter_value": "meter_wh >= 0",
     "elapsed": "seq = 0 OR spent > 0",
 }
 _DOMAIN["opened"] = f"""
   SELECT *, {reasons(_ENVELOPE)} AS reasons FROM (
-    SELECT *, CAST(body->>'$.seqNo' AS BIGINT) AS seq, body->>'$.transactionInfo.transactionId' AS session_id,
-      CAST(body->>'$.meterValue[0].sampledValue[0].value' AS BIGINT) AS meter_wh,
-      CAST(body->>'$.transactionInfo.timeSpentCharging' AS BIGINT) AS spent,
-      CAST(replace(replace(body->>'$.timestamp', 'T', ' '), 'Z', '') AS TIMESTAMP) AS event_time,
-      body->>'$.eventType' AS event_type
-    FROM (SELECT *, doc->>'$.generator.batch_id' AS batch_id, CAST(doc->>'$.generator.session_count' AS BIGINT) AS session_count,
-        CAST(doc->>'$.generator.seed' AS BIGINT) AS seed, doc->>'$.payload' AS payload, CAST(doc->>'$.payload' AS JSON) AS body,
-        doc->>'$.event_id' AS event_id, doc->>'$.charging_station_id' AS station
-      FROM (SELECT *, CASE WHEN json_valid(raw_record) THEN CAST(raw_record AS JSON) END AS doc FROM landing)))"""
+    SELECT *, {_whole('body', '$.seqNo')} AS seq, json_extract_string(body, '$.transactionInfo.transactionId') AS session_id,
+      {_whole('body', _SAMPLE + '.value')} AS meter_wh, {_whole('body', '$.transactionInfo.timeSpentCharging')} AS spent,
+      {_instant('$.timestamp')} AS event_time, json_extract_string(body, '$.eventType') AS event_type
+    FROM (SELECT *, CASE WHEN len(json_keys(loose)) = len(list_distinct(json_keys(loose))) THEN loose END AS body
+      FROM (SELECT *, CASE WHEN json_valid(payload) THEN CAST(payload AS JSON) END AS loose
+        FROM (SELECT *, json_extract_string(doc, '$.generator.batch_id') AS batch_id, {_whole('doc', '$.generator.session_count')} AS session_count,
+            {_whole('doc', '$.generator.seed')} AS seed, json_extract_string(doc, '$.payload') AS payload,
+            json_extract_string(doc, '$.event_id') AS event_id, json_extract_string(doc, '$.charging_station_id') AS station
+          FROM (SELECT *, CASE WHEN json_valid(raw_record) THEN CAST(raw_record AS JSON) END AS doc FROM landing)))))"""
 _DOMAIN["dedup"] = """
   SELECT batch_id, event_id, min(ingested_at) AS ingested_at, count(*) AS copies, count(DISTINCT raw_record) > 1 AS conflict,
     min(session_id) AS session_id, min(event_type) AS event_type, min(seq) AS seq, min(event_time) AS event_time, min(spent) AS spent,
@@ -247,12 +265,27 @@ _DOMAIN["seqviol"] = """
   UNION SELECT batch_id, session_id, 'meter_decreased' FROM ordered WHERE n = 3 AND meter_wh < before_wh
   UNION SELECT batch_id, session_id, 'elapsed_differs' FROM ordered WHERE n = 3 AND seq > 0
     AND epoch_us(event_time) - epoch_us(first_time) <> spent * 1000000"""
+_DOMAIN["sizes"] = """
+  SELECT batch_id, max(session_count) AS n, max(session_count) - 10000 > 2 * count(DISTINCT session_id) AS absurd FROM clean GROUP BY batch_id"""
 _DOMAIN["declared"] = """
   SELECT batch_id, 'txn-' || substr(sha256('sessions-v1:' || batch_id || ':' || CAST(i AS VARCHAR)), 1, 24) AS session_id
-  FROM (SELECT batch_id, unnest(generate_series(0, n - 1)) AS i FROM (SELECT batch_id, max(session_count) AS n FROM clean GROUP BY batch_id))"""
+  FROM (SELECT batch_id, unnest(generate_series(0, n - 1)) AS i FROM sizes WHERE NOT absurd)"""
 _DOMAIN["gaps"] = """
   SELECT batch_id, session_id, 'missing' AS gap FROM declared ANTI JOIN clean USING (batch_id, session_id)
-  UNION SELECT batch_id, session_id, 'undeclared' FROM clean ANTI JOIN declared USING (batch_id, session_id)"""
+  UNION SELECT batch_id, session_id, 'undeclared' FROM clean ANTI JOIN declared USING (batch_id, session_id)
+    WHERE batch_id IN (SELECT batch_id FROM sizes WHERE NOT absurd)
+  UNION SELECT batch_id, NULL, 'mostly_missing' FROM sizes WHERE absurd"""
+_DOMAIN["violated"] = """
+  SELECT batch_id, unnest(reasons) AS violation FROM opened
+  UNION ALL SELECT batch_id, 'conflicting_event' FROM dedup WHERE conflict UNION ALL SELECT batch_id, violation FROM seqviol
+  UNION ALL SELECT batch_id, gap || '_session' FROM gaps
+  UNION ALL SELECT batch_id, 'conflicting_settings' FROM dedup GROUP BY batch_id HAVING count(DISTINCT (session_count, seed)) > 1"""
+_DOMAIN["gated"] = """
+  SELECT DISTINCT batch_id, NOT EXISTS (SELECT 1 FROM violated v WHERE v.batch_id = d.batch_id)
+    AND NOT EXISTS (SELECT 1 FROM opened o WHERE len(o.reasons) > 0 AND json_extract_string(o.doc, '$.run_id') = 'generated-v1-' || d.batch_id)
+    AND NOT EXISTS (SELECT 1 FROM opened o JOIN opened n ON n.batch_id IS NULL AND n.source_file_name = o.source_file_name
+      WHERE o.batch_id = d.batch_id AND len(o.reasons) = 0) AS accepted
+  FROM dedup d"""
 
 
 def fingerprint(source: str, keys: str, content: str) -> str:
@@ -272,7 +305,8 @@ _CANONICAL = """'{"charging_station_id":"' || station || '","event_id":"' || eve
 _DOMAIN["identity"] = f"""
   SELECT *, 'generated-check-v1-' || batch_id || '-healthy-' || substr(sha256(input_hash || 'code'), 1, 16) AS run_id
   FROM ({fingerprint('clean', 'batch_id', _CANONICAL)})
-    JOIN (SELECT batch_id, min(event_time) AS earliest, max(seed) AS seed FROM clean GROUP BY batch_id) USING (batch_id)"""
+    JOIN (SELECT batch_id, min(event_time) AS earliest, max(seed) AS seed FROM clean GROUP BY batch_id) USING (batch_id)
+  WHERE batch_id IN (SELECT batch_id FROM gated WHERE accepted)"""
 
 # Attempts.
 _DOMAIN["e1"] = """
@@ -380,8 +414,10 @@ _FINALS: dict[str, str] = {
     "landing_integrity": f"""SELECT {big('count(*) FILTER (record_hash <> sha256(raw_record))', 'invalid_record_hashes')}, CAST(0 AS BIGINT) AS missing_source_metadata FROM landing""",
     "landing_duplicates": f"SELECT '/in/all' AS source_file_path, record_hash, {big('count(*)', 'occurrences')} FROM landing GROUP BY record_hash HAVING count(*) > 1",
     "landing_preview": """SELECT doc->>'$.schema_version' AS schema_version, doc->>'$.run_id' AS run_id, event_id, station AS charging_station_id, session_id, event_type,
-      CAST(seq AS INT) AS sequence_number, body->>'$.timestamp' AS event_time, meter_wh, doc->>'$.generator.seed' AS seed,
-      doc->>'$.generator.tariff.price_per_kwh' AS price_per_kwh FROM opened""",
+      CASE WHEN json_type(body, '$.seqNo') IN ('UBIGINT', 'BIGINT', 'VARCHAR') THEN TRY_CAST(json_extract_string(body, '$.seqNo') AS INT) END AS sequence_number,
+      body->>'$.timestamp' AS event_time, CASE WHEN json_type(body, '$.meterValue[0].sampledValue[0].value') IN ('UBIGINT', 'BIGINT', 'VARCHAR')
+        THEN TRY_CAST(json_extract_string(body, '$.meterValue[0].sampledValue[0].value') AS BIGINT) END AS meter_wh,
+      doc->>'$.generator.seed' AS seed, doc->>'$.generator.tariff.price_per_kwh' AS price_per_kwh FROM opened""",
     "publish_once": f"SELECT sha256(raw_record) AS record_hash, {big('count(*)', 'n')} FROM landing GROUP BY ALL",
     "schema_conformance": " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, {big(f'count(*) FILTER ({c} IS NULL)', 'null_rows')} FROM lifecycle"
@@ -478,10 +514,10 @@ _FINALS: dict[str, str] = {
     "event_dedup": f"SELECT batch_id, event_id, {us('ingested_at')}, copies, conflict FROM dedup",
     "sequence_violations": "SELECT batch_id, session_id, violation FROM seqviol",
     "inventory_gap": "SELECT batch_id, session_id, gap FROM gaps",
-    "batch_violations": f"""SELECT batch_id, violation, {big('count(*)', 'occurrences')} FROM (SELECT batch_id, unnest(reasons) AS violation FROM opened
-      UNION ALL SELECT batch_id, 'conflicting_event' FROM dedup WHERE conflict UNION ALL SELECT batch_id, violation FROM seqviol
-      UNION ALL SELECT batch_id, gap || '_session' FROM gaps
-      UNION ALL SELECT batch_id, 'conflicting_settings' FROM dedup GROUP BY batch_id HAVING count(DISTINCT (session_count, seed)) > 1) GROUP BY ALL""",
+    "batch_violations": f"SELECT batch_id, violation, {big('count(*)', 'occurrences')} FROM violated GROUP BY ALL",
+    "batch_gate": "SELECT batch_id, accepted FROM gated",
+    "batch_lines": """SELECT source_file_name, sha256(raw_record) AS line_hash, batch_id, event_id, session_id, seq AS sequence_number, meter_wh,
+      len(reasons) = 0 AS ok, coalesce(array_to_string(reasons, ','), '') AS reasons FROM opened""",
     "batch_clean_events": f"SELECT batch_id, event_id, session_id, event_type, {us('event_time')}, meter_wh, {us('ingested_at')} FROM clean",
     "batch_adapt_manifest": f"""SELECT run_id, 'generated-mock-v1-healthy-' || batch_id AS scenario_id, seed, sha1('codehealthy-v1') AS baseline_sha, sha1('codehealthy-v1') AS candidate_sha,
       sha256('TARIFF') AS tariff_hash, epoch_us(earliest) AS created_at_us FROM identity""",

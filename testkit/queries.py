@@ -143,6 +143,11 @@ class Chain:
     def clean(self):
         return bat.batch_clean_events(self.events)
 
+    @cached_property
+    def gate(self):
+        violations = bat.batch_violations(self.lines, self.events)
+        return self.d.store("gate", lambda: bat.batch_gate(self.lines, self.events, violations))
+
     @property
     def attempt(self):
         d = self.d
@@ -350,7 +355,7 @@ def _rated(c: Chain) -> DataFrame:
 
 def _adapted(name: str, drop: tuple[str, ...] = ()):
     def build(c: Chain) -> DataFrame:
-        return times(bat.batch_adapt(c.clean, CODE)[name].drop(*drop))
+        return times(bat.batch_adapt(c.clean, c.gate, CODE)[name].drop(*drop))
 
     return build
 
@@ -506,6 +511,11 @@ _BUILDERS: dict[str, Callable[[Chain], DataFrame]] = {
     "sequence_violations": lambda c: bat.sequence_violations(c.clean),
     "inventory_gap": lambda c: bat.inventory_gap(c.clean),
     "batch_violations": lambda c: bat.batch_violations(c.lines, c.events),
+    "batch_gate": lambda c: bat.batch_gate(c.lines, c.events, bat.batch_violations(c.lines, c.events)),
+    "batch_lines": lambda c: bat.batch_lines(c.d.landing).select(
+        "source_file_name", F.sha2("raw_record", 256).alias("line_hash"), "batch_id", "event_id", "session_id", "sequence_number",
+        "meter_wh", "ok", joined("reasons"),
+    ),
     "batch_clean_events": lambda c: times(
         c.clean.select("batch_id", "event_id", "session_id", "event_type", "event_time", "meter_wh", "ingested_at")
     ),

@@ -160,7 +160,6 @@ def recipes(engine: str) -> dict[str, str]:
           WHEN 11 THEN replace(payload, '}}]}}]}}', '}},{{"type":"FLAT","price":1,"step_size":1}}]}}]}}')
           WHEN 12 THEN replace(payload, '"id":"tariff', '"id":"other')
           WHEN 13 THEN replace(payload, '}}', '')
-          WHEN 14 THEN replace(payload, '"vat"', '"vat"')
           ELSE payload END AS payload
         FROM (SELECT *, {tariff_payload} AS payload FROM tariff_periods) y) x"""
 
@@ -210,37 +209,53 @@ def recipes(engine: str) -> dict[str, str]:
         WHEN k % 47 = 3 THEN 'shadow' WHEN k % 53 = 4 THEN 'odd' ELSE 'none' END AS kind
       FROM sess"""
 
-    # Landed event lines of seven batches; a batch declares its own number of sessions.
+    # Landed event lines of seven batches; a batch declares its own number of sessions. Faults are
+    # told by `f`, which is 0, hence none, in two of the batches.
     r["batch_sizes"] = "SELECT o_orderkey % 7 AS b, count(*) AS n FROM orders GROUP BY o_orderkey % 7"
     r["batch_events"] = f"""
-      SELECT k, seq, dmin, batch_id, n, 'txn-' || ident AS session_id, ident, event_type, event_time,
-        spent + CASE WHEN k % 167 = 10 AND seq = 2 THEN 1 ELSE 0 END AS spent,
-        CASE WHEN k % 173 = 11 AND seq = 1 THEN m0 - 5 ELSE m0 + (wh {div} 2) * seq END AS meter
-      FROM (SELECT *, 'b' || {s('k % 7')} AS batch_id,
+      SELECT k, f, seq, dmin, batch_id, n, 'txn-' || ident AS session_id, ident, event_type, event_time,
+        spent + CASE WHEN f % 167 = 10 AND seq = 2 THEN 1 ELSE 0 END AS spent,
+        CASE WHEN f % 173 = 11 AND seq = 1 THEN m0 - 5 ELSE m0 + (wh {div} 2) * seq END AS meter
+      FROM (SELECT *, 'b' || {s('k % 7')} AS batch_id, CASE WHEN k % 7 < 5 THEN k ELSE 0 END AS f,
           substr({sha("'sessions-v1:b' || " + s('k % 7') + " || ':' || " + s(f'k {div} 7'))}, 1, 24) AS ident
-        FROM meter_events JOIN batch_sizes ON b = k % 7 WHERE NOT (k % 149 = 3 AND seq = 2)) x"""
+        FROM meter_events JOIN batch_sizes ON b = k % 7 WHERE NOT (k % 7 < 5 AND k % 149 = 3 AND seq = 2)) x"""
     # copy 0 is the first delivery; re-delivered and contradicting events arrive once more.
     r["batch_copies"] = """
       SELECT *, 0 AS copy FROM batch_events
-      UNION ALL SELECT *, 1 AS copy FROM batch_events WHERE k % 53 = 7 OR (k % 101 = 9 AND seq = 1)"""
+      UNION ALL SELECT *, 1 AS copy FROM batch_events WHERE k % 53 = 7 OR (f % 101 = 9 AND seq = 1)"""
     escaped = f"replace(payload, {d['quote']}, {d['backslash']} || {d['quote']})"
+    # Each rule of an event's body is broken by one group.
+    faults = "".join(
+        f" WHEN {i} THEN replace(whole, '{old}', '{new}')"
+        for i, (old, new) in enumerate(
+            [
+                ('"seqNo":1', '"seqNo":"1"'), ('"eventType":"Ended"', '"eventType":"Updated"'), ('"timestamp":"', '"timestamp":"x'),
+                ('Z","seqNo"', '","seqNo"'), ('Z","sampledValue"', '.5Z","sampledValue"'), ('"value":', '"value":-'),
+                (',"measurand"', '.0,"measurand"'), ('"location":"Outlet"', '"location":"Inlet"'), ('"multiplier":0', '"multiplier":"0"'),
+                ('}}]}]}', '}},{}]}]}'), ('"timeSpentCharging":', '"timeSpentCharging":-'), ('"eventType"', 'eventType'),
+                ('"transactionId":"txn', '"transactionId":"trn'), ('"eventType"', '"seqNo":9,"eventType"'), ('}]}', '}]}]}'),
+            ],
+            start=20,
+        )
+    )
     r["landing"] = f"""
-      SELECT raw_record, CASE WHEN k % 151 = 5 AND seq = 1 THEN 'x' || {sha('raw_record')} ELSE {sha('raw_record')} END AS record_hash,
+      SELECT raw_record, CASE WHEN f % 151 = 5 AND seq = 1 THEN 'x' || {sha('raw_record')} ELSE {sha('raw_record')} END AS record_hash,
         '/in/' || file_name AS source_file_path, file_name AS source_file_name,
         {ts('2026-01-01 00:00:00')} AS source_file_modification_time, ingested_at
-      FROM (SELECT k, seq, 'events-' || batch_id || '-' || {s('copy')} || '.jsonl' AS file_name,
+      FROM (SELECT k, f, seq, 'events-' || batch_id || '-' || {s('copy')} || '.jsonl' AS file_name,
           {seconds('event_time', '60 + 3600 * copy')} AS ingested_at,
-          '{{"schema_version":' || CASE WHEN k % 163 = 9 THEN '2' ELSE '1' END
-          || ',"run_id":"' || CASE WHEN k % 191 = 14 THEN 'other' ELSE 'generated-v1-' || batch_id END
+          '{{"schema_version":' || CASE WHEN f % 163 = 9 THEN '2' WHEN f % 199 = 16 THEN '"1"' ELSE '1' END
+          || ',"run_id":"' || CASE WHEN f % 191 = 14 THEN 'other' ELSE 'generated-v1-' || batch_id END
           || '","event_id":"msg-' || ident || '-' || lower(event_type)
-          || '","charging_station_id":"cs-' || ident || '","payload":"' || {escaped}
-          || '","generator":{{"version":"sessions-v1","batch_id":"' || batch_id || '","session_count":' || {s('n')}
-          || ',"seed":' || CASE WHEN k % 193 = 15 THEN '43' ELSE '42' END
-          || ',"tariff":{{"id":"generated-energy-v1","currency":"EUR","price_per_kwh":"0.45"}}}}'
-          || CASE WHEN k % 157 = 8 THEN ',"cdr_id":"c"' ELSE '' END
-          || CASE WHEN k % 179 = 12 THEN '' ELSE '}}' END AS raw_record
-        FROM (SELECT *, {event_payload.replace("|| " + s('meter'), "|| " + s("meter + CASE WHEN copy = 1 AND k % 101 = 9 THEN 1 ELSE 0 END"))} AS payload
-          FROM batch_copies) y) x"""
+          || '","charging_station_id":"' || CASE WHEN f % 199 = 19 THEN 'no-' ELSE 'cs-' END || ident || '","payload":"' || {escaped}
+          || '","generator":{{"version":"sessions-v1","batch_id":"' || batch_id || '","session_count":' || CASE WHEN f % 199 = 17 THEN {d['quote']} || {s('n')} || {d['quote']} ELSE {s('n')} END
+          || ',"seed":' || CASE WHEN f % 193 = 15 THEN '43' ELSE '42' END
+          || ',"tariff":{{"id":"generated-energy-v1","currency":"EUR","price_per_kwh":"0.45"}}' || CASE WHEN f % 199 = 18 THEN ',"note":1' ELSE '' END || '}}'
+          || CASE WHEN f % 157 = 8 THEN ',"cdr_id":"c"' ELSE '' END
+          || CASE WHEN f % 179 = 12 THEN '' ELSE '}}' END AS raw_record
+        FROM (SELECT *, CASE f % 199{faults} ELSE whole END AS payload
+          FROM (SELECT *, {event_payload.replace("|| " + s('meter'), "|| " + s("meter + CASE WHEN copy = 1 AND f % 101 = 9 THEN 1 ELSE 0 END"))} AS whole
+            FROM batch_copies) z) y) x"""
 
     # One evaluation attempt per customer, with the frozen results of the customer's sessions.
     r["attempts"] = f"""
