@@ -372,12 +372,13 @@ def cdr_quarantine(cdrs: DataFrame) -> DataFrame:
 
 
 def rate_sessions(
-    sessions: DataFrame, registry: DataFrame, history: DataFrame, surcharge: dict[str, str] | None = None
+    sessions: DataFrame, registry: DataFrame, history: DataFrame, surcharge: dict[str, str] | None = None,
+    silent: tuple[str, ...] = (),
 ) -> DataFrame:
     """Bills for each priceable session and release, as raw response documents.
 
     `surcharge` adds a fixed amount to every bill of a release, which reproduces a
-    release that overcharges; leave rows out afterwards to reproduce a missing bill.
+    release that overcharges; a release named in `silent` sends no bill.
     """
     surcharge = surcharge or {}
     extra = F.lit("0").cast("decimal(18,2)")
@@ -415,7 +416,7 @@ def rate_sessions(
     )
     billed = (
         expected.join(sessions.select(*SESSION, "started_at", "ended_at"), list(SESSION))
-        .withColumn("release_role", F.explode(F.array(*[F.lit(role) for role in ROLES])))
+        .withColumn("release_role", F.explode(F.array(*[F.lit(role) for role in ROLES if role not in silent]).cast("array<string>")))
         .withColumn("amount", (F.col("expected_amount") + extra).try_cast("decimal(18,2)"))
     )
     return billed.select(

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from meterproof.functions.columns import holds
 from meterproof.operators.evidence import _by_session, batch_context
-from meterproof.schemas import ROLES, RULES
+from meterproof.schemas import COUNTS, ROLES, RULES
 
 # Texts shown in the summary.
 NO_RECEIPT = "No evaluator receipt exists for this selection."
@@ -188,3 +190,19 @@ def status_counts(assertions: DataFrame) -> DataFrame:
     return assertions.groupBy("run_id", "release_role", "assertion_id", "status").agg(
         F.count(F.lit(1)).alias("assertion_rows")
     )
+
+
+def role_summary(verdicts: DataFrame) -> DataFrame:
+    """Counts and verdict of each release, read from the evidence of the run's verdict."""
+    per_role = F.explode(F.array(*[
+        F.struct(F.lit(role).alias("release_role"), F.get_json_object("evidence", f"$.{role}").alias("summary")) for role in ROLES
+    ]))
+    rows = verdicts.select("run_id", per_role.alias("r")).select("run_id", "r.*")
+    counts = [F.get_json_object("summary", f"$.{name}").cast("bigint").alias(name) for name in COUNTS]
+    return rows.select("run_id", "release_role", *counts, F.get_json_object("summary", "$.verdict").alias("verdict"))
+
+
+def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows of each table; a table without rows counts as 0."""
+    counts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count") for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, counts)

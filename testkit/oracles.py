@@ -375,6 +375,10 @@ _DOMAIN["captures"] = """
 _DOMAIN["captures_ok"] = "SELECT *, coverage_ok AND provenance_ok AND counts_ok AND verdicts_ok AS ok FROM captures"
 _DOMAIN["sets"] = """
   SELECT *, CAST(substr(session_id, 5) AS BIGINT) AS k FROM lifecycle"""
+_DOMAIN["replayed"] = """
+  SELECT run, release_role, ingest_time, payload AS original,
+    CASE WHEN run = 'replay-bad' AND release_role = 'candidate' THEN replace(payload, '"credit":false', '"credit":true') ELSE payload END AS payload
+  FROM cdrs_raw CROSS JOIN (VALUES ('replay-bad'), ('replay-fixed')) runs(run) WHERE run_id = 'run-0'"""
 _DOMAIN["older"] = "SELECT * EXCLUDE (k) REPLACE (meter_end_wh - 1 AS meter_end_wh) FROM sets WHERE k % 3 <> 0"
 _DOMAIN["newer"] = "SELECT * EXCLUDE (k) FROM sets WHERE k % 3 <> 1"
 
@@ -397,6 +401,11 @@ _TARIFF_RULES = {
     "has_document_dates": "doc->>'$.start_date_time' IS NULL AND doc->>'$.end_date_time' IS NULL",
 }
 _COUNTS = ", ".join(big(n, n) for n in _NAMES)
+# Projections of a landed record, beside run, role and arrival.
+_LANDED = """doc->>'$.country_code' AS country_code, doc->>'$.party_id' AS party_id, doc->>'$.id' AS cdr_id, doc->>'$.session_id' AS session_id,
+      CASE WHEN doc->>'$.credit' = 'true' THEN 'CREDIT' ELSE 'FINAL' END AS cdr_type, doc->>'$.currency' AS currency,
+      CASE WHEN doc IS NOT NULL THEN CAST(CAST(regexp_extract(payload, '"excl_vat":([^,}]+)', 1) AS DECIMAL(38,9)) AS DECIMAL(18,6)) END AS total_cost,
+      sha256(payload) AS payload_hash"""
 _TWICE = "(SELECT execution_id FROM requested)"
 
 
@@ -412,7 +421,7 @@ _FINALS: dict[str, str] = {
     "landing_audit": f"""SELECT source_file_path, source_file_name, {big('count(*)', 'landed_rows')}, {big('count(DISTINCT record_hash)', 'distinct_record_hashes')},
       epoch_us(min(ingested_at)) AS first_ingested_at_us, epoch_us(max(ingested_at)) AS last_ingested_at_us FROM landing GROUP BY ALL""",
     "landing_integrity": f"""SELECT {big('count(*) FILTER (record_hash <> sha256(raw_record))', 'invalid_record_hashes')}, CAST(0 AS BIGINT) AS missing_source_metadata FROM landing""",
-    "landing_duplicates": f"SELECT '/in/all' AS source_file_path, record_hash, {big('count(*)', 'occurrences')} FROM landing GROUP BY record_hash HAVING count(*) > 1",
+    "landing_duplicates": f"SELECT source_file_path, record_hash, {big('count(*)', 'occurrences')} FROM landing GROUP BY ALL HAVING count(*) > 1",
     "landing_preview": """SELECT doc->>'$.schema_version' AS schema_version, doc->>'$.run_id' AS run_id, event_id, station AS charging_station_id, session_id, event_type,
       CASE WHEN json_type(body, '$.seqNo') IN ('UBIGINT', 'BIGINT', 'VARCHAR') THEN TRY_CAST(json_extract_string(body, '$.seqNo') AS INT) END AS sequence_number,
       body->>'$.timestamp' AS event_time, CASE WHEN json_type(body, '$.meterValue[0].sampledValue[0].value') IN ('UBIGINT', 'BIGINT', 'VARCHAR')
@@ -435,19 +444,19 @@ _FINALS: dict[str, str] = {
         AND o.wh IS NOT DISTINCT FROM n.meter_end_wh AND o.status = n.status THEN 'unchanged' ELSE 'conflict' END AS status
       FROM (SELECT *, 1 AS k, meter_end_wh + CASE WHEN CAST(substr(session_id, 5) AS BIGINT) % 2 = 0 THEN 1 ELSE 0 END AS wh FROM older) o
       FULL JOIN (SELECT *, 1 AS k FROM newer) n USING (run_id, session_id)""",
-    "scenario_replay": f"""SELECT run, release_role, country_code, party_id, {us('ingest_time')}, sha256(p) AS payload_hash FROM (
-      SELECT *, CASE WHEN run = 'replay-bad' AND release_role = 'candidate' THEN replace(payload, '"credit":false', '"credit":true') ELSE payload END AS p
-      FROM cdrs_raw CROSS JOIN (VALUES ('replay-bad'), ('replay-fixed')) runs(run) WHERE run_id = 'run-0')""".replace("SELECT run,", "SELECT run AS run_id,"),
-    "replay_drift": f"""SELECT run AS run_id, {big('count(*)', 'replayed_rows')}, {big('count(*) FILTER (same)', 'faithful_rows')}, {big('count(*) FILTER (NOT same)', 'drifted_rows')} FROM (
-      SELECT run, NOT (run = 'replay-bad' AND release_role = 'candidate' AND contains(payload, '"credit":false'))
-        AND NOT contains(payload, '"credit":true') AS same FROM cdrs_raw CROSS JOIN (VALUES ('replay-bad'), ('replay-fixed')) runs(run) WHERE run_id = 'run-0') GROUP BY run""",
+    "scenario_replay": f"""SELECT run AS run_id, release_role, {_LANDED}, {us('ingest_time')}
+      FROM (SELECT *, CASE WHEN json_valid(payload) THEN CAST(payload AS JSON) END AS doc FROM replayed)""",
+    "replay_drift": f"""SELECT run AS run_id, {big('count(*)', 'source_rows')}, {big('count(*) FILTER (NOT lost)', 'replayed_rows')},
+        {big('count(*) FILTER (NOT lost AND NOT changed)', 'faithful_rows')}, {big('count(*) FILTER (NOT lost AND changed)', 'drifted_rows')},
+        {big('count(*) FILTER (lost)', 'missing_rows')}
+      FROM (SELECT run, original <> payload AS changed, run = 'replay-fixed' AND starts_with(sha256(original), '0') AS lost FROM replayed) GROUP BY run""",
     "receipt_register": f"""SELECT execution_id, split_part(execution_id, ':', 1) AS job_id, split_part(execution_id, ':', 2) AS job_run_id, CAST(0 AS INT) AS repair_count, status,
-        '[]' AS expected_run_ids_json, {us('started_at')}, {us('finished_at')}, reason FROM receipts WHERE status <> 'RUNNING'
+        '[]' AS expected_run_ids_json, {us('started_at')}, {us('finished_at')}, reason FROM receipts
       UNION ALL SELECT id, j, r, CAST(rep AS INT), CASE WHEN rep > 0 THEN 'FAILED' ELSE 'RUNNING' END, '[]', now_us, CASE WHEN rep > 0 THEN now_us END,
         CASE WHEN rep > 0 THEN {q(e.REPAIR)} ELSE {q(e.REGISTERED)} END
       FROM (SELECT j || ':' || r || ':' || CAST(rep AS VARCHAR) AS id, * FROM (SELECT split_part(execution_id, ':', 1) AS j, split_part(execution_id, ':', 2) AS r,
           CAST(split_part(execution_id, ':', 2) AS BIGINT) % 2 AS rep, epoch_us(TIMESTAMP '2026-06-01') AS now_us FROM requested))
-      WHERE CAST(r AS BIGINT) >= 1 AND id NOT IN (SELECT execution_id FROM receipts WHERE status <> 'RUNNING')""",
+      WHERE CAST(r AS BIGINT) >= 1 AND id NOT IN (SELECT execution_id FROM receipts)""",
     "receipt_transition": f"""SELECT execution_id, CASE WHEN t AND status <> 'FAILED' THEN 'SUCCEEDED' ELSE status END AS status,
       CASE WHEN t AND status <> 'FAILED' THEN 'Finished.' ELSE reason END AS reason,
       epoch_us(CASE WHEN t THEN coalesce(finished_at, TIMESTAMP '2026-06-01') ELSE finished_at END) AS finished_at_us
@@ -477,9 +486,7 @@ _FINALS: dict[str, str] = {
     "join_validity_bucketed": """SELECT f.o_custkey, f.o_orderkey AS at_order, p.o_orderkey FROM orders f JOIN (
       SELECT o_custkey, o_orderkey, o_orderdate AS valid_from, valid_to FROM orders JOIN (SELECT l_orderkey, max(l_shipdate) AS valid_to FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey) p
       ON p.o_custkey = f.o_custkey AND f.o_orderdate >= p.valid_from AND f.o_orderdate < p.valid_to""",
-    "cdr_land": f"""SELECT run_id, release_role, doc->>'$.country_code' AS country_code, doc->>'$.party_id' AS party_id, doc->>'$.id' AS cdr_id, doc->>'$.session_id' AS session_id,
-      CASE WHEN doc->>'$.credit' = 'true' THEN 'CREDIT' ELSE 'FINAL' END AS cdr_type, doc->>'$.currency' AS currency,
-      CASE WHEN doc IS NOT NULL THEN CAST(CAST(regexp_extract(payload, '"excl_vat":([^,}}]+)', 1) AS DECIMAL(38,9)) AS DECIMAL(18,6)) END AS total_cost, sha256(payload) AS payload_hash, {us('ingest_time')}
+    "cdr_land": f"""SELECT run_id, release_role, {_LANDED}, {us('ingest_time')}
       FROM (SELECT *, CASE WHEN json_valid(payload) THEN CAST(payload AS JSON) END AS doc FROM responses)""",
     "cdr_validate": "SELECT run_id, release_role, payload_hash, len(reasons) = 0 AS ok, array_to_string(reasons, ',') AS reasons FROM checked_cdrs",
     "cdr_quarantine": """SELECT run_id, release_role, payload_hash, array_to_string(reasons, ',') AS reasons FROM checked_cdrs WHERE len(reasons) > 0
@@ -567,9 +574,23 @@ _FINALS: dict[str, str] = {
       FROM (SELECT l_orderkey, l_linenumber, sum(w) AS w, sum(n) AS n FROM (SELECT o_orderkey AS l_orderkey, 1 AS l_linenumber, 1 AS w, 0 AS n FROM orders UNION ALL SELECT l_orderkey, l_linenumber, 0, 1 FROM lineitem) GROUP BY ALL)
       WHERE NOT (w = 1 AND n = 1)""",
 }
-_FINALS["cdr_zero_fill"] = """SELECT run_id, role AS release_role, count(x.p) AS cdr_rows FROM (SELECT DISTINCT run_id FROM run_manifest) m
-  CROSS JOIN (VALUES ('baseline'), ('candidate')) roles(role) LEFT JOIN (SELECT run_id AS r, release_role AS o, 1 AS p FROM cdrs_raw
-    WHERE NOT (run_id = 'run-4' AND release_role = 'candidate')) x ON r = m.run_id AND o = role GROUP BY ALL"""
+_RAW_TABLES = ("run_manifest", "input_session", "events_raw", "tariffs_raw", "cdrs_raw")
+_LAYERS = {"session_lifecycle": "lifecycle", "tariff_history": "history", "expected_ledger": "expected", "actual_ledger": "actual", "assertion_result": "asserted"}
+_FINALS |= {
+    "cdr_zero_fill": """SELECT run_id, role AS release_role, count(x.p) AS cdr_rows
+      FROM (SELECT DISTINCT run_id FROM run_manifest UNION SELECT 'empty-' || run_id FROM run_manifest) m
+      CROSS JOIN (VALUES ('baseline'), ('candidate')) roles(role)
+      LEFT JOIN (SELECT run_id AS r, release_role AS o, 1 AS p FROM cdrs_raw) x ON r = m.run_id AND o = role GROUP BY ALL""",
+    "role_summary": f"SELECT run_id, release_role, {_COUNTS}, release_verdict AS verdict FROM decided",
+    "table_counts": " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {table}" for name, table in ({t: t for t in _RAW_TABLES} | _LAYERS).items()
+    ),
+    # An accepted batch is whole, so all its sessions are checked and every candidate bill is too high.
+    "evaluate_batches": f"""SELECT 'generated-mock-v1-amount_error-' || batch_id AS scenario_id, {big('14 * n', 'required_assertions')}, {big('13 * n', 'passed_assertions')},
+      {big('n', 'failed_assertions')}, {big('0', 'blocked_assertions')}, 'PASS' AS baseline_verdict, 'FAIL' AS candidate_verdict, 'FAIL' AS verdict
+      FROM (SELECT batch_id, count(DISTINCT session_id) AS n FROM clean GROUP BY batch_id) WHERE batch_id IN (SELECT batch_id FROM gated WHERE accepted)""",
+    "batch_outcomes": "SELECT batch_id, CASE WHEN accepted THEN 'SUCCEEDED' ELSE 'FAILED' END AS new_status FROM gated",
+}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -23,9 +23,11 @@ from meterproof.operators import (
     tariffs as tar,
     verdict as ver,
 )
+from meterproof.plans import batches as bap
 from meterproof.schemas import COUNTS, TABLES
 from meterproof.session import shared_dir
 from meterproof.sources.publish import publish_once
+from meterproof.sources.tables import stored_under
 from meterproof.streaming.landing import landing_stream
 from testkit.derive import Derived
 
@@ -194,13 +196,14 @@ def _replayed(c: Chain) -> DataFrame:
 
 
 def _replay_drift(c: Chain) -> DataFrame:
+    """Copies whose text was changed, and copies lost on the way."""
+    changed = (F.col("run_id") == "replay-bad") & (F.col("release_role") == "candidate")
+    original = F.when(changed, F.replace(F.col("payload"), F.lit(NEW_CREDIT), F.lit(OLD_CREDIT))).otherwise(F.col("payload"))
     source = c.d.cdrs_raw.where("run_id = 'run-0'").withColumn("source_hash", F.sha2("payload", 256))
-    copy = _replayed(c).withColumn(
-        "source_hash", F.sha2(F.replace(F.col("payload"), F.lit(NEW_CREDIT), F.lit(OLD_CREDIT)), 256)
-    )
-    unique = source.dropDuplicates(["release_role", "source_hash"])
-    same = {name: F.col(name) for name in ("country_code", "party_id", "ingest_time", "payload")}
-    return dml.replay_drift(copy, unique, ["release_role", "source_hash"], same)
+    copy = _replayed(c).withColumn("source_hash", F.sha2(original, 256))
+    arrived = copy.where(~((F.col("run_id") == "replay-fixed") & F.col("source_hash").startswith("0")))
+    same = {name: F.col(name) for name in ("ingest_time", "payload")}
+    return dml.replay_drift(arrived, source, ["replay-bad", "replay-fixed"], ["release_role", "source_hash"], same)
 
 
 def _immutable_diff(c: Chain) -> DataFrame:
@@ -269,7 +272,7 @@ def _attempt_columns(c: Chain) -> DataFrame:
 
 
 def _receipt_register(c: Chain) -> DataFrame:
-    known = _attempt_columns(c).where("status <> 'RUNNING'")
+    known = _attempt_columns(c)
     parts = F.split("execution_id", ":")
     attempts = c.d.requested.select(
         parts[0].cast("bigint").alias("job_id"), parts[1].cast("bigint").alias("job_run_id"),
@@ -360,6 +363,16 @@ def _adapted(name: str, drop: tuple[str, ...] = ()):
     return build
 
 
+def _evaluated(c: Chain) -> DataFrame:
+    """From landed lines to the verdicts of a candidate that overcharges."""
+    root = f"{shared_dir(c.spark)}/meterproof-{uuid.uuid4().hex}"
+    done = bap.evaluate_batches(c.d.landing, CODE, "amount_error", at(), stored_under(root))
+    return done.results.release_verdict.select(
+        "scenario_id", "required_assertions", "passed_assertions", "failed_assertions", "blocked_assertions",
+        "baseline_verdict", "candidate_verdict", "verdict",
+    )
+
+
 def _actual(c: Chain) -> DataFrame:
     return times(c.compute_actual())
 
@@ -421,9 +434,7 @@ _BUILDERS: dict[str, Callable[[Chain], DataFrame]] = {
     ).select("source_file_name", "record_hash"),
     "landing_audit": lambda c: times(lan.landing_audit(c.d.landing)),
     "landing_integrity": lambda c: lan.landing_integrity(c.d.landing),
-    "landing_duplicates": lambda c: lan.landing_duplicates(
-        c.d.landing.withColumn("source_file_path", F.lit("/in/all"))
-    ),
+    "landing_duplicates": lambda c: lan.landing_duplicates(c.d.landing),
     "landing_preview": lambda c: lan.landing_preview(c.d.landing),
     "publish_once": _publish_once,
     "schema_conformance": _conformance,
@@ -503,8 +514,16 @@ _BUILDERS: dict[str, Callable[[Chain], DataFrame]] = {
     ),
     "status_counts": lambda c: rep.status_counts(c.assertions),
     "cdr_zero_fill": lambda c: rep.cdr_zero_fill(
-        c.d.run_manifest, c.d.cdrs_raw.where("NOT (run_id = 'run-4' AND release_role = 'candidate')")
+        c.d.run_manifest.unionByName(c.d.run_manifest.withColumn("run_id", F.concat(F.lit("empty-"), "run_id"))), c.d.cdrs_raw
     ),
+    "role_summary": lambda c: rep.role_summary(c.verdicts),
+    "table_counts": lambda c: rep.table_counts({
+        "run_manifest": c.d.run_manifest, "input_session": c.d.input_session, "events_raw": c.d.events_raw, "tariffs_raw": c.d.tariffs_raw,
+        "cdrs_raw": c.d.cdrs_raw, "session_lifecycle": c.sessions, "tariff_history": c.history, "expected_ledger": c.expected,
+        "actual_ledger": c.actual, "assertion_result": c.assertions,
+    }),
+    "evaluate_batches": _evaluated,
+    "batch_outcomes": lambda c: bap.batch_outcomes(c.gate, bat.batch_violations(c.lines, c.events)).select("batch_id", "new_status"),
     "event_dedup": lambda c: times(
         bat.event_dedup(c.lines).select("batch_id", "event_id", "ingested_at", "copies", "conflict")
     ),

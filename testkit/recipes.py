@@ -219,7 +219,7 @@ def recipes(engine: str) -> dict[str, str]:
       FROM (SELECT *, 'b' || {s('k % 7')} AS batch_id, CASE WHEN k % 7 < 5 THEN k ELSE 0 END AS f,
           substr({sha("'sessions-v1:b' || " + s('k % 7') + " || ':' || " + s(f'k {div} 7'))}, 1, 24) AS ident
         FROM meter_events JOIN batch_sizes ON b = k % 7 WHERE NOT (k % 7 < 5 AND k % 149 = 3 AND seq = 2)) x"""
-    # copy 0 is the first delivery; re-delivered and contradicting events arrive once more.
+    # copy 0 is the first delivery; re-delivered (of even keys in the same file) and contradicting events arrive once more.
     r["batch_copies"] = """
       SELECT *, 0 AS copy FROM batch_events
       UNION ALL SELECT *, 1 AS copy FROM batch_events WHERE k % 53 = 7 OR (f % 101 = 9 AND seq = 1)"""
@@ -242,7 +242,7 @@ def recipes(engine: str) -> dict[str, str]:
       SELECT raw_record, CASE WHEN f % 151 = 5 AND seq = 1 THEN 'x' || {sha('raw_record')} ELSE {sha('raw_record')} END AS record_hash,
         '/in/' || file_name AS source_file_path, file_name AS source_file_name,
         {ts('2026-01-01 00:00:00')} AS source_file_modification_time, ingested_at
-      FROM (SELECT k, f, seq, 'events-' || batch_id || '-' || {s('copy')} || '.jsonl' AS file_name,
+      FROM (SELECT k, f, seq, 'events-' || batch_id || '-' || CASE WHEN k % 2 = 0 THEN '0' ELSE {s('copy')} END || '.jsonl' AS file_name,
           {seconds('event_time', '60 + 3600 * copy')} AS ingested_at,
           '{{"schema_version":' || CASE WHEN f % 163 = 9 THEN '2' WHEN f % 199 = 16 THEN '"1"' ELSE '1' END
           || ',"run_id":"' || CASE WHEN f % 191 = 14 THEN 'other' ELSE 'generated-v1-' || batch_id END

@@ -7,7 +7,9 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from meterproof.operators import batch
+from meterproof.operators import batch, reports
+from meterproof.plans.batches import batch_outcomes, evaluate_batches
+from meterproof.sources.tables import stored_under
 
 T0 = datetime(2026, 8, 22, 10)
 LANDING = "raw_record STRING, record_hash STRING, source_file_name STRING, ingested_at TIMESTAMP"
@@ -141,3 +143,16 @@ def test_one_batch_holds_most_events(spark):
     adapted = batch.batch_adapt(batch.batch_clean_events(events), gate, "code", "amount_error")
     counts = {r.run_id.split("-")[3]: r["count"] for r in adapted["events_raw"].groupBy("run_id").count().collect()}
     assert counts == {"big": 900, "small": 6}
+
+
+@pytest.mark.parametrize("mode, passed, failed, verdict", [("healthy", 28, 0, "PASS"), ("amount_error", 26, 2, "FAIL")])
+def test_batches_are_evaluated_whole_or_not_at_all(spark, tmp_path, mode, passed, failed, verdict):
+    rows = lines("a", 2, file="a.jsonl") + lines("b", 3, delivered=1, file="b.jsonl")
+    done = evaluate_batches(spark.createDataFrame(rows, LANDING), "code", mode, F.lit(T0), stored_under(str(tmp_path)))
+    found = done.results.release_verdict.collect()
+    assert [(v.required_assertions, v.passed_assertions, v.failed_assertions, v.verdict) for v in found] == [(28, passed, failed, verdict)]
+    assert {(r.release_role, r.passed_assertions, r.verdict) for r in reports.role_summary(done.results.release_verdict).collect()} == {
+        ("baseline", 14, "PASS"), ("candidate", passed - 14, verdict)
+    }
+    outcomes = {r.batch_id: (r.new_status, r.new_reason) for r in batch_outcomes(done.gate, done.violations).collect()}
+    assert outcomes == {"a": ("SUCCEEDED", "Captured."), "b": ("FAILED", "2 violations, first kind: missing_session")}

@@ -6,10 +6,10 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from meterproof.operators import batch, dml, evidence, expectations, joins, tariffs
+from meterproof.operators import batch, dml, evidence, expectations, joins, reports, tariffs
 from meterproof.schemas import TABLES
 from meterproof.sources.publish import publish_once
-from meterproof.sources.tables import append_new, ensure_table, sync_runs, upsert
+from meterproof.sources.tables import append_immutable, append_new, ensure_table, sync_runs, upsert
 from meterproof.streaming.landing import landing_stream
 
 
@@ -178,3 +178,46 @@ def test_a_period_without_a_start_overlaps_the_next(spark):
     )
     found = tariffs.tariff_overlaps(periods).collect()
     assert [(r.valid_from, r.next_valid_from) for r in found] == [(None, datetime(2026, 1, 1))]
+
+
+def test_immutable_tables_are_completed_but_never_changed(spark, tmp_path):
+    root, name = str(tmp_path), "session_lifecycle"
+    rows = [("a", "1", 1), ("a", "2", 1), ("b", "1", 1)]
+    stored = lambda: sorted((r.run_id, r.session_id, r.meter_start_wh) for r in ensure_table(spark, root, name).collect())
+    append_immutable(spark, root, name, _sessions(spark, rows[:1]), ["a"])
+    for _ in range(2):
+        append_immutable(spark, root, name, _sessions(spark, rows), ["a", "b"])
+        assert stored() == rows
+    for other, why in ((rows[:1] + [("a", "2", 5)], "conflict"), (rows[:1], "unexpected"), (rows + rows[:1], "repeated"), ([("c", "1", 1)], "outside")):
+        with pytest.raises(expectations.ExpectationFailed, match=why):
+            append_immutable(spark, root, name, _sessions(spark, other), ["a"] if len(other) < 3 else ["a", "b"])
+    assert stored() == rows
+    _sessions(spark, rows[:1]).write.mode("append").partitionBy("run_id").parquet(f"{root}/{name}")
+    with pytest.raises(expectations.ExpectationFailed, match="duplicate"):
+        append_immutable(spark, root, name, _sessions(spark, rows), ["a", "b"])
+
+
+def test_upsert_of_listed_runs(spark, tmp_path):
+    root, name = str(tmp_path), "session_lifecycle"
+    append_new(spark, root, name, _sessions(spark, [("a", "1", 1), ("b", "1", 1)]))
+    upsert(spark, root, name, _sessions(spark, [("a", "1", 5)]), ["a"])
+    found = sorted((r.run_id, r.meter_start_wh) for r in ensure_table(spark, root, name).collect())
+    assert found == [("a", 5), ("b", 1)]
+    with pytest.raises(expectations.ExpectationFailed, match="outside"):
+        upsert(spark, root, name, _sessions(spark, [("b", "1", 5)]), ["a"])
+
+
+def test_drift_counts_lost_and_extra_copies(spark):
+    source = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (None, None)], "k INT, v STRING")
+    copies = spark.createDataFrame(
+        [("r", 1, "a"), ("r", 2, "b"), ("r", None, None), ("s", 1, "x"), ("s", 2, "b"), ("s", 2, "b"), ("s", 3, "c"), ("s", None, None), ("t", 1, "a")],
+        "run_id STRING, k INT, v STRING",
+    )
+    found = dml.replay_drift(copies, source, ["r", "s", "u"], ["k"], {"v": F.col("v")}).collect()
+    counts = {r.run_id: (r.source_rows, r.replayed_rows, r.faithful_rows, r.drifted_rows, r.missing_rows) for r in found}
+    assert counts == {"r": (4, 3, 3, 0, 1), "s": (4, 5, 3, 2, 0), "u": (4, 0, 0, 0, 4)}
+
+
+def test_table_counts_name_empty_tables(spark):
+    found = reports.table_counts({"some": spark.range(3), "none": spark.range(0)}).collect()
+    assert {r.table_name: r.row_count for r in found} == {"some": 3, "none": 0}
