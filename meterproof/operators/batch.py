@@ -17,6 +17,7 @@ from meterproof.functions.columns import (
     text_at,
     whole_at,
 )
+from meterproof.operators.joins import spread_join
 from meterproof.schemas import EVENT_TYPES
 
 # Fixed values of the supported envelope.
@@ -35,8 +36,6 @@ GENERATOR = (
     "tariff: OBJECT<currency: STRING, id: STRING, price_per_kwh: STRING>, version: STRING>"
 )
 CHUNK = 10_000
-#: Copies of a batch's run id, so that the events of one large batch are joined in as many tasks.
-SALTS = 64
 
 
 def _opened(landing: DataFrame) -> DataFrame:
@@ -325,7 +324,7 @@ def batch_adapt(clean: DataFrame, gate: DataFrame, code_hash: str, mode: str = "
     """Manifest, registry, events and tariff rows of each batch that the gate accepts.
 
     An accepted batch is complete, so its sessions are those declared. A batch may hold most
-    of the events: the join that attaches run ids is salted by event.
+    of the events, so the join that attaches run ids is spread by event.
     """
     accepted = gate.where("accepted").select("batch_id")
     per_batch = (
@@ -335,10 +334,8 @@ def batch_adapt(clean: DataFrame, gate: DataFrame, code_hash: str, mode: str = "
     )
     tariff = F.lit(TARIFF_PAYLOAD)
     tariff_hash = F.sha2(tariff, 256)
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    runs = per_batch.select("batch_id", F.col("run_id").alias("check_run"), salts.alias("salt"))
-    salted = clean.withColumn("salt", F.pmod(F.xxhash64("event_id"), F.lit(SALTS)).cast("int"))
-    events = salted.join(runs, ["batch_id", "salt"]).withColumn("run_id", F.col("check_run"))
+    runs = per_batch.select("batch_id", F.col("run_id").alias("check_run"))
+    events = spread_join(clean, runs, ["batch_id"], "event_id").withColumn("run_id", F.col("check_run"))
     return {
         "run_manifest": per_batch.select(
             "run_id",

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from meterproof.functions.columns import filled, holds, total
 from meterproof.operators.dml import merge_insert_only
-from meterproof.operators.joins import key_set_diff
+from meterproof.operators.joins import key_set_diff, spread_join
 from meterproof.schemas import ASSERTIONS_PER_SESSION, COUNTS, DEFECTS, PROVENANCE, ROLES, RULES, STATUSES
 
 # Texts stored in receipts and reports.
@@ -385,14 +385,19 @@ def capture_snapshot(
         "run_id", "session_id", "release_role", "assertion_id", "status",
         "expected_value", "actual_value", "difference",
     )
-    frozen = (
-        assertions.select(*result)
-        .join(fit.select("execution_id", "run_id"), "run_id")
-        .select("execution_id", *result)
-    )
+    # One run may own most of the results. Several attempts of one run each get them.
+    attempts = fit.select("execution_id", "run_id")
+    frozen = spread_join(assertions.select(*result), attempts, ["run_id"], "session_id").select("execution_id", *result)
     return snapshots, frozen
 
 
+def expected_runs(receipts: DataFrame) -> DataFrame:
+    """The runs that each receipt lists, one row each. A list that cannot be read names none, so
+    that the attempt fails on its inventory."""
+    runs = F.from_json("expected_run_ids_json", "array<string>")
+    return receipts.select("execution_id", F.explode(runs).alias("run_id")).distinct()
+
+
 def finish_status(
     receipts: DataFrame,
     expected_runs: DataFrame,

@@ -7,6 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+#: Buckets that a period may touch; longer periods are joined like open-ended ones.
+LONG = 1000
+BUCKET_SECONDS = {"year": 365 * 86400, "month": 30 * 86400, "day": 86400}
+
+
 def join_validity(
     facts: DataFrame,
     periods: DataFrame,
@@ -23,7 +28,8 @@ def join_validity(
     condition, which suits keys with a handful of periods. For keys with very long
     histories pass `bucket` ("year", "month", "day"): closed periods are then spread
     over the buckets they touch and join on (key, bucket), so that a fact meets only
-    the periods of its own bucket. Open-ended periods keep the plain condition.
+    the periods of its own bucket. Open-ended periods, and those of more than LONG buckets
+    such as an end in the year 9999, keep the plain condition.
     """
     if bucket is not None:
         return _bucketed(facts, periods, list(keys), at, valid_from, valid_to, how, bucket)
@@ -33,6 +39,21 @@ def join_validity(
     return joined.drop(*[F.col(f"p.{key}") for key in keys])
 
 
+#: Copies of each row of the small side of `spread_join`.
+SALTS = 64
+
+
+def spread_join(rows: DataFrame, few: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
+    """Inner join with `few`, which has few rows per key and far fewer keys than `rows` has rows.
+
+    Every row of `few` is repeated SALTS times and rows pick one copy by their column `by`, so
+    a key that owns most of the rows is joined in as many tasks, whatever the sizes.
+    """
+    copies = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int"))
+    return salted.join(copies, [*keys, "_salt"]).drop("_salt")
+
+
 def _same(keys: Sequence[str]) -> Column:
     condition = F.lit(True)
     for key in keys:
@@ -50,10 +71,12 @@ def _bucketed(facts, periods, keys, at, valid_from, valid_to, how, bucket):
     if how != "inner":
         raise ValueError("bucketed validity joins are inner joins")
     first, last = F.date_trunc(bucket, valid_from), F.date_trunc(bucket, valid_to)
-    closed = periods.where(F.col(valid_to) > F.col(valid_from)).withColumn(
+    seconds = F.unix_seconds(valid_to) - F.unix_seconds(valid_from)
+    long = seconds > LONG * BUCKET_SECONDS[bucket]
+    closed = periods.where((F.col(valid_to) > F.col(valid_from)) & ~long).withColumn(
         "_bucket", F.explode(F.sequence(first, last, F.expr(f"INTERVAL 1 {bucket}")))
     )
-    opened = periods.where(F.col(valid_to).isNull())
+    opened = periods.where(F.col(valid_to).isNull() | long)
     by_bucket = join_validity(
         facts.withColumn("_bucket", F.date_trunc(bucket, at)),
         closed,

@@ -293,9 +293,10 @@ def _receipt_transition(c: Chain) -> DataFrame:
 
 
 def _tracked(c: Chain) -> DataFrame:
-    receipts = c.d.receipts.withColumn("repair_count", F.lit(0))
+    listed = F.to_json(F.array(F.concat(F.lit("exec-run-"), F.split("execution_id", ":")[1])))
+    receipts = c.d.receipts.withColumns({"repair_count": F.lit(0), "expected_run_ids_json": listed})
     return evi.finish_status(
-        receipts, c.d.requested, c.d.batch_snapshots, c.d.task_states, [f"task-{i}" for i in range(1, 5)]
+        receipts, evi.expected_runs(receipts), c.d.batch_snapshots, c.d.task_states, [f"task-{i}" for i in range(1, 5)]
     )
 
 

@@ -221,3 +221,24 @@ def test_drift_counts_lost_and_extra_copies(spark):
 def test_table_counts_name_empty_tables(spark):
     found = reports.table_counts({"some": spark.range(3), "none": spark.range(0)}).collect()
     assert {r.table_name: r.row_count for r in found} == {"some": 3, "none": 0}
+
+
+@pytest.mark.parametrize("bucket", ["year", "month", "day"])
+def test_sentinel_ends_are_not_cut_into_buckets(spark, bucket):
+    periods = spark.createDataFrame([(1, 7, datetime(2020, 1, 1), datetime(9999, 12, 31))], "k INT, pid INT, valid_from TIMESTAMP, valid_to TIMESTAMP")
+    facts = spark.createDataFrame([(1, 1, datetime(2019, 1, 1)), (1, 2, datetime(2026, 1, 1))], "k INT, fid INT, at TIMESTAMP")
+    found = joins.join_validity(facts, periods, ["k"], "at", bucket=bucket)
+    assert [(r.fid, r.pid) for r in found.collect()] == [(2, 7)]
+
+
+def test_one_key_may_own_most_rows(spark):
+    rows = spark.range(2000).select(F.when(F.col("id") % 10 == 0, "b").otherwise("a").alias("k"), "id")
+    few = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4)], "k STRING, v INT")
+    joined = joins.spread_join(rows, few, ["k"], "id")
+    assert sorted(map(tuple, joined.groupBy("k", "v").count().collect())) == [("a", 1, 1800), ("a", 2, 1800), ("b", 3, 200)]
+    assert joined.columns == ["k", "id", "v"]
+
+
+def test_unreadable_lists_of_runs_name_none(spark):
+    receipts = spark.createDataFrame([("1", '["a","b","a"]'), ("2", "[broken"), ("3", None)], "execution_id STRING, expected_run_ids_json STRING")
+    assert sorted(map(tuple, evidence.expected_runs(receipts).collect())) == [("1", "a"), ("1", "b")]
