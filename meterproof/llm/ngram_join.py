@@ -256,6 +256,14 @@ def link_documents(
     repeated rows are copies; columns besides id and text are not read; an empty table gives an
     empty result. A pair at the threshold is missed with probability 1 - `recall` at most.
     """
+    return _links(docs, doc_id, words, threshold, recall, block).drop("root")
+
+
+def _links(
+    docs: DataFrame, doc_id: str = "doc_id", words: int = WORDS, threshold: tuple[int, int] = THRESHOLD, recall: float = RECALL, block: int = BLOCK
+) -> DataFrame:
+    """`link_documents` with `root`, the least class of a row's component: unlike class_id it is
+    unique, whatever the ids. NULL for a text without words."""
     bands, rows = choose_bands(threshold[0] / threshold[1], recall)
     texts = docs.select(F.col(doc_id).alias("id"), F.xxhash64("text").alias("hash"), "text")
     kind = texts.schema["id"].dataType.simpleString()
@@ -296,24 +304,25 @@ def link_documents(
     )
     labelled = stored(labelled, "labelled")
     named = labelled.groupBy("root").agg(F.min("least").alias("class_id"))
-    table = stored(labelled.join(named, "root").select("cls", "class_id", "copies", "links", "partners"), "table")
+    table = stored(labelled.join(named, "root").select("cls", "class_id", "copies", "links", "partners", "root"), "table")
     worded = split_join(sketch.where("cls IS NOT NULL").select("id", "hash", "cls"), table, ["cls"], "copies")
     with_class = worded.select(
-        "id", "hash", "class_id", F.col("copies").alias("n_copies"), (F.col("copies") - 1 + F.col("links")).alias("n_links"), F.col("partners").alias("n_partners")
+        "id", "hash", "class_id", F.col("copies").alias("n_copies"), (F.col("copies") - 1 + F.col("links")).alias("n_links"), F.col("partners").alias("n_partners"), "root"
     )
     alone = sketch.where("cls IS NULL").select(
-        "id", "hash", F.col("id").alias("class_id"), F.lit(1).cast("long").alias("n_copies"), F.lit(0).cast("long").alias("n_links"), F.lit(0).cast("long").alias("n_partners")
-    )
+        "id", "hash", F.col("id").alias("class_id"), F.lit(1).cast("long").alias("n_copies"), F.lit(0).cast("long").alias("n_links"), F.lit(0).cast("long").alias("n_partners"),
+        F.lit(None).cast("binary").alias("root"),
+    )
     return with_class.unionByName(alone).withColumnRenamed("id", doc_id)
 
 
 def one_of_each_group(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """The rows of `docs` with all their columns, one of each class of linked documents: that of
-    the smallest (id, text hash). Documents without words all stay, NULL texts too; of rows that
+    """The rows of `docs` with all their columns, one of each component of linked documents: that of
+    the smallest (id, text hash), also where components share their smallest id or have NULL ids only. Documents without words all stay, NULL texts too; of rows that
     repeat id and text and have words, one stays."""
-    found = stored(link_documents(docs, doc_id, **options), "links")
+    found = stored(_links(docs, doc_id, **options), "links")
     here = F.struct(F.col(doc_id).alias("id"), "hash")
-    grouped = found.where("n_links > 0").groupBy("class_id").agg(F.min(here).alias("stays"))
+    grouped = found.where("n_links > 0").groupBy("root").agg(F.min(here).alias("stays"))
     stays = grouped.select(F.col("stays.id").alias("_id"), F.col("stays.hash").alias("_hash"), F.lit(True).alias("_stays"))
     linked = found.where("n_links > 0").select(F.col(doc_id).alias("_id"), F.col("hash").alias("_hash")).distinct()
     chosen = linked.join(stays, linked["_id"].eqNullSafe(stays["_id"]) & (linked["_hash"] == stays["_hash"]), "left").select(

@@ -252,6 +252,14 @@ def test_links_against_brute_force(spark, awkward, nothing, monkeypatch):
     assert ngram_join.link_documents(nothing).count() == 0
 
 
+def test_each_component_keeps_one_row_whatever_its_ids(spark):
+    near = lambda tag: [" ".join(f"{tag}{w}{i % 9}" for i, w in enumerate(PROSE.split() * 4))] * 2
+    near_ids = [(None, t) for t in near("a") + near("b")] + [(5, near("c")[0]), (6, near("c")[0]), (5, near("d")[0]), (7, near("d")[0])]
+    kept = ngram_join.one_of_each_group(spark.createDataFrame(near_ids, "doc_id LONG, text STRING")).collect()
+    wanted = [(None, near("a")[0]), (None, near("b")[0]), (5, near("c")[0]), (5, near("d")[0])]
+    assert sorted(map(tuple, kept), key=repr) == sorted(wanted, key=repr)
+
+
 def test_components_are_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 100)]
     found = {r.node: r.root for r in ngram_join.components(spark.createDataFrame(edges, "node LONG, root LONG")).collect()}
