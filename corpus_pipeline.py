@@ -14,11 +14,14 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 ORACLE_SQL = None
 
 
-def _rows_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of `docs` whose id is not among the rejected `ids`."""
-    # By shuffle at every size: the rejected ids grow with the corpus.
-    rejected = ids.select(F.col("doc_id").alias("_id")).distinct().hint("merge")
-    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["_id"]), "left_anti").select(*COLUMNS)
+def _rows_of(docs: DataFrame, judged: DataFrame) -> DataFrame:
+    """The rows of `docs` that are not among the rejected rows `judged`, by id and text hash:
+    rows that share an id, NULL too, are judged by their own texts."""
+    # By shuffle at every size: the rejected rows grow with the corpus.
+    rejected = judged.select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash")).distinct().hint("merge")
+    rows = docs.withColumn("_of", F.xxhash64("text"))
+    same = rows["doc_id"].eqNullSafe(rejected["_id"]) & (rows["_of"] == rejected["_hash"])
+    return rows.join(rejected, same, "left_anti").select(*COLUMNS)
 
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

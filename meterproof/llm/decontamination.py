@@ -253,16 +253,16 @@ def find_matches(
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """Per row of `docs`: its id, n_words, n_hit, n_items, items_sha256, contaminated, n_near_items.
+    """Per row of `docs`: its id, hash (of the text), n_words, n_hit, n_items, items_sha256, contaminated, n_near_items.
 
     Contaminated: some word is hit, and hit words are a twentieth of all words or more. Without
     items nothing is hit; repeated rows get equal answers; columns besides id and text are not
     read, so their names may clash; an empty table gives an empty result.
     """
     hits = F.aggregate("runs", F.lit(0).cast("long"), lambda a, r: a + r["end"] - r["start"])
-    found = find_matches(docs, items, doc_id, **options).select("id", "n_words", hits.alias("n_hit"), "items", "near_items")
+    found = find_matches(docs, items, doc_id, **options).select("id", "hash", "n_words", hits.alias("n_hit"), "items", "near_items")
     return found.select(
-        F.col("id").alias(doc_id), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.col("id").alias(doc_id), "hash", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.sort_array("items"), ","), 256).alias("items_sha256"),
         ((F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words"))).alias("contaminated"),
         F.size("near_items").cast("long").alias("n_near_items"),

@@ -61,15 +61,15 @@ def _measuring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = np.array([statistics(t) for t in batch.column(2).to_pylist()], np.float64).reshape(-1, len(STATISTICS))
         lists = ragged(rows.ravel(), np.full(len(rows), len(STATISTICS)), pa.float64())
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], ["id", "remainder", "stats"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists, batch.column(3)], ["id", "remainder", "stats", "hash"])
 
 
 def document_statistics(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """Per row: id, remainder (crc32 of the id as text modulo 5; 4 for NULL) and stats."""
+    """Per row: id, remainder (crc32 of the id as text modulo 5; 4 for NULL), stats and hash (of the text)."""
     remainder = F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5, F.lit(4)).cast("int")
-    rows = docs.select(F.col(doc_id).alias("id"), remainder.alias("remainder"), "text")
+    rows = docs.select(F.col(doc_id).alias("id"), remainder.alias("remainder"), "text", F.xxhash64("text").alias("hash"))
     kind = rows.schema["id"].dataType.simpleString()
-    return in_arrow(rows, _measuring, f"id {kind}, remainder int, stats array<double>")
+    return in_arrow(rows, _measuring, f"id {kind}, remainder int, stats array<double>, hash long")
 
 
 def matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -187,7 +187,7 @@ def _means(labels: DataFrame) -> DataFrame:
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
-    """Per row of `docs`: its id, held_out, score (0 to 1, higher: label 1 likelier), predicted.
+    """Per row of `docs`: its id, hash (of the text), held_out, score (0 to 1, higher: label 1 likelier), predicted.
 
     Learns from the labels of rows whose remainder is not 0: those of remainder 1 calibrate,
     the others fit. Several labels of one id count as their mean; NULL labels and ids do not
@@ -201,22 +201,22 @@ def score_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", th
     kind = stats.schema["id"].dataType.simpleString()
     held = (F.col("remainder") == 0).alias("held_out")
     if labelled.isEmpty():
-        scored = stats.select("id", held, F.lit(0.5).alias("score"))
+        scored = stats.select("id", "hash", held, F.lit(0.5).alias("score"))
     else:
         if fit.isEmpty():
             fit = aside
         kernel = _fit_kernel(fit)
         weights = _fit_ridge(fit, kernel)
         centres, values = _fit_calibration(aside, kernel, weights)
-        raw = in_arrow(stats.select("id", "remainder", "stats"), _raw(kernel, weights, 2), f"id {kind}, remainder int, raw double")
-        scored = in_arrow(raw, _calibrating(centres, values), f"id {kind}, remainder int, score double").select("id", held, "score")
+        raw = in_arrow(stats.select("id", "remainder", "hash", "stats"), _raw(kernel, weights, 3), f"id {kind}, remainder int, hash long, raw double")
+        scored = in_arrow(raw, _calibrating(centres, values), f"id {kind}, remainder int, hash long, score double").select("id", "hash", held, "score")
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int")).withColumnRenamed("id", doc_id)
 
 
 def _calibrating(centres: np.ndarray, values: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = np.interp(batch.column(2).to_numpy(zero_copy_only=False), centres, values)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.round(np.clip(scores, 0, 1), 6))], ["id", "remainder", "score"])
+            scores = np.interp(batch.column(3).to_numpy(zero_copy_only=False), centres, values)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(np.round(np.clip(scores, 0, 1), 6))], ["id", "remainder", "hash", "score"])
 
     return run

@@ -44,6 +44,23 @@ def test_stages_pass_documents_on(spark):
     assert {r.doc_id for r in run.select("doc_id").collect()} == ids
 
 
+def test_a_rejected_row_leaves_the_others_of_its_id(spark):
+    docs = spark.read.parquet(f"{DIR}/documents.parquet")
+    scored = queries()["op10_quality_classifier"](spark, DIR).join(docs, "doc_id").select("text", "predicted", "score")
+    best, worst = (scored.orderBy(scored.score.desc(), "text").first(), scored.orderBy("score", "text").first())
+    assert best.predicted == 1 and worst.predicted == 0
+    item = spark.read.parquet(f"{DIR}/benchmark.parquet").orderBy("item_id").first().text
+    rows = [(None, best.text), (None, worst.text), (-1, best.text), (-1, worst.text)]
+    test = spark.createDataFrame([(*r, "en", "a", len(r[1])) for r in rows], docs.select("doc_id", "text", "lang", "source", "n_chars").schema)
+    left = corpus_pipeline.quality_classifier_stage(spark, docs.select(*test.columns).unionByName(test), DIR)
+    found = [tuple(r) for r in left.where("doc_id IS NULL OR doc_id = -1").select("doc_id", "text").collect()]
+    assert sorted(found, key=repr) == sorted([(None, best.text), (-1, best.text)], key=repr)
+    rows = [(None, item), (None, "clean prose"), (-1, item), (-1, "clean prose")]
+    test = spark.createDataFrame([(*r, "en", "a", len(r[1])) for r in rows], test.schema)
+    left = corpus_pipeline.decontamination_stage(spark, test, DIR)
+    assert sorted((tuple(r) for r in left.select("doc_id", "text").collect()), key=repr) == [(-1, "clean prose"), (None, "clean prose")]
+
+
 def test_every_operator_has_a_query():
     assert sorted(queries()) == sorted([f"op{n}_{x}" for n, x in enumerate(
         "token_counts chat_format sharding language_id line_dedup ngram_join sentencepiece decontamination quality_rules quality_classifier".split(), 1)] + ["pipeline"])
