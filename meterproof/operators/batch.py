@@ -36,6 +36,8 @@ GENERATOR = (
     "tariff: OBJECT<currency: STRING, id: STRING, price_per_kwh: STRING>, version: STRING>"
 )
 CHUNK = 10_000
+#: Sessions up to which a declaration is listed in full, whatever was seen: 10,000 times what the generator allows.
+MOST_DECLARED = 10_000_000
 
 
 def _opened(landing: DataFrame) -> DataFrame:
@@ -193,18 +195,30 @@ def sequence_violations(events: DataFrame) -> DataFrame:
     )
 
 
+def declared_sessions(events: DataFrame) -> DataFrame:
+    """Per batch: sessions declared (n) and seen, the least number missing, and whether the
+    declaration is absurd.
+
+    Absurd: over MOST_DECLARED, and more than CHUNK beyond twice the sessions seen.
+    """
+    found = events.groupBy("batch_id", "session_id").agg(F.max("session_count").alias("n"))
+    declared = found.groupBy("batch_id").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("seen"))
+    absurd = (F.col("n") > MOST_DECLARED) & (F.col("n") - CHUNK > F.col("seen") * 2)
+    return declared.withColumns({"missing": F.greatest(F.col("n") - F.col("seen"), F.lit(0)), "absurd": absurd})
+
+
 def inventory_gap(events: DataFrame) -> DataFrame:
     """Declared sessions without events, and sessions nobody declared.
 
     Declared ids are generated in two steps, so that a batch declaring a billion
-    sessions is spread over tasks before it becomes rows. A batch that declares more than
-    CHUNK sessions beyond twice those that its events name cannot be complete; it gets one
-    row, `mostly_missing`, and its ids are not listed: one false number must not decide how
-    many rows are generated.
+    sessions is spread over tasks before it becomes rows. Up to MOST_DECLARED sessions every
+    batch is listed in full, however few of them landed. An absurd declaration beyond
+    (`declared_sessions`) gets one row, `mostly_missing`, and its ids are not listed: one false
+    number must not decide how many rows are generated.
     """
-    found = events.groupBy("batch_id", "session_id").agg(F.max("session_count").alias("n"))
-    declared = found.groupBy("batch_id").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("seen"))
-    absurd = F.col("n") - CHUNK > F.col("seen") * 2
+    found = events.select("batch_id", "session_id").distinct()
+    declared = declared_sessions(events)
+    absurd = F.col("absurd")
     mostly = declared.where(absurd).select(
         "batch_id", F.lit(None).cast("string").alias("session_id"), F.lit("mostly_missing").alias("gap")
     )
