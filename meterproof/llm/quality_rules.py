@@ -1,7 +1,8 @@
 """Quality rules with thresholds that adapt to each language and source.
 
-Every text is measured once (`measures`). A histogram of each rate at fixed resolution is the
-sketch: counts of bins, which merge by addition, in any order, with an error of one bin. The
+Every text is measured once (`measures`). A histogram of each rate is the sketch: counts of bins,
+which merge by addition, in any order, with an error of one bin. Bins are one unit wide below EXACT
+and widen with the value above, without an upper end; verdicts compare the rate itself. The
 sketches of a language's sources merge into the language's, those of languages into one for
 all. A group's fences are its quartiles moved out by FENCE times their distance (by a least
 slack at the narrowest); a group with few documents takes the fences of the next larger one.
@@ -29,10 +30,11 @@ WINDOW = 8
 MIN_DOCS = 100
 #: Quartile distances between a quartile and its fence.
 FENCE = 3
-#: Per rate: bins, and the least slack in bins. Rates are thousandths, word length is in tenths.
-RATES = {
-    "symbol_rate": (1000, 50), "word_length": (1000, 30), "dup_line_rate": (1000, 400), "repeat_rate": (1000, 300), "stutter_rate": (1000, 100),
-}
+#: Per rate: the least slack in units. Rates are thousandths, word length is in tenths.
+RATES = {"symbol_rate": 50, "word_length": 30, "dup_line_rate": 400, "repeat_rate": 300, "stutter_rate": 100}
+#: Bits of a rate that its bin keeps: below EXACT bins are exact, above their width is under 1/512 of the value.
+BITS = 10
+EXACT = 1 << BITS
 TWO_SIDED = ("word_length",)
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_stutters")
 
@@ -99,20 +101,25 @@ def measures(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
 
 
 def _rate(name: str) -> Column:
-    top, over, under, scale = {
-        "symbol_rate": (RATES[name][0], "n_symbols", "word_chars", 1000),
-        "word_length": (RATES[name][0], "word_chars", "n_words", 10),
-        "dup_line_rate": (RATES[name][0], "n_dup_lines", "n_lines", 1000),
-        "repeat_rate": (RATES[name][0], "n_repeat_words", "n_words", 1000),
-        "stutter_rate": (RATES[name][0], "n_stutters", "n_words", 1000),
+    over, under, scale = {
+        "symbol_rate": ("n_symbols", "word_chars", 1000),
+        "word_length": ("word_chars", "n_words", 10),
+        "dup_line_rate": ("n_dup_lines", "n_lines", 1000),
+        "repeat_rate": ("n_repeat_words", "n_words", 1000),
+        "stutter_rate": ("n_stutters", "n_words", 1000),
     }[name]
-    return F.least(F.lit(top), F.expr(f"{over} * {scale} div {under}")).cast("int")
+    return F.expr(f"{over} * {scale} div {under}")
+
+
+def _width(rate: Column) -> Column:
+    """Width of the bin that holds a rate: a power of two, so that bins do not overlap."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.greatest(F.length(F.bin(rate)) - BITS, F.lit(0)))
 
 
 def sketches(measured: DataFrame) -> DataFrame:
-    """Sketch of each rate per language and source: (lang, source, rate, bin, n)."""
+    """Sketch of each rate per language and source: (lang, source, rate, bin, n); a bin goes by its least rate."""
     with_words = measured.where("n_words > 0")
-    rates = F.explode(F.array(*[F.struct(F.lit(r).alias("rate"), _rate(r).alias("bin")) for r in RATES]))
+    rates = F.explode(F.array(*[F.struct(F.lit(r).alias("rate"), (_rate(r) - _rate(r) % _width(_rate(r))).alias("bin")) for r in RATES]))
     return (
         with_words.select("lang", "source", rates.alias("r"))
         .groupBy("lang", "source", "r.rate", "r.bin")
@@ -126,7 +133,7 @@ def merged(sketch: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """Per group: its documents and, for each rate, low and high fence in bins."""
+    """Per group: its documents and, for each rate, low and high fence, from the outer edges of the quartiles' bins."""
     by = [*keys, "rate"]
     upto = Window.partitionBy(*by).orderBy("bin")
     ranked = sketch.withColumn("upto", F.sum("n").over(upto)).withColumn("all", F.sum("n").over(Window.partitionBy(*by)))
@@ -134,8 +141,8 @@ def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
         F.max("all").alias("docs"),
         F.min(F.when(F.col("upto") * 4 >= F.col("all"), F.col("bin"))).alias("q1"),
         F.min(F.when(F.col("upto") * 4 >= F.col("all") * 3, F.col("bin"))).alias("q3"),
-    )
-    slack = F.element_at(F.create_map(*[F.lit(x) for r, (_, s) in RATES.items() for x in (r, s)]), F.col("rate"))
+    ).withColumn("q3", F.col("q3") + _width(F.col("q3")) - 1)
+    slack = F.element_at(F.create_map(*[F.lit(x) for r in RATES.items() for x in r]), F.col("rate"))
     moved = F.greatest((F.col("q3") - F.col("q1")) * FENCE, slack)
     sides = quartiles.select(*by, "docs", (F.col("q1") - moved).alias("low"), (F.col("q3") + moved).alias("high"))
     wide = [

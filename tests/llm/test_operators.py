@@ -375,6 +375,20 @@ def test_thresholds_adapt_to_their_group(spark, awkward, nothing):
     assert quality_rules.quality_rules(nothing).count() == 0
 
 
+def test_word_length_has_no_upper_end(spark):
+    # Languages without spaces: 25 blobs of 90 to 300 or of 40,000 to 40,100 code points a text.
+    make = lambda n, i: " ".join(chr(0x4E00 + (i + 31 * k) % 9000) * n for k in range(25))
+    rows = [(i, make(90 + 3 * (i % 71), i), "zh", "wide") for i in range(142)] + [(1000, make(10_000, 7), "zh", "wide")]
+    rows += [(2000 + i, make(40_000 + i, i), "ja", "long") for i in range(101)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, lang STRING, source STRING")
+    kept = {r.doc_id: r.kept for r in quality_rules.quality_rules(docs).collect()}
+    assert not kept.pop(1000) and all(kept.values())
+    alike = quality_rules.fences(quality_rules.merged(quality_rules.sketches(quality_rules.measures(docs)), ["lang"]), ["lang"])
+    low, high = alike.where("lang = 'zh'").select("word_length_low", "word_length_high").first()
+    # Quartiles of the 143 rates, the 36th and the 108th: 141 and 249 code points in bins of at most 1/512.
+    assert low < 0 and 2490 + 3 * (2490 - 1410) <= high <= (2490 + 3 * (2490 - 1410)) * 1.01
+
+
 def test_sketches_merge_to_the_same_counts(spark):
     docs = spark.createDataFrame([(i, PROSE + " x" * (i % 7), "en" if i % 2 else None, f"s{i % 3}") for i in range(60)], "doc_id LONG, text STRING, lang STRING, source STRING")
     sketch = quality_rules.sketches(quality_rules.measures(docs))
