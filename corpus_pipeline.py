@@ -49,8 +49,9 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What is left, as ids of pieces."""
-    return pieces.encode(docs).select("doc_id", F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids")
+    """What is left, as ids of pieces, decoded again: round_trip tells whether that gives the text."""
+    encoded = pieces.encode_checked(docs)
+    return encoded.select("doc_id", F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids", "round_trip")
 
 
 STAGES = [

@@ -165,6 +165,17 @@ def _digesting(path: str):
     return run
 
 
+def _checking(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = pieces(path)
+        for batch in batches:
+            pairs = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())
+            equal = [vocabulary.decode(ids) == (text or "").replace(SPACE, " ") for text, ids in pairs]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(equal, pa.bool_())], ["id", "piece_ids", "round_trip"])
+
+    return run
+
+
 def _encoding_with_text(path: str):
     encode = _encoding(path)
 
@@ -198,6 +209,16 @@ def encode(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", model: s
     return done.withColumnRenamed("id", doc_id)
 
 
+def encode_checked(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", model: str | None = None) -> DataFrame:
+    """`encode` with round_trip: whether the ids, decoded again, give the original text (with the
+    mark character read as a space; NULL counts as empty)."""
+    path = model or public_tokenizers.path(MODEL)
+    rows, kind = _ids_and_text(docs, text, doc_id)
+    encoded = in_arrow(rows, _encoding_with_text(path), f"id {kind}, text string, piece_ids array<int>")
+    done = in_arrow(encoded, _checking(path), f"id {kind}, piece_ids array<int>, round_trip boolean")
+    return done.withColumnRenamed("id", doc_id)
+
+
 def decode(encoded: DataFrame, doc_id: str = "doc_id", piece_ids: str = "piece_ids", model: str | None = None) -> DataFrame:
     """Per row of `encoded`: its id and the text of its pieces; NULL for NULL, empty for none.
 

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import corpus_pipeline
+from meterproof.llm import pieces
 from meterproof.llm.oracles import oracle_sql
 from meterproof.llm.queries import queries
 
@@ -61,6 +62,17 @@ def test_a_rejected_row_leaves_the_others_of_its_id(spark):
     assert sorted((tuple(r) for r in left.select("doc_id", "text").collect()), key=repr) == [(-1, "clean prose"), (None, "clean prose")]
 
 
+def test_the_last_stage_decodes_what_it_encodes(spark):
+    schema = "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG"
+    texts = ["clean prose", "", None, "two  blanks\tand é😀"]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t or "")) for i, t in enumerate(texts)], schema)
+    wanted = {r.doc_id: r.round_trip for r in pieces.encode_digest(docs).collect()}
+    out = corpus_pipeline.sentencepiece_stage(spark, docs, DIR)
+    assert {r.doc_id: r.round_trip for r in out.collect()} == wanted and wanted[0] and wanted[1] and wanted[2]
+    decoded = {r.doc_id: r.text for r in pieces.decode(out).collect()}
+    assert {i: decoded[i] == (t or "") for i, t in enumerate(texts)} == wanted
+
+
 def test_every_operator_has_a_query():
     assert sorted(queries()) == sorted([f"op{n}_{x}" for n, x in enumerate(
         "token_counts chat_format sharding language_id line_dedup ngram_join sentencepiece decontamination quality_rules quality_classifier".split(), 1)] + ["pipeline"])
