@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterproof.llm import (
-    chat_format, decontamination, language_id, line_dedup, ngram_join, pieces, quality_classifier, quality_rules, sharding, spelling_variants, token_counts, toxicity,
+    chat_format, conversation_trie, decontamination, language_id, line_dedup, ngram_join, pieces, quality_classifier, quality_rules, sharding, spelling_variants, token_counts, toxicity,
 )
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -78,6 +78,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants.group_variants(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score_toxicity(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
@@ -92,6 +96,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_token_counts, op2_chat_format, op3_sharding, op4_language_id, op5_line_dedup, op6_ngram_join, op7_sentencepiece,
-        op8_decontamination, op9_quality_rules, op10_quality_classifier, op11_spelling_variants, op13_toxicity, pipeline,
+        op8_decontamination, op9_quality_rules, op10_quality_classifier, op11_spelling_variants, op12_conversation_trie, op13_toxicity, pipeline,
     )
     return {query.__name__: query for query in every}
