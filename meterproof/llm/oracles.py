@@ -162,6 +162,84 @@ FROM c LEFT JOIN verdict USING (doc_id)
 """
 
 
+# CRC-32 of a string in SQL: the table of its polynomial, then one lookup per byte.
+_CRC_TABLE = """crc AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+)"""
+
+
+def _crc32(text: str) -> str:
+    """SQL for the CRC-32 of `text`; the query reads `crc` too."""
+    step = "xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])"
+    octets = f"list_transform(range(octet_length(encode({text}))), lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {octets}), lambda c, b: {step}), 4294967295::BIGINT)"
+
+
+VARIANTS = rf"""
+WITH {_CRC_TABLE},
+raw AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents
+),
+hashed AS (
+  SELECT run, n, {_crc32("doc_id::VARCHAR || ':' || run")} AS h FROM (SELECT doc_id, run, count(*) AS n FROM raw GROUP BY doc_id, run), crc
+),
+w AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run) + 2)::INT) ELSE run END AS word, n FROM hashed
+  ) GROUP BY word HAVING length(word) >= 5 AND sum(n) >= 3
+),
+cut AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1))::INT AS i FROM w)),
+near AS (
+  SELECT a.word, b.word AS other FROM cut a JOIN cut b USING (i, rest) WHERE a.word <> b.word AND length(a.word) = length(b.word)
+  UNION SELECT a.word, b.word FROM cut a JOIN w b ON a.rest = b.word
+  UNION SELECT b.word, a.word FROM cut a JOIN w b ON a.rest = b.word
+),
+best AS (
+  SELECT near.word, count(*) AS n_near, first(other ORDER BY o.n DESC, encode(other)) AS form, max(o.n) AS form_n
+  FROM near JOIN w o ON o.word = other GROUP BY near.word
+),
+f AS (
+  SELECT w.word, w.n, CASE WHEN form_n >= 2 * w.n THEN form END AS form, CASE WHEN form_n >= 2 * w.n THEN form_n END AS form_n, coalesce(n_near, 0) AS n_near
+  FROM w LEFT JOIN best USING (word)
+),
+chain AS (
+  SELECT word, word AS root FROM f WHERE form IS NULL
+  UNION ALL SELECT f.word, chain.root FROM f JOIN chain ON f.form = chain.word
+)
+SELECT f.*, root FROM f JOIN chain USING (word)
+""".replace("WITH crc", "WITH RECURSIVE crc")
+
+TRIE = rf"""
+WITH {_CRC_TABLE},
+o AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i,
+    {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS said FROM conversations WHERE conv_id IS NOT NULL
+),
+c AS (SELECT conv_id, conv_id - conv_id % 100 AS base, {_crc32("conv_id::VARCHAR")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM o), crc),
+r AS (
+  SELECT c.conv_id, i, said FROM c JOIN o ON o.conv_id = c.base AND i <= h
+  UNION ALL SELECT conv_id, i, said FROM c JOIN o USING (conv_id) WHERE i > h
+),
+whole AS (SELECT c.conv_id, coalesce(said, []) AS said FROM c LEFT JOIN (SELECT conv_id, list(said ORDER BY i) AS said FROM r GROUP BY conv_id) USING (conv_id)),
+p AS (SELECT conv_id, d, said[:d] AS node, d = len(said) AS last FROM (SELECT conv_id, said, unnest(range(0, len(said) + 1)) AS d FROM whole)),
+n AS (
+  SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last) AS ends,
+    (count(*) - 1) * CASE WHEN d = 0 THEN 0 ELSE length(node[d].text) END AS saved
+  FROM p GROUP BY node, d
+),
+k AS (SELECT up.node, count(*) AS n_children FROM n up JOIN n down ON down.d = up.d + 1 AND down.node[:up.d] = up.node GROUP BY up.node),
+below AS (
+  SELECT up.node, sum(CASE WHEN k.n_children IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum(down.saved) AS saved_tokens
+  FROM (SELECT DISTINCT a.node AS up, b.node AS down FROM p a JOIN p b ON a.conv_id = b.conv_id AND a.d <= b.d) pair
+  JOIN n up ON up.node = pair.up JOIN n down ON down.node = pair.down LEFT JOIN k ON k.node = down.node GROUP BY up.node
+)
+SELECT n.conv_id, n.d AS depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children,
+  n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM n JOIN below USING (node) LEFT JOIN k USING (node) LEFT JOIN n up ON n.d = up.d + 1 AND n.node[:up.d] = up.node
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_chat_format": CHAT,
@@ -169,4 +247,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_ngram_join": LINKS,
         "op8_decontamination": CONTAMINATION,
         "op9_quality_rules": RULES,
+        "op11_spelling_variants": VARIANTS,
+        "op12_conversation_trie": TRIE,
     }

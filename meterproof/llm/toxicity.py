@@ -170,7 +170,9 @@ class Lexicon:
         """Logit of the noisy-or of a text's hits, each weighed by its window."""
         clean = 0.0
         for _, _, p, around in self.hits(text) if text else ():
-            clean -= np.logaddexp(0.0, _logit(p) + sum(self.context.get(mark, 0.0) for mark in around))
+            weights = [self.context[mark] for mark in around if mark in self.context]
+            # The strongest mark each way decides: words of one window are not independent.
+            clean -= np.logaddexp(0.0, _logit(p) + min(0.0, *weights, 0.0) + max(0.0, *weights, 0.0))
         if clean == 0.0:
             return -8.0
         return float(np.clip(np.log(-np.expm1(clean)) - clean, -8.0, 8.0))
@@ -216,17 +218,22 @@ def _ratio(a: Column, b: Column, rate: Column | float) -> Column:
     return 2 * (F.when(a > 0, a * F.log(p / rate)).otherwise(0.0) + F.when(b > 0, b * F.log((1 - p) / (1 - rate))).otherwise(0.0))
 
 
-def _learn_words(fit: DataFrame) -> Lexicon:
+def _sample(fit: DataFrame) -> tuple[DataFrame, float]:
+    """About SAMPLE texts of each class, and what a clean one counts for against a toxic one."""
     sizes = {row["toxic"]: row["count"] for row in fit.groupBy("toxic").count().collect()}
-    share = F.when(F.col("toxic"), min(1.0, SAMPLE / max(1, sizes.get(True, 0)))).otherwise(min(1.0, SAMPLE / max(1, sizes.get(False, 0))))
-    chosen = fit.where(F.pmod(F.xxhash64(F.lit("lexicon"), "id", "hash"), F.lit(1 << 20)) < share * (1 << 20))
+    toxic, clean = (min(1.0, SAMPLE / max(1, sizes.get(kind, 0))) for kind in (True, False))
+    lot = F.pmod(F.xxhash64(F.lit("lexicon"), "id", "hash"), F.lit(1 << 20))
+    return fit.where(lot < F.when(F.col("toxic"), toxic).otherwise(clean) * (1 << 20)), toxic / clean
+
+
+def _learn_words(chosen: DataFrame, weight: float) -> Lexicon:
     contexts = in_arrow(chosen.select("toxic", "text"), _contexts, "word string, toxic boolean, context long").distinct()
     counted = contexts.groupBy("word").agg(F.count_if("toxic").alias("a"), F.count_if(~F.col("toxic")).alias("b"))
     words = stored(counted, "words")
     total = words.agg(F.count("*").alias("n"), F.coalesce(F.sum("a"), F.lit(0)).alias("a"), F.coalesce(F.sum("b"), F.lit(0)).alias("b")).first()
     if not total["a"] or not total["b"]:
         return Lexicon({}, {}, {})
-    rate = total["a"] / (total["a"] + total["b"])
+    rate, known = total["a"] / (total["a"] + total["b"]), total["a"] / (total["a"] + weight * total["b"])
     # Chance alone makes about one of n words reach 2 ln n.
     least = 2 * float(np.log(max(2, total["n"]))) + 2
     starts = (
@@ -240,12 +247,13 @@ def _learn_words(fit: DataFrame) -> Lexicon:
     starts = starts.join(longer, "entry", "left").where("longer IS NULL OR 10 * longer < 9 * a").select("entry", "a", "b", F.lit(True).alias("open"))
     entries = words.select(F.col("word").alias("entry"), "a", "b", F.lit(False).alias("open")).unionByName(starts)
     a, b = F.col("a"), F.col("b")
-    strong = entries.where((a > b) & (_ratio(a, b, rate) >= least)).orderBy(_ratio(a, b, rate).desc(), "entry", "open").limit(LEXICON)
+    strong = entries.where((a > weight * b) & (_ratio(a, b, rate) >= least)).orderBy(_ratio(a, b, rate).desc(), "entry", "open").limit(LEXICON)
     exact, opened = {}, {}
     for row in strong.collect():
-        (opened if row["open"] else exact)[row["entry"]] = (row["a"] + PRIOR * rate) / (row["a"] + row["b"] + PRIOR)
+        (opened if row["open"] else exact)[row["entry"]] = (row["a"] + PRIOR * known) / (row["a"] + weight * row["b"] + PRIOR)
     fuzzy = {word: p for word, p in exact.items() if len(word) >= FUZZY_LENGTH}
-    return _decide_known_words(words, Lexicon(exact, opened, {w: NEAR * p for w, p in fuzzy.items()}))
+    weighed = words.select("word", "a", (F.col("b") * weight).alias("b"))
+    return _decide_known_words(weighed, Lexicon(exact, opened, {w: NEAR * p for w, p in fuzzy.items()}))
 
 
 def _matching(lexicon: Lexicon):
@@ -259,7 +267,7 @@ def _matching(lexicon: Lexicon):
                 if word not in lexicon.exact and (p := lexicon.probability(word)) > 0:
                     rows.append((word, a, b, p, automaton.near(word)))
             columns = list(zip(*rows)) or [(), (), (), (), ()]
-            kinds = (pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.string()))
+            kinds = (pa.string(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["word", "a", "b", "p", "near"])
 
     return run
@@ -268,7 +276,7 @@ def _matching(lexicon: Lexicon):
 def _decide_known_words(words: DataFrame, lexicon: Lexicon) -> Lexicon:
     """Known words near an entry keep their own evidence, and the entry's misspellings are trusted
     as far as those that were seen turned out toxic."""
-    reached = stored(in_arrow(words.select("word", "a", "b"), _matching(lexicon), "word string, a long, b long, p double, near array<string>"), "reached")
+    reached = stored(in_arrow(words.select("word", "a", "b"), _matching(lexicon), "word string, a long, b double, p double, near array<string>"), "reached")
     own = reached.select("word", ((F.col("a") + PRIOR * F.col("p")) / (F.col("a") + F.col("b") + PRIOR)).alias("p"), (F.col("a") + F.col("b")).alias("n"))
     exact = dict(lexicon.exact)
     for row in own.orderBy(F.desc("n"), "word").limit(LEXICON).collect():
@@ -281,7 +289,7 @@ def _decide_known_words(words: DataFrame, lexicon: Lexicon) -> Lexicon:
 
 
 def _windows(lexicon: Lexicon):
-    """Marks in the windows of hits, each once per text and window, with the hit's own probability."""
+    """Marks in the windows of hits, "" for each window itself, each once per window, with the hit's own probability."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -289,7 +297,7 @@ def _windows(lexicon: Lexicon):
             for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for _, _, p, around in lexicon.hits(text):
                     key = zlib.crc32(" ".join(sorted(around)).encode("utf-8", "surrogatepass"))
-                    rows.update(((mark, toxic, key), p) for mark in around if len(mark) <= KNOWN_LENGTH)
+                    rows.update(((mark, toxic, key), p) for mark in ("", *around) if len(mark) <= KNOWN_LENGTH)
                     if len(rows) > KNOWN_WORDS:
                         yield _window_rows(rows)
                         rows = {}
@@ -303,29 +311,37 @@ def _window_rows(rows: dict[tuple[str, bool, int], float]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*marks.columns, pa.array(rows.values(), pa.float64())], ["mark", "toxic", "window", "p"])
 
 
-def _learn_windows(fit: DataFrame, lexicon: Lexicon) -> dict[str, float]:
+def _learn_windows(chosen: DataFrame, weight: float, lexicon: Lexicon) -> dict[str, float]:
     """Logit that a mark in the window adds to a hit's own: how much more or less often the texts
     around it are toxic than the hits beside it say. Only marks that differ from chance, and
     quotation marks, which start at QUOTED."""
-    marks = in_arrow(fit.select("toxic", "text"), _windows(lexicon), "mark string, toxic boolean, window long, p double")
+    marks = in_arrow(chosen.select("toxic", "text"), _windows(lexicon), "mark string, toxic boolean, window long, p double")
     distinct = marks.groupBy("mark", "toxic", "window").agg(F.max("p").alias("p"))
     counts = stored(
         distinct.groupBy("mark").agg(F.count_if("toxic").alias("a"), F.count_if(~F.col("toxic")).alias("b"), F.avg("p").alias("p")), "windows"
     )
-    context: dict[str, float] = {}
     least = 2 * float(np.log(max(2, counts.count()))) + 2
-    a, b, p = F.col("a"), F.col("b"), F.least(F.col("p"), F.lit(SURE))
-    ratio = _ratio(a, b, p)
-    for row in counts.where((F.col("mark") != _QUOTE) & (ratio >= least)).orderBy(ratio.desc(), "mark").limit(LEXICON).collect():
-        context[row["mark"]] = _shifted(row["a"], row["b"], row["p"], 0.0)
-    quoted = counts.where(F.col("mark") == _QUOTE).first()
-    context[_QUOTE] = _shifted(quoted["a"], quoted["b"], quoted["p"], QUOTED) if quoted else QUOTED
+    every = counts.where("mark = ''").first()
+    if not every:
+        return {_QUOTE: QUOTED}
+    b = every["b"] * weight
+    # How far all hits are from what they say themselves; the calibration takes care of that.
+    general = _logit((every["a"] + 1) / (every["a"] + b + 2)) - _logit(min(every["p"], SURE))
+    a, b = F.col("a"), F.col("b") * weight
+    p = F.least(F.col("p"), F.lit(SURE))
+    expected = 1 / (1 + F.exp(-F.log(p / (1 - p)) - general))
+    ratio = _ratio(a, b, expected)
+    context: dict[str, float] = {}
+    marked = counts.withColumn("b", b).withColumn("expected", expected)
+    for row in marked.where((F.col("mark") != "") & (F.col("mark") != _QUOTE) & (ratio >= least)).orderBy(ratio.desc(), "mark").limit(LEXICON).collect():
+        context[row["mark"]] = _shifted(row["a"], row["b"], row["expected"], 0.0)
+    quoted = marked.where(F.col("mark") == _QUOTE).first()
+    context[_QUOTE] = _shifted(quoted["a"], quoted["b"], quoted["expected"], QUOTED) if quoted else QUOTED
     return context
 
 
-def _shifted(a: int, b: int, p: float, prior: float) -> float:
+def _shifted(a: float, b: float, p: float, prior: float) -> float:
     """Logit between the toxic share of a + b windows and p; NEAR_PRIOR windows say `prior`."""
-    p = min(p, SURE)
     share = (a + NEAR_PRIOR / (1 + np.exp(-_logit(p) - prior))) / (a + b + NEAR_PRIOR)
     return _logit(share) - _logit(p)
 
@@ -368,9 +384,9 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id") -> Lexicon
     labelled = stored(rows.join(means, "id"), "labelled")
     if labelled.isEmpty():
         return None
-    fit = labelled.where("NOT aside")
-    lexicon = _learn_words(fit)
-    lexicon.context = _learn_windows(fit, lexicon)
+    chosen, weight = _sample(labelled.where("NOT aside"))
+    lexicon = _learn_words(chosen, weight)
+    lexicon.context = _learn_windows(chosen, weight, lexicon)
     raw = in_arrow(labelled.where("aside").select("toxic", "text"), _raw_scores(lexicon), "toxic boolean, raw double")
     bins = raw.groupBy((F.round(F.col("raw") * 4) / 4).alias("raw")).agg(F.count_if("toxic").alias("a"), F.count_if(~F.col("toxic")).alias("b"))
     lexicon.slope, lexicon.shift = calibrated([tuple(row) for row in bins.orderBy("raw").collect()])

@@ -75,4 +75,4 @@ def test_the_last_stage_decodes_what_it_encodes(spark):
 
 def test_every_operator_has_a_query():
     assert sorted(queries()) == sorted([f"op{n}_{x}" for n, x in enumerate(
-        "token_counts chat_format sharding language_id line_dedup ngram_join sentencepiece decontamination quality_rules quality_classifier".split(), 1)] + ["pipeline"])
+        "token_counts chat_format sharding language_id line_dedup ngram_join sentencepiece decontamination quality_rules quality_classifier spelling_variants conversation_trie toxicity".split(), 1)] + ["pipeline"])
