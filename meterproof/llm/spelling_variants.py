@@ -30,9 +30,9 @@ MIN_LENGTH, MIN_COUNT = 5, 3
 #: A form occurs at least so many times as often as the word.
 DOMINANCE = 2
 #: Words that a task counts before it hands them on.
-COUNTED = 200_000
+COUNTED = 50_000
 #: About how many words a range partition holds.
-PER_PARTITION = 200_000
+PER_PARTITION = 50_000
 
 
 def runs(doc_id: object, text: str | None) -> Iterator[tuple[bytes, int]]:
