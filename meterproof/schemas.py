@@ -99,6 +99,11 @@ TABLES: dict[str, T.StructType] = {
         "task_states_json STRING, reason STRING",
         optional="finished_at task_states_json",
     ),
+    "attempt_log": _table(
+        "execution_id STRING, phase STRING, event_at TIMESTAMP, status STRING, reason STRING, job_id STRING, "
+        "job_run_id STRING, repair_count INT, expected_run_ids_json STRING, task_states_json STRING",
+        optional="job_id job_run_id repair_count expected_run_ids_json task_states_json",
+    ),
     "batch_execution": _table(
         "execution_id STRING, batch_id STRING, candidate_mode STRING, pipeline_hash STRING, "
         "status STRING, reason STRING, run_id STRING, started_at TIMESTAMP, finished_at TIMESTAMP",
@@ -157,6 +162,7 @@ TABLES: dict[str, T.StructType] = {
         "difference DECIMAL(38,6)",
         optional="expected_value actual_value difference",
     ),
+    "evidence_digest": _table("execution_id STRING, run_id STRING, frozen_rows BIGINT, frozen_digest STRING"),
 }
 
 # Logical keys. Raw tariffs include valid_from so that one tariff may have several periods.
@@ -176,5 +182,7 @@ KEYS: dict[str, tuple[str, ...]] = {
     "release_verdict": ("run_id",),
     "execution_verdict": ("execution_id", "run_id"),
     "batch_verdict": ("execution_id",),
-    "frozen_assertion": ("execution_id", "session_id", "release_role", "assertion_id"),
+    "evidence_digest": ("execution_id", "run_id"),
+    # One session may belong to several runs of an attempt.
+    "frozen_assertion": ("execution_id", "run_id", "session_id", "release_role", "assertion_id"),
 }

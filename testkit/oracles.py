@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-from meterproof.operators import assertions as a, evidence as e, reports as r, verdict as v
+from meterproof.operators import assertions as a, attempts as at, evidence as e, reports as r, verdict as v
 from meterproof.schemas import RULES
 from testkit.recipes import recipes
 
@@ -373,6 +373,26 @@ _DOMAIN["captures"] = """
       bool_or(pipeline_hash = 'older') AS older, max(evaluated_at) AS evaluated_at
     FROM batch_snapshots GROUP BY run_id) s USING (run_id)""".replace("RULE_LIST", _RULE_LIST)
 _DOMAIN["captures_ok"] = "SELECT *, coverage_ok AND provenance_ok AND counts_ok AND verdicts_ok AS ok FROM captures"
+_WORDS = ", ".join(f"CAST(('0x' || substr(digest, {1 + 15 * i}, 15)) AS BIGINT) AS w{i}" for i in range(4))
+_CONTENT = " || '|' || ".join(
+    f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+    for c in ("session_id", "release_role", "assertion_id", "status", "expected_value", "actual_value", "difference")
+)
+
+
+def _evidence(table: str) -> str:
+    """Rows, digest, passes and coverage of frozen rows per attempt and run."""
+    return f"""
+  SELECT execution_id, run_id, CAST(sum(n) AS BIGINT) AS n, CAST(sum(p) AS BIGINT) AS passed, bool_and(n = 7 AND rules = 7 AND unknown = 0) AS covered,
+    sha256(CAST(sum(n) AS VARCHAR) || ':' || {" || ':' || ".join(f"CAST(sum(w{i}) AS VARCHAR)" for i in range(4))}) AS digest
+  FROM (SELECT execution_id, run_id, session_id, release_role, count(*) AS n, count(*) FILTER (status = 'PASS') AS p, count(DISTINCT assertion_id) AS rules,
+      count(*) FILTER (assertion_id = 'new_rule') AS unknown, {", ".join(f"sum(w{i}) AS w{i}" for i in range(4))}
+    FROM (SELECT *, {_WORDS} FROM (SELECT *, sha256({_CONTENT}) AS digest FROM {table})) GROUP BY execution_id, run_id, session_id, release_role)
+  GROUP BY execution_id, run_id"""
+
+
+_DOMAIN["bound_evidence"] = _evidence("frozen")
+_DOMAIN["found_evidence"] = _evidence("tampered")
 _DOMAIN["sets"] = """
   SELECT *, CAST(substr(session_id, 5) AS BIGINT) AS k FROM lifecycle"""
 _DOMAIN["replayed"] = """
@@ -534,6 +554,26 @@ _FINALS: dict[str, str] = {
     "batch_adapt_tariffs": f"""SELECT run_id, 'generated-energy-v1' AS tariff_id, epoch_us(earliest) AS valid_from_us, CAST(NULL AS BIGINT) AS valid_to_us, 'EUR' AS currency,
       'TARIFF' AS payload, sha256('TARIFF') AS payload_hash FROM identity""",
     "content_fingerprint": fingerprint("landing", "source_file_name", "raw_record"),
+    "attempt_log": f"""SELECT execution_id, coalesce(any_value(job_id) FILTER (nth = 1), split_part(execution_id, ':', 1)) AS job_id,
+      coalesce(any_value(job_run_id) FILTER (nth = 1), split_part(execution_id, ':', 2)) AS job_run_id,
+      coalesce(any_value(repair_count) FILTER (nth = 1), CAST(split_part(execution_id, ':', 3) AS INT)) AS repair_count,
+      CASE WHEN lost THEN 'FAILED' WHEN count(*) FILTER (status = 'SUCCEEDED') > 0 THEN 'SUCCEEDED' ELSE 'RUNNING' END AS status,
+      coalesce(any_value(expected_run_ids_json) FILTER (nth = 1), '[]') AS expected_run_ids_json,
+      epoch_us(coalesce(any_value(event_at) FILTER (nth = 1), min(event_at))) AS started_at_us,
+      epoch_us(coalesce(min(event_at) FILTER (status <> 'RUNNING'), CASE WHEN lost THEN min(event_at) END)) AS finished_at_us,
+      arg_max(task_states_json, event_at) FILTER (task_states_json IS NOT NULL) AS task_states_json,
+      CASE WHEN NOT begun THEN {q(at.UNREGISTERED)} WHEN contents > 1 THEN {q(at.CONTRADICTED)}
+        ELSE coalesce(arg_min(reason, event_at) FILTER (status = 'FAILED'), arg_max(reason, event_at) FILTER (status = 'SUCCEEDED'), any_value(reason) FILTER (nth = 1)) END AS reason,
+      count(*) AS events
+      FROM (SELECT *, NOT begun OR contents > 1 OR bool_or(status = 'FAILED') OVER (PARTITION BY execution_id) AS lost
+        FROM (SELECT *, CASE WHEN phase = 'begin' THEN row_number() OVER (PARTITION BY execution_id, phase ORDER BY event_at) END AS nth,
+            bool_or(phase = 'begin') OVER (PARTITION BY execution_id) AS begun,
+            count(DISTINCT expected_run_ids_json) OVER (PARTITION BY execution_id) AS contents FROM attempt_log))
+      GROUP BY execution_id, lost, begun, contents""",
+    "frozen_digest_check": """SELECT execution_id, run_id, CASE WHEN b.n IS NULL THEN 'unbound' WHEN f.n IS NULL THEN 'missing' WHEN f.n < b.n THEN 'lost' WHEN f.n > b.n THEN 'added'
+        WHEN b.digest = f.digest THEN 'intact' ELSE 'changed' END AS state,
+      b.n AS bound_rows, b.digest AS bound_digest, f.n AS frozen_rows, f.digest AS frozen_digest, coalesce(f.passed, 0) AS passed_rows, coalesce(f.covered, FALSE) AS covered
+      FROM bound_evidence b FULL JOIN found_evidence f USING (execution_id, run_id)""",
     "capture_check": """SELECT run_id, session_count, missing_keys, extra_keys, duplicate_keys, coverage_ok, provenance_ok, counts_ok, verdicts_ok, ok FROM captures_ok""",
     "capture_snapshot": f"""SELECT execution_id, c.run_id, 'input' AS input_hash, pipeline_hash, c.session_count, 14 * c.session_count AS assertion_count, baseline_verdict, candidate_verdict, verdict,
       {big('14 * c.session_count', 'frozen_rows')} FROM captures_ok c JOIN (SELECT DISTINCT execution_id, run_id, pipeline_hash, started_at FROM receipts WHERE status = 'SUCCEEDED') x USING (run_id)

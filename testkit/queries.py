@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from meterproof.functions.columns import text_at
 from meterproof.operators import (
     assertions as asr,
+    attempts as att,
     batch as bat,
     dml,
     evidence as evi,
@@ -546,6 +547,11 @@ _BUILDERS: dict[str, Callable[[Chain], DataFrame]] = {
     "content_fingerprint": lambda c: bat.content_fingerprint(
         c.d.landing, ["source_file_name"], F.col("raw_record")
     ),
+    "attempt_log": lambda c: times(att.attempt_receipts(c.d.attempt_log)),
+    "frozen_digest_check": lambda c: att.frozen_digest_check(att.frozen_evidence(c.d.frozen), c.d.tampered).select(
+        "execution_id", "run_id", "state", "bound_rows", "bound_digest", "frozen_rows", "frozen_digest",
+        F.coalesce("passed_rows", F.lit(0)).alias("passed_rows"), F.coalesce("covered", F.lit(False)).alias("covered"),
+    ),
     "capture_check": _capture_check,
     "capture_snapshot": _capture_snapshot,
     "finish_status": _tracked,

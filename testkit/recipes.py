@@ -316,5 +316,39 @@ def recipes(engine: str) -> dict[str, str]:
     r["task_states"] = f"""
       SELECT execution_id, 'task-' || {s('t')} AS task_key, CASE WHEN c % 41 = 3 AND t = 2 THEN 'failed' ELSE 'success' END AS state
       FROM (SELECT *, {numbers(1, 4)} AS t FROM attempts) x WHERE NOT (c % 53 = 4 AND t = 3)"""
+    # The log of the attempts: told twice, told again with other contents, repairs, failures before
+    # and after a success, a finish that nobody began.
+    null = f"CAST(NULL AS {d['text']})"
+
+    def told(phase, status, reason, after, where, listed="run_id"):
+        begun = phase == "begin"
+        contents = [
+            (s("1 + c % 3"), "job_id"), (s("c"), "job_run_id"), ("CASE WHEN c % 19 = 6 THEN 1 ELSE 0 END", "repair_count"),
+            (f"'[' || {d['quote']} || {listed} || {d['quote']} || ']'", "expected_run_ids_json"),
+        ]
+        fields = ", ".join(f"CAST({value if begun else 'NULL'} AS {'INT' if name == 'repair_count' else d['text']}) AS {name}" for value, name in contents)
+        states = null if begun else f"'after ' || {s(after)}"
+        return f"""SELECT execution_id, '{phase}' AS phase, {minutes('started_at', after)} AS event_at, {status} AS status,
+          '{reason}' AS reason, {fields}, {states} AS task_states_json FROM attempts WHERE {where}"""
+
+    born = "CASE WHEN c % 19 = 6 THEN 'FAILED' ELSE 'RUNNING' END"
+    r["attempt_log"] = " UNION ALL ".join([
+        told("begin", born, "registered", 0, "c % 17 <> 4"),
+        told("begin", born, "registered again", 1, "c % 17 <> 4 AND c % 13 = 3"),
+        told("begin", born, "registered otherwise", 2, "c % 17 <> 4 AND c % 29 = 8", "'other-' || run_id"),
+        told("capture", "'RUNNING'", "captured", 3, "c % 5 <> 0"),
+        told("finish", "'FAILED'", "a task failed", 4, "c % 7 = 1"),
+        told("finish", "'SUCCEEDED'", "complete", 5, "c % 11 <> 2"),
+        told("finish", "'SUCCEEDED'", "complete", 6, "c % 31 = 9"),
+        told("finish", "'FAILED'", "changed evidence", 9, "c % 23 = 8"),
+    ])
+    # Frozen rows after capture: changed, lost, added, all gone or moved to another run.
+    mark = "CAST(split_part(execution_id, ':', 2) AS INT) % 6"
+    kept = "execution_id, session_id, release_role, assertion_id, status"
+    r["tampered"] = f"""
+      SELECT {kept}, CASE WHEN {mark} = 1 AND assertion_id = 'amount_match' THEN expected_value || '1' ELSE expected_value END AS expected_value,
+        actual_value, difference, CASE WHEN {mark} = 5 THEN 'moved' ELSE run_id END AS run_id FROM frozen
+      WHERE NOT ({mark} = 2 AND assertion_id = 'energy_match' AND release_role = 'baseline') AND {mark} <> 4
+      UNION ALL SELECT {kept}, expected_value, actual_value, difference, run_id FROM frozen WHERE {mark} = 3 AND assertion_id = 'duration_match'"""
     r["requested"] = "SELECT execution_id, run_id, execution_id AS selector FROM attempts"
     return {name: body.strip() for name, body in r.items()}
