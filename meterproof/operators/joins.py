@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from meterproof.operators.ranges import in_ranges
 
 #: Buckets that a period may touch; longer periods are joined like open-ended ones.
 LONG = 1000
@@ -39,6 +40,51 @@ def join_validity(
     return joined.drop(*[F.col(f"p.{key}") for key in keys])
 
 
+def sweep_validity(
+    facts: DataFrame, periods: DataFrame, keys: Sequence[str], at: str, valid_from: str = "valid_from", valid_to: str = "valid_to",
+    how: str = "inner", slices: int | None = None,
+) -> DataFrame:
+    """`join_validity` for keys that own most facts or very many periods: a sweep over slices of time.
+
+    Facts and both borders of every period are ordered together by (key, time) and dealt to range
+    partitions. A period is open from the slice of its start to that of its end, and is carried into these slices
+    only; a fact meets the periods that are open in its own slice. However the keys are
+    distributed, a slice holds an equal share of facts and borders. Open ends reach to the last
+    slice of their key. `how` is inner or left; NULL keys and instants match nothing, and
+    repeated facts and periods count each time.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("sweeps are inner or left joins")
+    keys = list(keys)
+    named = [F.col(c).isNotNull() for c in keys]
+    live = (F.col(valid_to).isNull() | (F.col(valid_to) > F.col(valid_from))) & F.col(valid_from).isNotNull()
+    for condition in named:
+        live = live & condition
+    period = F.struct(*periods.columns)
+    # At one instant borders come before facts: a period that starts then covers them, one that ends then does not.
+    side = {"_fact": facts.schema, "_period": periods.schema}
+    fact_rows = facts.select(*keys, F.col(at).alias("_t"), F.xxhash64(*facts.columns).alias("_lot"), F.lit(1).alias("_kind"), F.struct(*facts.columns).alias("_fact"), F.lit(None).cast(side["_period"]).alias("_period"))
+    border = [F.lit(None).cast("bigint").alias("_lot"), F.lit(0).alias("_kind"), F.lit(None).cast(side["_fact"]).alias("_fact"), period.alias("_period")]
+    never = F.lit("9999-12-31 23:59:59.999999").cast("timestamp")
+    alive = periods.where(live)
+    starts = alive.select(*keys, F.col(valid_from).alias("_t"), *border)
+    ends = alive.select(*keys, F.coalesce(valid_to, never).alias("_t"), *border)
+    rows = in_ranges(fact_rows.unionByName(starts).unionByName(ends), [*keys, "_t", "_kind", "_lot"], slices)
+    spans = rows.where("_kind = 0").groupBy("_period").agg(F.min("_slice").alias("_a"), F.max("_slice").alias("_b"), (F.count(F.lit(1)) / 2).cast("int").alias("_copies"))
+    carried = (
+        spans.withColumn("_slice", F.explode(F.sequence("_a", "_b"))).withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies")))
+        .select(F.col("_slice").alias("_s"), *[F.col(f"_period.{k}").alias(f"_k{i}") for i, k in enumerate(keys)], "_period")
+    )
+    found = rows.where("_kind = 1").select("_slice", *keys, "_t", "_fact")
+    on = F.col("_slice") == F.col("_s")
+    for i, k in enumerate(keys):
+        on = on & (F.col(k) == F.col(f"_k{i}"))
+    covers = (F.col("_t") >= F.col(f"p.{valid_from}")) & (F.col(f"p.{valid_to}").isNull() | (F.col("_t") < F.col(f"p.{valid_to}")))
+    joined = found.join(carried.withColumnRenamed("_period", "p"), on & covers, how)
+    rest = [c for c in periods.columns if c not in keys]
+    return joined.select(*[F.col(f"_fact.{c}").alias(c) for c in facts.columns], *[F.col(f"p.{c}").alias(c) for c in rest])
+
+
 #: Copies of each row of the small side of `spread_join`.
 SALTS = 64
 

@@ -23,7 +23,7 @@ from meterproof.functions.columns import (
     tally,
     text_at,
 )
-from meterproof.operators.joins import join_validity
+from meterproof.operators.joins import sweep_validity
 from meterproof.schemas import MONEY, ROLES
 
 SESSION = ("run_id", "session_id")
@@ -111,7 +111,7 @@ def priced_sessions(registry: DataFrame, sessions: DataFrame, history: DataFrame
     registered = registry.groupBy(*SESSION).agg(
         F.count(F.lit(1)).alias("registration_rows"), tally(holds(filled("tariff_id"))).alias("named_rows")
     )
-    candidates = join_validity(
+    candidates = sweep_validity(
         registry.join(registered, list(SESSION)).join(evidence, list(SESSION), "left"),
         periods,
         ["run_id", "tariff_id"],

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from meterproof.functions.columns import absent_at, broken_rules, filled, keeps_all, once, sha256, text_at
+from meterproof.operators.ranges import in_ranges
 
 # Fixed value: layout of a tariff document.
 TARIFF_DOCUMENT = (
@@ -87,6 +88,40 @@ def tariff_overlaps(tariffs: DataFrame) -> DataFrame:
     )
 
 
+def tariff_overlaps_all(tariffs: DataFrame, slices: int | None = None) -> DataFrame:
+    """Every distinct period that shares an instant with another one of its tariff: `overlaps_earlier`
+    with one that begins before it (or at the same time, in the order of ends and hashes), `overlaps_later`
+    with the one that begins next.
+
+    The next start alone misses periods enclosed by a long earlier one. The latest end so far
+    tells them: it is a running maximum inside each range partition, started with the maximum of the tariff's
+    earlier partitions. A period without a start has always run, one without an end runs for
+    ever, and one that ends before it begins covers nothing.
+    """
+    always, never = (F.lit(t).cast("timestamp") for t in ("0001-01-01 00:00:00", "9999-12-31 23:59:59.999999"))
+    opens, ends = F.coalesce("valid_from", always), F.coalesce("valid_to", never)
+    periods = tariffs.select(*PERIOD).distinct().withColumns({"_opens": opens, "_ends": ends}).where(F.col("_ends") > F.col("_opens"))
+    rows = in_ranges(periods, ["run_id", "tariff_id", "_opens", "_ends", "payload_hash", "currency", "payload"], slices)
+    tariff = ("run_id", "tariff_id")
+    own = Window.partitionBy(*tariff, "_slice")
+    before = own.orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per tariff and slice: no more of a tariff than there are slices.
+    spans = rows.groupBy(*tariff, "_slice").agg(F.max("_ends").alias("_most"), F.min("_opens").alias("_first"))
+    along = Window.partitionBy(*tariff).orderBy("_slice")
+    carried = spans.select(
+        *[F.col(c).alias(f"_{c}") for c in tariff], F.col("_slice").alias("_s"),
+        F.max("_most").over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("_carried"), F.lead("_first").over(along).alias("_later"),
+    )
+    same = (F.col("_slice") == F.col("_s")) & reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in tariff])
+    scanned = rows.withColumns({"_so_far": F.max("_ends").over(before), "_next": F.lead("_opens").over(own.orderBy("_place"))}).join(carried, same)
+    reach, following = F.greatest("_so_far", "_carried"), F.coalesce("_next", "_later")
+    return scanned.select(
+        *PERIOD,
+        F.coalesce(reach > F.col("_opens"), F.lit(False)).alias("overlaps_earlier"),
+        F.coalesce(following < F.col("_ends"), F.lit(False)).alias("overlaps_later"),
+    ).where("overlaps_earlier OR overlaps_later")
+
+
 def tariff_history(tariffs: DataFrame) -> DataFrame:
     """Typed periods of the tariffs that honour the contract, without repeated evidence."""
     document = F.from_json("payload", TARIFF_DOCUMENT)

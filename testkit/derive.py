@@ -20,7 +20,7 @@ TABLES = ("nation", "customer", "supplier", "orders", "lineitem", "events", "par
 STORED = (
     "events_raw", "input_session", "tariffs_raw", "tariffs_faulty", "responses", "cdrs_raw",
     "run_manifest", "damage", "landing", "receipts", "batch_snapshots", "frozen", "observed",
-    "run_snapshots", "run_receipts", "task_states", "attempt_log", "tampered",
+    "run_snapshots", "run_receipts", "task_states", "attempt_log", "tampered", "layered",
 )
 _written: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 

@@ -457,6 +457,13 @@ _FINALS: dict[str, str] = {
       UNION ALL SELECT 'unknown_is_false', FALSE""",
     "merge_key_check": f"SELECT l_orderkey, l_linenumber, {big('count(*)', 'key_rows')} FROM lineitem GROUP BY ALL HAVING count(*) > 1",
     "merge_insert_only": f"SELECT {_SESSION} FROM (FROM older UNION ALL (FROM newer ANTI JOIN older USING (run_id, session_id)))",
+    "tariff_overlaps_all": f"""SELECT run_id, tariff_id, {us('valid_from')}, {us('valid_to')}, payload, coalesce(reach > valid_from, FALSE) AS overlaps_earlier, coalesce(following < e, FALSE) AS overlaps_later
+      FROM (SELECT *, max(e) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach, lead(valid_from) OVER w AS following
+        FROM (SELECT *, coalesce(valid_to, TIMESTAMP '9999-12-31 00:00:00') AS e FROM layered)
+        WINDOW w AS (PARTITION BY run_id, tariff_id ORDER BY valid_from, e, payload_hash)) WHERE coalesce(reach > valid_from, FALSE) OR coalesce(following < e, FALSE)""",
+    "join_validity_sweep": """SELECT f.k AS started, f.tariff AS tariff_id, p.k AS running
+      FROM (SELECT *, CASE WHEN k % 101 = 3 THEN 'tariff-none' ELSE tariff_id END AS tariff FROM layered) f
+      LEFT JOIN layered p ON p.tariff_id = f.tariff AND p.run_id = f.run_id AND f.valid_from >= p.valid_from AND (p.valid_to IS NULL OR f.valid_from < p.valid_to)""",
     "merge_upsert": f"SELECT {_SESSION} FROM (FROM newer UNION ALL (FROM older ANTI JOIN newer USING (run_id, session_id)))",
     "merge_sync_scope": f"""SELECT {_SESSION} FROM ((SELECT * FROM older WHERE run_id NOT IN ('run-0', 'run-3')) UNION ALL (SELECT * FROM newer WHERE run_id IN ('run-0', 'run-3')))""",
     "immutable_diff": """SELECT run_id, session_id, CASE WHEN o.k IS NULL THEN 'missing' WHEN n.k IS NULL THEN 'unexpected'

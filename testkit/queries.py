@@ -251,6 +251,14 @@ def _validity(c: Chain) -> DataFrame:
     )
 
 
+def _sweep(c: Chain) -> DataFrame:
+    """Sessions that run while another one starts under the same tariff; some starts name no tariff that exists."""
+    tariff = F.when(F.col("k") % 101 == 3, "tariff-none").otherwise(F.col("tariff_id"))
+    facts = c.d.layered.select("run_id", tariff.alias("tariff_id"), F.col("k").alias("started"), F.col("valid_from").alias("at"))
+    periods = c.d.layered.select("run_id", "tariff_id", F.col("k").alias("running"), "valid_from", "valid_to")
+    return joins.sweep_validity(facts, periods, ["run_id", "tariff_id"], "at", how="left").select("started", "tariff_id", "running")
+
+
 def _key_set_diff(c: Chain) -> DataFrame:
     keys = ["l_orderkey", "l_linenumber"]
     wanted = c.d.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.lit(1).alias("l_linenumber"))
@@ -472,6 +480,9 @@ _BUILDERS: dict[str, Callable[[Chain], DataFrame]] = {
     "tariff_overlaps": lambda c: times(
         tar.tariff_overlaps(c.d.tariffs_raw).select("run_id", "tariff_id", "valid_from", "valid_to", "next_valid_from")
     ),
+    "tariff_overlaps_all": lambda c: times(
+        tar.tariff_overlaps_all(c.d.layered).select("run_id", "tariff_id", "valid_from", "valid_to", "payload", "overlaps_earlier", "overlaps_later")
+    ),
     "tariff_history": lambda c: times(
         c.compute_history().withColumn("price", F.col("price_components")[0]["price"])
         .withColumn("components", F.size("price_components").cast("bigint"))
@@ -488,6 +499,7 @@ _BUILDERS: dict[str, Callable[[Chain], DataFrame]] = {
     ),
     "join_validity": _validity,
     "join_validity_bucketed": _lineitem_validity,
+    "join_validity_sweep": _sweep,
     "cdr_land": lambda c: times(
         led.cdr_land(c.d.responses.select("run_id", "release_role", "payload", "ingest_time")).drop("payload")
     ),

@@ -142,6 +142,11 @@ def recipes(engine: str) -> dict[str, str]:
       FROM (SELECT *, {tariff_payload} AS payload FROM (
         SELECT * FROM tariff_periods
         UNION ALL SELECT * FROM tariff_periods WHERE c % 31 = 5 AND p = 0) y) x"""
+    # Sessions as periods of a few tariffs, one of which has nine tenths of them; some never end.
+    r["layered"] = f"""
+      SELECT k, 'run-0' AS run_id, CASE WHEN c % 10 = 0 THEN tariff_id ELSE 'tariff-hot' END AS tariff_id, start_ts AS valid_from,
+        CASE WHEN k % 49999 <> 1 THEN end_ts END AS valid_to, 'EUR' AS currency, {s('k')} AS payload, {sha(s('k'))} AS payload_hash
+      FROM sess"""
     # Contract faults, each in its own group of customers.
     r["tariffs_faulty"] = f"""
       SELECT run_id, tariff_id, valid_from,
