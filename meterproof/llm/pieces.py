@@ -1,16 +1,18 @@
 """SentencePiece encoding and decoding: Viterbi over distinct marked words with shared prefixes.
 
-The distinct units of a batch (spaces as marks, and the word after them) are sorted, so that
-neighbours share their longest prefixes: the order is a depth-first walk of the trie of units.
+The distinct new units (spaces as marks, and the word after them) of all texts of a batch are
+sorted together, so that neighbours share their longest prefixes: one depth-first walk of the trie of units.
 Forward scores belong to positions, and a unit keeps those of the prefix it shares with the
 one before it. At each position only the vocabulary-trie nodes that still match are extended.
-Ids of a unit are kept for later batches in a table that is emptied at its bound. No shuffle.
+Ids of a unit are kept for later batches in a table that is emptied at its bound; long units are
+not kept. Encoding, decoding and comparing take one pass over the rows. No shuffle.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -19,20 +21,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from meterproof.llm.common import in_arrow, ragged
-from meterproof.llm.token_counts import MODEL, SPACE, units
+from meterproof.llm.token_counts import MODEL, SLICE, SPACE, units
 
-KNOWN_UNITS = 200_000
+#: Characters of the units that a worker keeps the ids of, each unit counting OVERHEAD more; units
+#: over KEPT_LENGTH are encoded anew in each batch.
+KNOWN_CHARACTERS, OVERHEAD, KEPT_LENGTH = 16_000_000, 20, 256
+#: Characters of the texts whose units are gathered for one walk, about.
+GATHERED = 4_000_000
 # Fixed value: how far an unknown character scores below the worst piece.
 UNKNOWN_PENALTY = 10
-PIECE = ""
 
 
 class Pieces:
-    """Pieces with scores in a trie of dicts; a node's PIECE entry is (score, id)."""
+    """Pieces with scores in a trie: per node its children by character, its piece's score and id."""
 
     def __init__(self, model):
         size = model.get_piece_size()
-        self.root: dict = {}
+        self.children: list[dict[str, int]] = [{}]
+        self.score: list[float | None] = [None]
+        self.piece: list[int] = [-1]
         self.bytes_of: list[bytes] = [b""] * size
         self.byte_ids = [0] * 256
         worst = 0.0
@@ -45,20 +52,26 @@ class Pieces:
                 self.bytes_of[i] = piece.replace(SPACE, " ").encode()
                 score = model.get_score(i)
                 worst = min(worst, score)
-                node = self.root
+                node = 0
                 for character in piece:
-                    node = node.setdefault(character, {})
-                node[PIECE] = (score, i)
+                    if character not in self.children[node]:
+                        self.children[node][character] = len(self.children)
+                        self.children.append({})
+                        self.score.append(None)
+                        self.piece.append(-1)
+                    node = self.children[node][character]
+                self.score[node], self.piece[node] = score, i
         self.unknown = worst - UNKNOWN_PENALTY
 
     def encode(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of each distinct unit as little-endian 32-bit integers.
+        """Ids of each distinct unit as 32-bit integers of this machine, from one walk.
 
         The best path has the greatest sum of scores; of equal paths the one whose last
         piece is longest. A character without a piece becomes its UTF-8 bytes.
         """
-        root, unknown, out = self.root, self.unknown, {}
-        best, start, piece, alive = [0.0], [0], [-1], [[]]
+        children, score, piece_of, unknown, out = self.children, self.score, self.piece, self.unknown, {}
+        first = children[0]
+        best, start, piece, alive = [0.0], [0], [-1], [()]
         before = ""
         for word in sorted(words):
             shared = 0
@@ -68,20 +81,27 @@ class Pieces:
                 shared += 1
             del best[shared + 1 :], start[shared + 1 :], piece[shared + 1 :], alive[shared + 1 :]
             for at in range(shared, len(word)):
-                character, top, chosen, source, matching = word[at], None, -1, at, []
-                for begun, node in [*alive[at], (at, root)]:
-                    child = node.get(character)
+                character = word[at]
+                top, chosen, source, matching = None, -1, at, []
+                for begun, node in alive[at]:
+                    child = children[node].get(character)
                     if child is not None:
                         matching.append((begun, child))
-                        found = child.get(PIECE)
-                        if found is not None:
-                            total = best[begun] + found[0]
+                        points = score[child]
+                        if points is not None:
+                            total = best[begun] + points
                             if top is None or total > top:
-                                top, chosen, source = total, found[1], begun
-                if not matching or matching[-1][0] != at or PIECE not in matching[-1][1]:
-                    total = best[at] + unknown
-                    if top is None or total > top:
-                        top, chosen, source = total, -1, at
+                                top, chosen, source = total, piece_of[child], begun
+                child, points = first.get(character), None
+                if child is not None:
+                    matching.append((at, child))
+                    points = score[child]
+                if points is None:
+                    total, single = best[at] + unknown, -1
+                else:
+                    total, single = best[at] + points, piece_of[child]
+                if top is None or total > top:
+                    top, chosen, source = total, single, at
                 best.append(top)
                 start.append(source)
                 piece.append(chosen)
@@ -93,11 +113,12 @@ class Pieces:
                 else:
                     ids.extend(self.byte_ids[b] for b in reversed(word[at - 1].encode("utf-8", "surrogatepass")))
                 at = start[at]
-            out[word] = np.array(ids[::-1], np.int32).tobytes()
+            ids.reverse()
+            out[word] = array("i", ids).tobytes()
             before = word
         return out
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: Iterable[int]) -> str:
         """Text of ids; the space that marks the start of a text goes. Broken bytes become U+FFFD."""
         text = b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
@@ -110,25 +131,66 @@ def pieces(path: str) -> Pieces:
     return Pieces(sentencepiece.SentencePieceProcessor(model_file=path))
 
 
+class Encoder:
+    """Encodes batches of texts; remembers the ids of units."""
+
+    def __init__(self, vocabulary: Pieces):
+        self.vocabulary, self.known, self.held = vocabulary, {}, 0
+
+    def ids(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text, 32 bits each."""
+        parts: list[list[bytes]] = [[] for _ in texts]
+        waiting: list[tuple[int, list[str]]] = []
+        size = 0
+        for i, text in enumerate(texts):
+            for words in units(text):
+                waiting.append((i, words))
+                size += min(len(text), SLICE)
+                if size > GATHERED:
+                    self._walk(waiting, parts)
+                    waiting, size = [], 0
+        self._walk(waiting, parts)
+        return [b"".join(p) for p in parts]
+
+    def _walk(self, waiting: list[tuple[int, list[str]]], parts: list[list[bytes]]) -> None:
+        wanted = set().union(*(words for _, words in waiting))
+        new = wanted.difference(self.known)
+        weight = sum(map(len, new)) + OVERHEAD * len(new)
+        if self.held + weight > KNOWN_CHARACTERS:
+            self.known, self.held, new = {}, 0, wanted
+            weight = sum(map(len, new)) + OVERHEAD * len(new)
+        if new:
+            self.known.update(self.vocabulary.encode(list(new)))
+            self.held += weight
+        for i, words in waiting:
+            parts[i].append(b"".join(map(self.known.__getitem__, words)))
+        for word in new:
+            if len(word) > KEPT_LENGTH:
+                del self.known[word]
+                self.held -= len(word) + OVERHEAD
+
+
+def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    encoder = Encoder(pieces(path))
+    for batch in batches:
+        yield batch, encoder.ids(batch.column(1).to_pylist())
+
+
+def _lists(encoded: list[bytes]) -> pa.ListArray:
+    lengths = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
+    return ragged(np.frombuffer(b"".join(encoded), np.int32), lengths, pa.int32())
+
+
+def _round_trips(vocabulary: Pieces, texts: list[str | None], encoded: list[bytes]) -> pa.Array:
+    """Whether each text's ids, decoded, give the text, with the mark character read as a space."""
+    equal = [vocabulary.decode(array("i", ids)) == (text or "").replace(SPACE, " ") for text, ids in zip(texts, encoded)]
+    return pa.array(equal, pa.bool_())
+
+
 def _encoding(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, known = pieces(path), {}
-        for batch in batches:
-            encoded = []
-            for text in batch.column(1).to_pylist():
-                parts = []
-                for words in units(text):
-                    new = set(words).difference(known)
-                    if len(known) + len(new) > KNOWN_UNITS:
-                        known.clear()
-                        new = set(words)
-                    if new:
-                        known.update(vocabulary.encode(list(new)))
-                    parts.append(b"".join(map(known.__getitem__, words)))
-                encoded.append(b"".join(parts))
-            ids = np.frombuffer(b"".join(encoded), np.int32)
-            lengths = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
-            yield pa.RecordBatch.from_arrays([batch.column(0), ragged(ids, lengths, pa.int32())], ["id", "piece_ids"])
+        for batch, encoded in _encoded(batches, path):
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(encoded)], ["id", "piece_ids"])
 
     return run
 
@@ -143,24 +205,18 @@ def _decoding(path: str):
     return run
 
 
+def _digest(ids: bytes) -> str:
+    return hashlib.sha256(np.frombuffer(ids, np.int32).astype("<i4").tobytes()).hexdigest()
+
+
 def _digesting(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = pieces(path)
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            column = batch.column(2)
-            flat, offsets = column.flatten().to_numpy(zero_copy_only=False), column.offsets.to_numpy()
-            offsets = offsets - offsets[0]
-            counts, digests, equal = [], [], []
-            for text, a, b in zip(texts, offsets[:-1], offsets[1:]):
-                ids = flat[a:b]
-                counts.append(b - a)
-                digests.append(hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest())
-                equal.append(vocabulary.decode(ids.tolist()) == (text or "").replace(SPACE, " "))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests), pa.array(equal, pa.bool_())],
-                ["id", "n_pieces", "ids_sha256", "round_trip"],
-            )
+        for batch, encoded in _encoded(batches, path):
+            counts = pa.array([len(ids) // 4 for ids in encoded], pa.int64())
+            equal = _round_trips(vocabulary, batch.column(1).to_pylist(), encoded)
+            columns = [batch.column(0), counts, pa.array(list(map(_digest, encoded)), pa.string()), equal]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "n_pieces", "ids_sha256", "round_trip"])
 
     return run
 
@@ -168,27 +224,9 @@ def _digesting(path: str):
 def _checking(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = pieces(path)
-        for batch in batches:
-            pairs = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())
-            equal = [vocabulary.decode(ids) == (text or "").replace(SPACE, " ") for text, ids in pairs]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(equal, pa.bool_())], ["id", "piece_ids", "round_trip"])
-
-    return run
-
-
-def _encoding_with_text(path: str):
-    encode = _encoding(path)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def passing():
-            for batch in batches:
-                held.append(batch)
-                yield batch
-
-        for done in encode(passing()):
-            yield pa.RecordBatch.from_arrays([done.column(0), held.pop().column(1), done.column(1)], ["id", "text", "piece_ids"])
+        for batch, encoded in _encoded(batches, path):
+            equal = _round_trips(vocabulary, batch.column(1).to_pylist(), encoded)
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(encoded), equal], ["id", "piece_ids", "round_trip"])
 
     return run
 
@@ -211,11 +249,10 @@ def encode(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", model: s
 
 def encode_checked(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", model: str | None = None) -> DataFrame:
     """`encode` with round_trip: whether the ids, decoded again, give the original text (with the
-    mark character read as a space; NULL counts as empty)."""
+    mark character read as a space; NULL counts as empty). Rows are as in `encode`."""
     path = model or public_tokenizers.path(MODEL)
     rows, kind = _ids_and_text(docs, text, doc_id)
-    encoded = in_arrow(rows, _encoding_with_text(path), f"id {kind}, text string, piece_ids array<int>")
-    done = in_arrow(encoded, _checking(path), f"id {kind}, piece_ids array<int>, round_trip boolean")
+    done = in_arrow(rows, _checking(path), f"id {kind}, piece_ids array<int>, round_trip boolean")
     return done.withColumnRenamed("id", doc_id)
 
 
@@ -233,9 +270,8 @@ def decode(encoded: DataFrame, doc_id: str = "doc_id", piece_ids: str = "piece_i
 def encode_digest(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", model: str | None = None) -> DataFrame:
     """Encodes every text, decodes the ids again and reports, per row: n_pieces, the digest of
     the ids (32-bit little-endian) and whether the decoded text is the original one (with the
-    mark character read as a space). NULL counts as empty and is a round trip."""
+    mark character read as a space). NULL counts as empty and is a round trip. Rows are as in `encode`."""
     path = model or public_tokenizers.path(MODEL)
     rows, kind = _ids_and_text(docs, text, doc_id)
-    encoded = in_arrow(rows, _encoding_with_text(path), f"id {kind}, text string, piece_ids array<int>")
-    done = in_arrow(encoded, _digesting(path), f"id {kind}, n_pieces long, ids_sha256 string, round_trip boolean")
+    done = in_arrow(rows, _digesting(path), f"id {kind}, n_pieces long, ids_sha256 string, round_trip boolean")
     return done.withColumnRenamed("id", doc_id)

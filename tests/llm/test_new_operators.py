@@ -281,3 +281,28 @@ def test_toxicity_without_labels_or_rows(corpus, awkward, nothing):
     assert one.exact == {} and all(r.predicted == 0 for r in tx.score_toxicity(awkward, one).collect())
     assert tx.score_toxicity(awkward, lexicon()).count() == awkward.count()
     assert tx.toxic_spans(awkward, lexicon()).count() == 0
+
+
+# SentencePiece: one walk for all new units of a batch
+
+
+def test_a_batch_of_texts_makes_one_walk(monkeypatch):
+    import public_tokenizers
+    import sentencepiece
+    from meterproof.llm import pieces
+
+    path = public_tokenizers.path(pieces.MODEL)
+    vocabulary = pieces.Pieces(sentencepiece.SentencePieceProcessor(model_file=path))
+    walks = []
+    encode = vocabulary.encode
+    monkeypatch.setattr(vocabulary, "encode", lambda words: walks.append(len(words)) or encode(words))
+    encoder = pieces.Encoder(vocabulary)
+    texts = [f"some words and word{i} again é😀" for i in range(300)] + [None, "", "x" * 5000]
+    first = encoder.ids(texts)
+    assert len(walks) == 1 and walks[0] < 320
+    assert encoder.ids(texts) == first and walks[1:] == [1]  # only the long unit is walked anew
+    monkeypatch.setattr(pieces, "KNOWN_CHARACTERS", 3000)
+    monkeypatch.setattr(pieces, "GATHERED", 500)
+    small = pieces.Encoder(vocabulary)
+    assert small.ids(texts) == first and sum(map(len, small.known)) <= 6000
+    assert [vocabulary.decode(memoryview(ids).cast("i")) for ids in first] == [t or "" for t in texts]
