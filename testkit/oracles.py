@@ -457,6 +457,13 @@ _FINALS: dict[str, str] = {
       UNION ALL SELECT 'unknown_is_false', FALSE""",
     "merge_key_check": f"SELECT l_orderkey, l_linenumber, {big('count(*)', 'key_rows')} FROM lineitem GROUP BY ALL HAVING count(*) > 1",
     "merge_insert_only": f"SELECT {_SESSION} FROM (FROM older UNION ALL (FROM newer ANTI JOIN older USING (run_id, session_id)))",
+    "landing_audit_stream": f"""SELECT {big('count(*)', 'landed_rows')}, {big('0', 'invalid_record_hashes')}, {big('0', 'missing_source_metadata')},
+      {big("count(DISTINCT CAST(event_id AS VARCHAR) || '|' || event_type || '|' || props)", 'distinct_record_hashes')}, {big('0', 'differing_files')} FROM events""",
+    "publish_resume": f"""SELECT part, count(*) AS lines, {set_digest('count(*)', 'h')} AS digest,
+      CASE WHEN part IN (0, 3, 5) THEN 'complete' ELSE 'missing' END AS before, 'complete' AS "after"
+      FROM (SELECT *, CAST(('0x' || substr(h, 1, 4)) AS INT) % 16 AS part FROM (SELECT sha256(raw_record) AS h FROM landing)) GROUP BY part""",
+    "observed_gates": """SELECT unnest(['has_sessions', 'all_completed', 'all_started', 'unknown_is_false']) AS name,
+      unnest([count(*) > 0, count(*) FILTER (status <> 'Completed') = 0, count(*) FILTER (started_at IS NULL) = 0, FALSE]) AS ok FROM lifecycle""",
     "tariff_overlaps_all": f"""SELECT run_id, tariff_id, {us('valid_from')}, {us('valid_to')}, payload, coalesce(reach > valid_from, FALSE) AS overlaps_earlier, coalesce(following < e, FALSE) AS overlaps_later
       FROM (SELECT *, max(e) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach, lead(valid_from) OVER w AS following
         FROM (SELECT *, coalesce(valid_to, TIMESTAMP '9999-12-31 00:00:00') AS e FROM layered)

@@ -27,9 +27,10 @@ from meterproof.operators import (
 from meterproof.plans import batches as bap
 from meterproof.schemas import COUNTS, TABLES
 from meterproof.session import shared_dir
+from meterproof.sources import publish as pub
 from meterproof.sources.publish import publish_once
 from meterproof.sources.tables import stored_under
-from meterproof.streaming.landing import landing_stream
+from meterproof.streaming.landing import audited_landing_stream, landing_stream
 from testkit.derive import Derived
 
 
@@ -183,6 +184,49 @@ def _publish_once(c: Chain) -> DataFrame:
     )
 
 
+def _landing_audit_stream(c: Chain) -> DataFrame:
+    """Counts kept by the stream, and how many files it counts otherwise than a scan of all that landed."""
+    root = f"{shared_dir(c.spark)}/meterproof-{uuid.uuid4().hex}"
+    line = F.concat_ws("|", F.col("event_id").cast("string"), "event_type", "props")
+    c.d.events.select(line.alias("value")).write.text(f"{root}/in")
+    for _ in range(2):  # the second run finds nothing new
+        audited_landing_stream(c.spark, f"{root}/in", f"{root}/state", f"{root}/out", f"{root}/audit", pattern="part-*", max_files=3)
+    kept = c.spark.read.parquet(f"{root}/audit/files").drop("batch_id")
+    whole = lan.landing_audit(c.spark.read.parquet(f"{root}/out"))
+    differing = whole.exceptAll(kept.select(*whole.columns)).unionByName(kept.select(*whole.columns).exceptAll(whole))
+    sums = c.spark.read.parquet(f"{root}/audit/batches").agg(
+        *[F.sum(n).alias(n) for n in ("landed_rows", "invalid_record_hashes", "missing_source_metadata")]
+    )
+    files = kept.agg(F.sum("distinct_record_hashes").alias("distinct_record_hashes"))
+    return sums.crossJoin(files).crossJoin(differing.agg(F.count(F.lit(1)).alias("differing_files")))
+
+
+def _publish_resume(c: Chain) -> DataFrame:
+    """States of a publication that stopped after some parts, and of all its parts once resumed."""
+    path = f"{shared_dir(c.spark)}/meterproof-{uuid.uuid4().hex}/batch"
+    lines = c.d.landing.select("raw_record")
+    pub.write_manifest(lines, path, 16)
+    pub.write_parts(lines, path, [0, 3, 5], 16)
+    before = c.d.store(f"states-{uuid.uuid4().hex}", lambda: pub.part_states(lines, path, 16))
+    pub.publish_parts(lines, path, 16)
+    after = pub.part_states(lines, path, 16).select("part", F.col("state").alias("after"))
+    return before.withColumnRenamed("state", "before").join(after, "part")
+
+
+def _observed(c: Chain) -> DataFrame:
+    path = f"{shared_dir(c.spark)}/meterproof-{uuid.uuid4().hex}/observed"
+    return exp.observed_write(
+        c.sessions, path,
+        {
+            "has_sessions": F.count(F.lit(1)) > 0,
+            "all_completed": F.count_if(F.col("status") != "Completed") == 0,
+            "all_started": F.count_if(F.col("started_at").isNull()) == 0,
+            "unknown_is_false": F.max(F.lit(None).cast("int")) > 0,
+        },
+        strict=False,
+    )
+
+
 def _landing_projection(c: Chain) -> DataFrame:
     path = f"{shared_dir(c.spark)}/meterproof-{uuid.uuid4().hex}/lines"
     c.d.landing.select("raw_record").write.text(path)
@@ -447,6 +491,9 @@ _BUILDERS: dict[str, Callable[[Chain], DataFrame]] = {
     "landing_duplicates": lambda c: lan.landing_duplicates(c.d.landing),
     "landing_preview": lambda c: lan.landing_preview(c.d.landing),
     "publish_once": _publish_once,
+    "landing_audit_stream": _landing_audit_stream,
+    "publish_resume": _publish_resume,
+    "observed_gates": _observed,
     "schema_conformance": _conformance,
     "expectations": _expectations,
     "merge_key_check": _key_check,
