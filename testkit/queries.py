@@ -16,6 +16,7 @@ from meterproof.operators import (
     dml,
     evidence as evi,
     expectations as exp,
+    fingerprint as fin,
     joins,
     landing as lan,
     ledger as led,
@@ -30,6 +31,7 @@ from meterproof.session import shared_dir
 from meterproof.sources import publish as pub
 from meterproof.sources.publish import publish_once
 from meterproof.sources.tables import stored_under
+from meterproof.streaming import events as sev
 from meterproof.streaming.landing import audited_landing_stream, landing_stream
 from testkit.derive import Derived
 
@@ -213,6 +215,46 @@ def _publish_resume(c: Chain) -> DataFrame:
     return before.withColumnRenamed("state", "before").join(after, "part")
 
 
+def _stream_dedup(c: Chain) -> DataFrame:
+    """Events delivered twice, some with other contents, in two deliveries."""
+    root = f"{shared_dir(c.spark)}/meterproof-{uuid.uuid4().hex}"
+    events = c.d.events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "props")
+    again = events.where("event_id % 7 = 1")
+    torn = events.where("event_id % 11 = 3").withColumn("props", F.concat("props", F.lit(" ")))
+    for delivery in (events, again.unionByName(torn)):
+        delivery.write.mode("append").parquet(f"{root}/in")
+        # Longer than the events span: no copy is too far from its first.
+        sev.dedup_stream(c.spark, f"{root}/in", f"{root}/state", f"{root}/out", events.schema, "event_id", "ts", "400 days")
+    kept = c.spark.read.parquet(f"{root}/out")
+    clean = sev.deduplicated(kept, "event_id").select("event_id", F.lit(1).cast("bigint").alias("contents"), F.lit(False).alias("conflict"))
+    torn = sev.conflicting(kept, "event_id").groupBy("event_id").agg(F.count(F.lit(1)).alias("contents"), F.lit(True).alias("conflict"))
+    return clean.unionByName(torn)
+
+
+def _session_stream(c: Chain) -> DataFrame:
+    """Sessions rolled up from two deliveries in many micro-batches, some of them compacted and merged twice."""
+    root = f"{shared_dir(c.spark)}/meterproof-{uuid.uuid4().hex}"
+    events = c.d.events_raw
+    early = F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0
+    for delivery in (events.where(early), events.where(~early)):
+        delivery.write.mode("append").parquet(f"{root}/in")
+        sev.session_stream(c.spark, f"{root}/in", f"{root}/state", f"{root}/partials", events.schema, max_files=3)
+    compacted = sev.compact_partials(c.spark, f"{root}/partials", f"{root}/compacted")
+    both = sev.read_partials(c.spark, f"{root}/partials").drop("batch_id").unionByName(compacted)
+    return times(sev.sessions_of(both))
+
+
+def _fingerprints(c: Chain) -> tuple[str, str]:
+    """Two sets of landed lines: the second lacks one file and holds another one twice."""
+    root = f"{shared_dir(c.spark)}/meterproof-{uuid.uuid4().hex}"
+    left = c.d.landing
+    name = F.col("source_file_name")
+    right = left.where(name != "events-b3-1.jsonl").unionByName(left.where(name == "events-b5-1.jsonl"))
+    fin.store_fingerprints(left, F.col("raw_record"), f"{root}/left")
+    fin.store_fingerprints(right, F.col("raw_record"), f"{root}/right")
+    return f"{root}/left", f"{root}/right"
+
+
 def _observed(c: Chain) -> DataFrame:
     path = f"{shared_dir(c.spark)}/meterproof-{uuid.uuid4().hex}/observed"
     return exp.observed_write(
@@ -494,6 +536,12 @@ _BUILDERS: dict[str, Callable[[Chain], DataFrame]] = {
     "landing_audit_stream": _landing_audit_stream,
     "publish_resume": _publish_resume,
     "observed_gates": _observed,
+    "stream_dedup": _stream_dedup,
+    "session_stream": _session_stream,
+    "fingerprint_diff": lambda c: fin.fingerprint_diff(c.spark, *_fingerprints(c)),
+    "fingerprint_tree": lambda c: fin.fingerprint_tree(fin.fingerprint_documents(c.d.landing, F.col("raw_record"))).where(
+        "level < 2"
+    ).select("prefix", "documents"),
     "schema_conformance": _conformance,
     "expectations": _expectations,
     "merge_key_check": _key_check,
