@@ -17,13 +17,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from meterproof.llm.common import in_arrow, ragged
+from meterproof.llm.common import in_arrow, ragged, stored
 
 ORDERS = (2, 3)
 BITS = 16
 #: Bound on the documents that weights are fitted on, and the share kept aside for the temperature.
 SAMPLE = 6000
 ASIDE = 5
+#: Features of a sampled text that weights are fitted on, the most frequent ones; only long texts have more.
+NONZERO = 1024
 PASSES = 3
 ALPHA, BETA, L1, L2 = 0.5, 0.1, 1e-4, 1e-4
 #: Values are shares of a text, hence small; this brings a text's vector to about unit length.
@@ -88,14 +90,18 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, shares, sizes = [], [], []
         for text in batch.column(1).to_pylist():
             used, n = np.unique(np.concatenate(list(features(text))), return_counts=True)
+            total = n.sum()
+            if len(used) > NONZERO:
+                most = np.sort(np.argsort(-n, kind="stable")[:NONZERO])
+                used, n = used[most], n[most]
             ids.append(used)
-            shares.append(n / n.sum())
+            shares.append(n / total)
             sizes.append(len(used))
         sizes = np.array(sizes, np.int64)
         flat = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(2), ragged(flat(ids, np.int64), sizes, pa.int32()), ragged(flat(shares, float), sizes, pa.float64())],
-            ["lang", "fold", "ids", "shares"],
+            ["lang", "key", "ids", "shares"],
         )
 
 
@@ -184,9 +190,14 @@ def has_letter(text: str = "text") -> Column:
 
 
 def train(docs: DataFrame, doc_id: str = "doc_id", sample: int = SAMPLE) -> Model | None:
-    """A model of the non-null languages of the documents outside the held-out quarter."""
+    """A model of the non-null languages of the documents outside the held-out quarter.
+
+    Document frequencies count every such row. The sample takes up to an equal share of each language's
+    documents, drawn by the hash of id and text: NULL, repeated and unique ids are drawn alike, and
+    copies of one row count once. Texts without a letter teach nothing; without any other there is no model.
+    """
     learnable = F.coalesce(remainder(doc_id) != 2, F.lit(True)) & F.col("lang").isNotNull() & has_letter()
-    known = docs.where(learnable).select(F.col(doc_id).alias("id"), "lang", "text")
+    known = docs.where(learnable).select("lang", "text", F.xxhash64(doc_id, "text").alias("key"))
     counts = in_arrow(known.select("text"), _presence, "feature int, docs long").groupBy("feature").agg(F.sum("docs").alias("docs")).collect()
     if not counts:
         return None
@@ -198,20 +209,20 @@ def train(docs: DataFrame, doc_id: str = "doc_id", sample: int = SAMPLE) -> Mode
         else:
             found[feature] = docs_with
     idf = np.log((1 + total) / (1 + found)) + 1
-    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    # Rows of one id and text are the same document; NULL and repeated ids do not make them so.
+    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.approx_count_distinct("key").alias("n")).collect()}
     languages = sorted(sizes)
     share = max(1, sample // len(languages))
-    # Lots are even in [0, 1): a bound of twice the share leaves each language about 2 * share rows
-    # to rank, however large it is and however many partitions it lies in.
-    lot = F.pmod(F.xxhash64("id"), F.lit(1 << 32)) / (1 << 32)
-    bound = F.element_at(F.create_map(*[F.lit(x) for language in languages for x in (language, 2 * share / sizes[language])]), F.col("lang"))
-    drawn = known.select("id", "lang", lot.alias("lot")).where(F.col("lot") < bound)
-    ranked = drawn.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("lot", "id")))
-    chosen = ranked.where(F.col("rank") <= share).select(F.col("id").alias("_id"), F.col("lang").alias("_lang"), (F.col("rank") % ASIDE).alias("fold"))
-    # At most `sample` rows, by construction.
-    picked = known.join(F.broadcast(chosen.distinct()), F.col("id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang")))
-    rows = in_arrow(picked.select("lang", "text", "fold"), _counted, "lang string, fold int, ids array<int>, shares array<double>")
-    table = rows.orderBy("lang", "fold", F.xxhash64("ids")).limit(sample + len(languages)).toArrow()
+    # Lots are even in [0, 1): a bound of twice the share leaves each language about 2 * share documents
+    # to rank, however large it is and however often they are repeated.
+    lot = F.pmod("key", F.lit(1 << 32)) / (1 << 32)
+    bound = F.element_at(F.create_map(*[F.lit(x) for language in languages for x in (language, 2 * share / max(1, sizes[language]))]), F.col("lang"))
+    drawn = known.where(lot < bound).dropDuplicates(["lang", "key"])
+    counted = in_arrow(drawn.select("lang", "text", "key"), _counted, "lang string, key long, ids array<int>, shares array<double>")
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("key", F.lit(1 << 32)), "key"))
+    ranked = stored(counted.withColumn("place", place).where(F.col("place") <= share), "sample")
+    # At most `sample` rows of NONZERO features.
+    table = ranked.select("lang", (F.col("place") % ASIDE).alias("fold"), "ids", "shares").orderBy("lang", "place").toArrow()
     index = {language: i for i, language in enumerate(languages)}
     fit, aside = [], []
     for lang, fold, ids, shares in zip(*(table.column(c) for c in ("lang", "fold", "ids", "shares"))):
