@@ -126,39 +126,46 @@ c AS (
     coalesce(ls.dup, 0)::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words, coalesce(st.n, 0)::BIGINT AS n_stutters
   FROM d LEFT JOIN ls USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN st USING (doc_id)
 ),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS failed FROM c),
 r AS (
   SELECT doc_id, lang, source, unnest([
-    {{'rate': 'symbol', 'bin': least(1000, n_symbols * 1000 // word_chars), 'slack': 50}},
-    {{'rate': 'length', 'bin': least(1000, word_chars * 10 // n_words), 'slack': 30}},
-    {{'rate': 'lines', 'bin': least(1000, n_dup_lines * 1000 // n_lines), 'slack': 400}},
-    {{'rate': 'repeat', 'bin': least(1000, n_repeat_words * 1000 // n_words), 'slack': 300}},
-    {{'rate': 'stutter', 'bin': least(1000, n_stutters * 1000 // n_words), 'slack': 100}}]) AS x
-  FROM c WHERE n_words > 0
+    {{'rate': 'symbol', 'value': n_symbols * 1000 // word_chars, 'times': 5, 'sparse': FALSE}},
+    {{'rate': 'length', 'value': word_chars * 10 // n_words, 'times': 6, 'sparse': FALSE}},
+    {{'rate': 'lines', 'value': n_dup_lines * 1000 // n_lines, 'times': 4, 'sparse': TRUE}},
+    {{'rate': 'repeat', 'value': n_repeat_words * 1000 // n_words, 'times': 3, 'sparse': TRUE}},
+    {{'rate': 'stutter', 'value': n_stutters * 1000 // n_words, 'times': 10, 'sparse': FALSE}}]) AS x
+  FROM b WHERE NOT failed
 ),
-f AS (
-  SELECT level, l, s, rate, docs, q1 - greatest(3 * (q3 - q1), slack) AS low, q3 + greatest(3 * (q3 - q1), slack) AS high FROM (
-    SELECT level, l, s, rate, any_value(slack) AS slack, count(*) AS docs,
-      list_sort(list(bin))[((count(*) + 3) // 4)::INT] AS q1, list_sort(list(bin))[((3 * count(*) + 3) // 4)::INT] AS q3
-    FROM (
-      SELECT x.rate AS rate, x.bin AS bin, x.slack AS slack, v.level AS level,
-        CASE WHEN v.level < 2 THEN lang END AS l, CASE WHEN v.level < 1 THEN source END AS s
-      FROM r, (VALUES (0), (1), (2)) v(level)
-    ) GROUP BY level, l, s, rate
-  )
+q AS (
+  SELECT level, l, s, rate, times, count(*) AS docs, list_sort(list(bin)) AS bins FROM (
+    SELECT x.rate AS rate, x.times AS times, v.level AS level, CASE WHEN v.level < 2 THEN lang END AS l, CASE WHEN v.level < 1 THEN source END AS s,
+      x.value - x.value % (1::BIGINT << greatest(length(bin(x.value)) - 10, 0)) AS bin
+    FROM r, (VALUES (0), (1), (2)) v(level) WHERE NOT x.sparse OR x.value > 0
+  ) GROUP BY level, l, s, rate, times
 ),
-verdict AS (
-  SELECT doc_id, bool_and(x.bin <= CASE WHEN f0.docs >= 100 THEN f0.high WHEN f1.docs >= 100 THEN f1.high ELSE f2.high END
-    AND (x.rate <> 'length' OR x.bin >= CASE WHEN f0.docs >= 100 THEN f0.low WHEN f1.docs >= 100 THEN f1.low ELSE f2.low END)) AS ok
+e AS (
+  SELECT level, l, s, rate, times, docs, bins[((docs * 10 + 99) // 100)::INT] AS q10, bins[((docs * 25 + 99) // 100)::INT] AS q25,
+    bins[((docs * 75 + 99) // 100)::INT] AS b75, bins[((docs * 90 + 99) // 100)::INT] AS b90,
+    b75 + (1::BIGINT << greatest(length(bin(b75)) - 10, 0)) - 1 AS q75, b90 + (1::BIGINT << greatest(length(bin(b90)) - 10, 0)) - 1 AS q90 FROM q
+),
+f AS (SELECT level, l, s, rate, docs, q10 - greatest((q25 - q10) * times, 1) AS low, q90 + greatest((q90 - q75) * times, 1) AS high FROM e),
+leaning AS (
+  SELECT doc_id, x.rate AS rate, x.value AS value, coalesce(f0.docs, 0) AS n0, f0.low AS low0, f0.high AS high0, coalesce(f1.docs, 0) AS n1,
+    floor((coalesce(f1.docs * f1.low, 0) + 100 * f2.low) / (coalesce(f1.docs, 0) + 100)) AS low1,
+    floor((coalesce(f1.docs * f1.high, 0) + 100 * f2.high) / (coalesce(f1.docs, 0) + 100)) AS high1
   FROM r
-  JOIN f f0 ON f0.level = 0 AND f0.l IS NOT DISTINCT FROM lang AND f0.s IS NOT DISTINCT FROM source AND f0.rate = x.rate
-  JOIN f f1 ON f1.level = 1 AND f1.l IS NOT DISTINCT FROM lang AND f1.rate = x.rate
-  JOIN f f2 ON f2.level = 2 AND f2.rate = x.rate
-  GROUP BY doc_id
+  LEFT JOIN f f0 ON f0.level = 0 AND f0.l IS NOT DISTINCT FROM lang AND f0.s IS NOT DISTINCT FROM source AND f0.rate = x.rate
+  LEFT JOIN f f1 ON f1.level = 1 AND f1.l IS NOT DISTINCT FROM lang AND f1.rate = x.rate
+  LEFT JOIN f f2 ON f2.level = 2 AND f2.rate = x.rate
+),
+verdict AS (
+  SELECT doc_id, bool_and(coalesce(value <= floor((coalesce(n0 * high0, 0) + 100 * high1) / (n0 + 100)), TRUE)
+    AND (rate <> 'length' OR value >= floor((coalesce(n0 * low0, 0) + 100 * low1) / (n0 + 100)))) AS ok
+  FROM leaning GROUP BY doc_id
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_stutters,
-  n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
-  NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND coalesce(ok, false) AS kept
-FROM c LEFT JOIN verdict USING (doc_id)
+  failed AS base_failed, NOT failed AND coalesce(ok, false) AS kept
+FROM b LEFT JOIN verdict USING (doc_id)
 """
 
 

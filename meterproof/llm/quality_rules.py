@@ -4,8 +4,11 @@ Every text is measured once (`measures`). A histogram of each rate is the sketch
 which merge by addition, in any order, with an error of one bin. Bins are one unit wide below EXACT
 and widen with the value above, without an upper end; verdicts compare the rate itself. The
 sketches of a language's sources merge into the language's, those of languages into one for
-all. A group's fences are its quartiles moved out by FENCE times their distance (by a least
-slack at the narrowest); a group with few documents takes the fences of the next larger one.
+all. A fence lies beyond a group's upper decile by a multiple of the decile's distance to the
+third quartile (one unit at least), the low one likewise below; for rates that are zero almost
+everywhere the quantiles are those of the documents that have any. Where quartiles coincide the deciles
+still move it. A group's fence is the mean of its own and that of the next larger group,
+weighed by its documents against SHRINK: small groups lean on the larger one, large ones stand alone.
 """
 
 from __future__ import annotations
@@ -26,12 +29,12 @@ BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 
-#: Documents a group needs before its own sketch decides.
-MIN_DOCS = 100
-#: Quartile distances between a quartile and its fence.
-FENCE = 3
-#: Per rate: the least slack in units. Rates are thousandths, word length is in tenths.
-RATES = {"symbol_rate": 50, "word_length": 30, "dup_line_rate": 400, "repeat_rate": 300, "stutter_rate": 100}
+#: Documents that the next larger group's fence counts for.
+SHRINK = 100
+#: Per rate: how many distances its fences lie beyond the deciles. Rates are thousandths, word length is in tenths.
+RATES = {"symbol_rate": 5, "word_length": 6, "dup_line_rate": 4, "repeat_rate": 3, "stutter_rate": 10}
+#: Rates whose quantiles are those of documents above zero: most texts have none of what they count.
+SPARSE = ("dup_line_rate", "repeat_rate")
 #: Bits of a rate that its bin keeps: below EXACT bins are exact, above their width is under 1/512 of the value.
 BITS = 10
 EXACT = 1 << BITS
@@ -100,6 +103,11 @@ def measures(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     return in_arrow(rows, _measuring, f"{kinds}, " + ", ".join(f"{c} long" for c in COUNTS))
 
 
+def base_failed() -> Column:
+    """Fixed values of the contract: fewer than 20 words, or more than 30 % of them in repeated windows."""
+    return (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30)
+
+
 def _rate(name: str) -> Column:
     over, under, scale = {
         "symbol_rate": ("n_symbols", "word_chars", 1000),
@@ -117,8 +125,9 @@ def _width(rate: Column) -> Column:
 
 
 def sketches(measured: DataFrame) -> DataFrame:
-    """Sketch of each rate per language and source: (lang, source, rate, bin, n); a bin goes by its least rate."""
-    with_words = measured.where("n_words > 0")
+    """Sketch of each rate per language and source: (lang, source, rate, bin, n); a bin goes by its
+    least rate. Documents that the base rules reject say nothing about the others of their group."""
+    with_words = measured.where(~base_failed())
     rates = F.explode(F.array(*[F.struct(F.lit(r).alias("rate"), (_rate(r) - _rate(r) % _width(_rate(r))).alias("bin")) for r in RATES]))
     return (
         with_words.select("lang", "source", rates.alias("r"))
@@ -133,42 +142,55 @@ def merged(sketch: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """Per group: its documents and, for each rate, low and high fence, from the outer edges of the quartiles' bins."""
+    """Per group and rate: its documents (those above zero for SPARSE rates), low and high fence,
+    from the outer edges of the quantiles' bins."""
     by = [*keys, "rate"]
+    counted = sketch.where(~F.col("rate").isin(*SPARSE) | (F.col("bin") > 0))
     upto = Window.partitionBy(*by).orderBy("bin")
-    ranked = sketch.withColumn("upto", F.sum("n").over(upto)).withColumn("all", F.sum("n").over(Window.partitionBy(*by)))
-    quartiles = ranked.groupBy(*by).agg(
-        F.max("all").alias("docs"),
-        F.min(F.when(F.col("upto") * 4 >= F.col("all"), F.col("bin"))).alias("q1"),
-        F.min(F.when(F.col("upto") * 4 >= F.col("all") * 3, F.col("bin"))).alias("q3"),
-    ).withColumn("q3", F.col("q3") + _width(F.col("q3")) - 1)
-    slack = F.element_at(F.create_map(*[F.lit(x) for r in RATES.items() for x in r]), F.col("rate"))
-    moved = F.greatest((F.col("q3") - F.col("q1")) * FENCE, slack)
-    sides = quartiles.select(*by, "docs", (F.col("q1") - moved).alias("low"), (F.col("q3") + moved).alias("high"))
-    wide = [
-        F.max(F.when(F.col("rate") == r, F.col(side))).alias(f"{r}_{side}")
-        for r in RATES
-        for side in (("low", "high") if r in TWO_SIDED else ("high",))
-    ]
-    return sides.groupBy(*keys).agg(F.max("docs").alias("docs"), *wide)
+    ranked = counted.withColumn("upto", F.sum("n").over(upto)).withColumn("all", F.sum("n").over(Window.partitionBy(*by)))
 
+    def quantile(percent: int) -> Column:
+        return F.min(F.when(F.col("upto") * 100 >= F.col("all") * percent, F.col("bin")))
 
-def thresholds(sketch: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """Fences of every language and source, those of a small group from the next larger group."""
+    found = ranked.groupBy(*by).agg(F.max("all").alias("docs"), *[quantile(q).alias(f"q{q}") for q in (10, 25, 75, 90)])
+    edge = {q: F.col(f"q{q}") + _width(F.col(f"q{q}")) - 1 for q in (75, 90)}
+    times = F.element_at(F.create_map(*[F.lit(x) for r in RATES.items() for x in r]), F.col("rate"))
+    return found.select(
+        *by, "docs",
+        (F.col("q10") - F.greatest((F.col("q25") - F.col("q10")) * times, F.lit(1))).alias("low"),
+        (edge[90] + F.greatest((edge[90] - edge[75]) * times, F.lit(1))).alias("high"),
+    )
+
+
+def thresholds(sketch: DataFrame, shrink: int = SHRINK) -> DataFrame:
+    """Fences of every language and source (lang, source, docs and, per rate, rate_low and rate_high), each leaning
+    on its language's, and that on the one of all, by its size. A rate that nobody has is not fenced (NULL)."""
     sketch = stored(sketch, "sketch")
-    own, language, world = (fences(merged(sketch, k), k) for k in (["lang", "source"], ["lang"], []))
-    names = [c for c in world.columns if c != "docs"]
+    groups = sketch.where(F.col("rate") == next(iter(RATES))).groupBy("lang", "source").agg(F.sum("n").alias("docs"))
+    # One row per language, source and rate; rates that a group lacks lean on the next larger group alone.
+    every = groups.withColumn("rate", F.explode(F.array(*map(F.lit, RATES))))
     renamed = lambda df, tag: df.select(*[F.col(c).alias(f"{tag}_{c}") for c in df.columns])
-    joined = own.join(renamed(language, "lang"), F.col("lang").eqNullSafe(F.col("lang_lang")), "left")
-    joined = joined.join(F.broadcast(renamed(world, "all")), F.lit(True), "left")
-    chosen = [
-        F.when(F.col("docs") >= min_docs, F.col(c)).when(F.col("lang_docs") >= min_docs, F.col(f"lang_{c}")).otherwise(F.col(f"all_{c}")).alias(c)
-        for c in names
+    own, language, world = (renamed(fences(merged(sketch, k), k), tag) for k, tag in ((["lang", "source"], "own"), (["lang"], "mid"), ([], "all")))
+    joined = every.join(own, F.col("lang").eqNullSafe(F.col("own_lang")) & F.col("source").eqNullSafe(F.col("own_source")) & (F.col("rate") == F.col("own_rate")), "left")
+    joined = joined.join(language, F.col("lang").eqNullSafe(F.col("mid_lang")) & (F.col("rate") == F.col("mid_rate")), "left")
+    # At most one row per rate.
+    joined = joined.join(F.broadcast(world), F.col("rate") == F.col("all_rate"), "left")
+
+    def leaning(tag: str, side: str, larger: Column) -> Column:
+        n = F.coalesce(f"{tag}_docs", F.lit(0))
+        total = (n * F.coalesce(f"{tag}_{side}", F.lit(0)) + shrink * larger).cast("long")
+        return ((total - F.pmod(total, n + shrink)) / (n + shrink)).cast("long")  # rounded down, exactly
+
+    sides = {side: leaning("own", side, leaning("mid", side, F.col(f"all_{side}"))) for side in ("low", "high")}
+    wide = [
+        F.max(F.when(F.col("rate") == r, F.col(side))).alias(f"{r}_{side}")
+        for r in RATES
+        for side in (("low", "high") if r in TWO_SIDED else ("high",))
     ]
-    return joined.select("lang", "source", "docs", *chosen)
+    return joined.select("lang", "source", "docs", "rate", *[v.alias(k) for k, v in sides.items()]).groupBy("lang", "source").agg(F.max("docs").alias("docs"), *wide)
 
 
-def quality_rules(docs: DataFrame, doc_id: str = "doc_id", min_docs: int = MIN_DOCS) -> DataFrame:
+def quality_rules(docs: DataFrame, doc_id: str = "doc_id", shrink: int = SHRINK) -> DataFrame:
     """Per row of `docs`: its id, the COUNTS, base_failed and kept.
 
     base_failed: fewer than 20 words, or more than 30 % of the words in repeated windows. A
@@ -178,14 +200,14 @@ def quality_rules(docs: DataFrame, doc_id: str = "doc_id", min_docs: int = MIN_D
     and text are not read; an empty table gives an empty result.
     """
     measured = stored(measures(docs, doc_id), "measures")
-    limits = thresholds(sketches(measured), min_docs)
-    failed = (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30)
+    limits = thresholds(sketches(measured), shrink)
+    failed = base_failed()
     within = F.lit(True)
     for r in RATES:
-        within = within & (_rate(r) <= F.col(f"{r}_high"))
+        within = within & F.coalesce(_rate(r) <= F.col(f"{r}_high"), F.lit(True))
         if r in TWO_SIDED:
             within = within & (_rate(r) >= F.col(f"{r}_low"))
-    worded = split_join(measured.where("n_words > 0"), stored(limits, "limits"), ["lang", "source"], "docs")
-    judged = worded.select("id", *COUNTS, failed.alias("base_failed"), (~failed & within).alias("kept"))
-    wordless = measured.where("n_words = 0").select("id", *COUNTS, F.lit(True).alias("base_failed"), F.lit(False).alias("kept"))
-    return judged.unionByName(wordless).withColumnRenamed("id", doc_id)
+    fit = split_join(measured.where(~failed), stored(limits, "limits"), ["lang", "source"], "docs")
+    judged = fit.select("id", *COUNTS, F.lit(False).alias("base_failed"), within.alias("kept"))
+    rest = measured.where(failed).select("id", *COUNTS, F.lit(True).alias("base_failed"), F.lit(False).alias("kept"))
+    return judged.unionByName(rest).withColumnRenamed("id", doc_id)
