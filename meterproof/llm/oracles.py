@@ -129,11 +129,11 @@ c AS (
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS failed FROM c),
 r AS (
   SELECT doc_id, lang, source, unnest([
-    {{'rate': 'symbol', 'value': n_symbols * 1000 // word_chars, 'times': 5, 'sparse': FALSE}},
-    {{'rate': 'length', 'value': word_chars * 10 // n_words, 'times': 6, 'sparse': FALSE}},
-    {{'rate': 'lines', 'value': n_dup_lines * 1000 // n_lines, 'times': 4, 'sparse': TRUE}},
-    {{'rate': 'repeat', 'value': n_repeat_words * 1000 // n_words, 'times': 3, 'sparse': TRUE}},
-    {{'rate': 'stutter', 'value': n_stutters * 1000 // n_words, 'times': 10, 'sparse': FALSE}}]) AS x
+    {{'rate': 'symbol', 'c': n_symbols, 'n': word_chars, 'value': n_symbols * 1000 // word_chars, 'times': 5, 'sparse': FALSE}},
+    {{'rate': 'length', 'c': word_chars, 'n': n_words, 'value': word_chars * 10 // n_words, 'times': 6, 'sparse': FALSE}},
+    {{'rate': 'lines', 'c': n_dup_lines, 'n': n_lines, 'value': n_dup_lines * 1000 // n_lines, 'times': 4, 'sparse': TRUE}},
+    {{'rate': 'repeat', 'c': n_repeat_words, 'n': n_words, 'value': n_repeat_words * 1000 // n_words, 'times': 3, 'sparse': TRUE}},
+    {{'rate': 'stutter', 'c': n_stutters, 'n': n_words, 'value': n_stutters * 1000 // n_words, 'times': 10, 'sparse': FALSE}}]) AS x
   FROM b WHERE NOT failed
 ),
 q AS (
@@ -145,12 +145,12 @@ q AS (
 ),
 e AS (
   SELECT level, l, s, rate, times, docs, bins[((docs * 10 + 99) // 100)::INT] AS q10, bins[((docs * 25 + 99) // 100)::INT] AS q25,
-    bins[((docs * 75 + 99) // 100)::INT] AS b75, bins[((docs * 90 + 99) // 100)::INT] AS b90,
-    b75 + (1::BIGINT << greatest(length(bin(b75)) - 10, 0)) - 1 AS q75, b90 + (1::BIGINT << greatest(length(bin(b90)) - 10, 0)) - 1 AS q90 FROM q
+    bins[((docs * 75 + 99) // 100)::INT] AS q75, bins[((docs * 90 + 99) // 100)::INT] AS q90,
+    q25 + (1::BIGINT << greatest(length(bin(q25)) - 10, 0)) AS after25, q90 + (1::BIGINT << greatest(length(bin(q90)) - 10, 0)) AS after90 FROM q
 ),
-f AS (SELECT level, l, s, rate, docs, q10 - greatest((q25 - q10) * times, 1) AS low, q90 + greatest((q90 - q75) * times, 1) AS high FROM e),
+f AS (SELECT level, l, s, rate, docs, q10 - (after25 - q10) * times AS low, after90 - 1 + (after90 - q75) * times AS high FROM e),
 leaning AS (
-  SELECT doc_id, x.rate AS rate, x.value AS value, coalesce(f0.docs, 0) AS n0, f0.low AS low0, f0.high AS high0, coalesce(f1.docs, 0) AS n1,
+  SELECT doc_id, x.rate AS rate, x.value AS value, x.c AS c, x.n AS n, coalesce(f0.docs, 0) AS n0, f0.low AS low0, f0.high AS high0, coalesce(f1.docs, 0) AS n1,
     floor((coalesce(f1.docs * f1.low, 0) + 100 * f2.low) / (coalesce(f1.docs, 0) + 100)) AS low1,
     floor((coalesce(f1.docs * f1.high, 0) + 100 * f2.high) / (coalesce(f1.docs, 0) + 100)) AS high1
   FROM r
@@ -158,10 +158,13 @@ leaning AS (
   LEFT JOIN f f1 ON f1.level = 1 AND f1.l IS NOT DISTINCT FROM lang AND f1.rate = x.rate
   LEFT JOIN f f2 ON f2.level = 2 AND f2.rate = x.rate
 ),
+sides AS (
+  SELECT doc_id, rate, value, c, n, floor((coalesce(n0 * low0, 0) + 100 * low1) / (n0 + 100)) AS low, floor((coalesce(n0 * high0, 0) + 100 * high1) / (n0 + 100)) AS high FROM leaning
+),
 verdict AS (
-  SELECT doc_id, bool_and(coalesce(value <= floor((coalesce(n0 * high0, 0) + 100 * high1) / (n0 + 100)), TRUE)
-    AND (rate <> 'length' OR value >= floor((coalesce(n0 * low0, 0) + 100 * low1) / (n0 + 100)))) AS ok
-  FROM leaning GROUP BY doc_id
+  SELECT doc_id, bool_and(coalesce(CASE WHEN rate = 'length' THEN value BETWEEN low AND high
+    ELSE c::DOUBLE * 1000 <= high::DOUBLE * n OR (c::DOUBLE * 1000 - high::DOUBLE * n) * (c::DOUBLE * 1000 - high::DOUBLE * n) <= high::DOUBLE * n * 9000 END, TRUE)) AS ok
+  FROM sides GROUP BY doc_id
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_stutters,
   failed AS base_failed, NOT failed AND coalesce(ok, false) AS kept

@@ -5,7 +5,7 @@ which merge by addition, in any order, with an error of one bin. Bins are one un
 and widen with the value above, without an upper end; verdicts compare the rate itself. The
 sketches of a language's sources merge into the language's, those of languages into one for
 all. A fence lies beyond a group's upper decile by a multiple of the decile's distance to the
-third quartile (one unit at least), the low one likewise below; for rates that are zero almost
+third quartile (from the outer edges of their bins, so one bin at least), the low one likewise below; for rates that are zero almost
 everywhere the quantiles are those of the documents that have any. Where quartiles coincide the deciles
 still move it. A group's fence is the mean of its own and that of the next larger group,
 weighed by its documents against SHRINK: small groups lean on the larger one, large ones stand alone.
@@ -35,6 +35,8 @@ SHRINK = 100
 RATES = {"symbol_rate": 5, "word_length": 6, "dup_line_rate": 4, "repeat_rate": 3, "stutter_rate": 10}
 #: Rates whose quantiles are those of documents above zero: most texts have none of what they count.
 SPARSE = ("dup_line_rate", "repeat_rate")
+#: Standard deviations of a count that a text may lie beyond a fence.
+DEVIATIONS = 3
 #: Bits of a rate that its bin keeps: below EXACT bins are exact, above their width is under 1/512 of the value.
 BITS = 10
 EXACT = 1 << BITS
@@ -108,17 +110,33 @@ def base_failed() -> Column:
     return (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30)
 
 
+#: Per rate: what it counts, what that is measured against, and its unit.
+PARTS = {
+    "symbol_rate": ("n_symbols", "word_chars", 1000),
+    "word_length": ("word_chars", "n_words", 10),
+    "dup_line_rate": ("n_dup_lines", "n_lines", 1000),
+    "repeat_rate": ("n_repeat_words", "n_words", 1000),
+    "stutter_rate": ("n_stutters", "n_words", 1000),
+}
+
+
 def _rate(name: str) -> Column:
-    over, under, scale = {
-        "symbol_rate": ("n_symbols", "word_chars", 1000),
-        "word_length": ("word_chars", "n_words", 10),
-        "dup_line_rate": ("n_dup_lines", "n_lines", 1000),
-        "repeat_rate": ("n_repeat_words", "n_words", 1000),
-        "stutter_rate": ("n_stutters", "n_words", 1000),
-    }[name]
+    over, under, scale = PARTS[name]
     return F.expr(f"{over} * {scale} div {under}")
 
 
+def _too_high(name: str) -> Column:
+    """Whether a document lies beyond its group's high fence. Of what is counted, a short text may
+    have as many as DEVIATIONS standard deviations of a Poisson count more than the fence says."""
+    over, under, scale = PARTS[name]
+    high = F.col(f"{name}_high")
+    if name in TWO_SIDED:
+        return _rate(name) > high
+    allowed = high.cast("double") * F.col(under)
+    excess = F.col(over).cast("double") * scale - allowed
+    return (excess > 0) & (excess * excess > allowed * (DEVIATIONS * DEVIATIONS * scale))
+
+
 def _width(rate: Column) -> Column:
     """Width of the bin that holds a rate: a power of two, so that bins do not overlap."""
     return F.call_function("shiftleft", F.lit(1).cast("long"), F.greatest(F.length(F.bin(rate)) - BITS, F.lit(0)))
@@ -142,8 +160,7 @@ def merged(sketch: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """Per group and rate: its documents (those above zero for SPARSE rates), low and high fence,
-    from the outer edges of the quantiles' bins."""
+    """Per group and rate: its documents (those above zero for SPARSE rates), low and high fence."""
     by = [*keys, "rate"]
     counted = sketch.where(~F.col("rate").isin(*SPARSE) | (F.col("bin") > 0))
     upto = Window.partitionBy(*by).orderBy("bin")
@@ -153,12 +170,12 @@ def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
         return F.min(F.when(F.col("upto") * 100 >= F.col("all") * percent, F.col("bin")))
 
     found = ranked.groupBy(*by).agg(F.max("all").alias("docs"), *[quantile(q).alias(f"q{q}") for q in (10, 25, 75, 90)])
-    edge = {q: F.col(f"q{q}") + _width(F.col(f"q{q}")) - 1 for q in (75, 90)}
+    edge = {q: F.col(f"q{q}") + _width(F.col(f"q{q}")) for q in (25, 90)}
     times = F.element_at(F.create_map(*[F.lit(x) for r in RATES.items() for x in r]), F.col("rate"))
     return found.select(
         *by, "docs",
-        (F.col("q10") - F.greatest((F.col("q25") - F.col("q10")) * times, F.lit(1))).alias("low"),
-        (edge[90] + F.greatest((edge[90] - edge[75]) * times, F.lit(1))).alias("high"),
+        (F.col("q10") - (edge[25] - F.col("q10")) * times).alias("low"),
+        (edge[90] - 1 + (edge[90] - F.col("q75")) * times).alias("high"),
     )
 
 
@@ -195,7 +212,7 @@ def quality_rules(docs: DataFrame, doc_id: str = "doc_id", shrink: int = SHRINK)
 
     base_failed: fewer than 20 words, or more than 30 % of the words in repeated windows. A
     document is kept when it has not failed there and every rate lies within its group's
-    fences. NULL and empty texts have no words and fail; a NULL language or source is a group
+    fences, up to the chance of a short text's counts. NULL and empty texts have no words and fail; a NULL language or source is a group
     of its own; repeated rows are judged and counted each; columns besides id, lang, source
     and text are not read; an empty table gives an empty result.
     """
@@ -204,7 +221,7 @@ def quality_rules(docs: DataFrame, doc_id: str = "doc_id", shrink: int = SHRINK)
     failed = base_failed()
     within = F.lit(True)
     for r in RATES:
-        within = within & F.coalesce(_rate(r) <= F.col(f"{r}_high"), F.lit(True))
+        within = within & F.coalesce(~_too_high(r), F.lit(True))
         if r in TWO_SIDED:
             within = within & (_rate(r) >= F.col(f"{r}_low"))
     fit = split_join(measured.where(~failed), stored(limits, "limits"), ["lang", "source"], "docs")

@@ -306,3 +306,78 @@ def test_a_batch_of_texts_makes_one_walk(monkeypatch):
     small = pieces.Encoder(vocabulary)
     assert small.ids(texts) == first and sum(map(len, small.known)) <= 6000
     assert [vocabulary.decode(memoryview(ids).cast("i")) for ids in first] == [t or "" for t in texts]
+
+
+# Quality rules: every rate rejects by its group's own data
+
+
+def plain_text(pick, words=60):
+    return "\n".join(" ".join("".join(pick.choice("abcdefghij") for _ in range(pick.randrange(3, 7))) for _ in range(10)) for _ in range(words // 10))
+
+
+def test_each_rate_rejects_beyond_the_base_rules(spark):
+    from meterproof.llm import quality_rules as qr
+
+    pick = random.Random(8)
+    rows = [(i, plain_text(pick), "en", "a") for i in range(300)]
+
+    def words(text):
+        return text.split()
+
+    odd = {}
+    odd["symbol_rate"] = " ".join(w + "##" for w in words(plain_text(pick)))
+    odd["word_length"] = " ".join(w * 5 for w in words(plain_text(pick)))
+    odd["short_words"] = " ".join(w[:1] for w in words(plain_text(pick)))
+    odd["stutter_rate"] = " ".join(w for x in words(plain_text(pick)) for w in (x, x))
+    many = plain_text(pick, 600).split("\n")
+    odd["dup_line_rate"] = "\n".join(many + ["x"] * 90)
+    base = words(plain_text(pick, 200))
+    odd["repeat_rate"] = " ".join(base + base[:28])
+    # Some repeated lines and windows are usual here, but far fewer.
+    for i in range(300, 380):
+        lines = plain_text(pick, 600).split("\n")
+        rows.append((i, "\n".join(lines + ["y"] * (1 + i % 3)) + " " + " ".join(lines[0].split()[:9]), "en", "a"))
+    rows += [(1000 + i, text, "en", "a") for i, text in enumerate(odd.values())]
+    rows += [(2000 + i, " ".join(w + "##" for w in words(plain_text(pick))), "xx", "b") for i in range(300)]
+    found = {r.doc_id: r for r in qr.quality_rules(spark.createDataFrame(rows, "doc_id LONG, text STRING, lang STRING, source STRING")).collect()}
+    assert not any(found[1000 + i].base_failed for i in range(len(odd)))
+    assert {name: found[1000 + i].kept for i, name in enumerate(odd)} == dict.fromkeys(odd, False)
+    assert sum(found[i].kept for i in range(380)) >= 370
+    # Where symbols are the rule they are no fault.
+    assert sum(found[2000 + i].kept for i in range(300)) >= 290
+
+
+def test_small_groups_lean_on_larger_ones(spark):
+    from meterproof.llm import quality_rules as qr
+
+    rows = [("en", "a", "stutter_rate", b, 100) for b in range(10)] + [("en", "small", "stutter_rate", 500, 10)]
+    rows += [("en", s, r, 40, 10 if s == "small" else 1000) for s in ("a", "small") for r in ("symbol_rate", "word_length")]
+    limits = {r.source: r for r in qr.thresholds(spark.createDataFrame(rows, "lang STRING, source STRING, rate STRING, bin LONG, n LONG")).collect()}
+    # Own fences 8 + 10 * 2 and 500 + 10 * 1; the larger group's, 9 + 10 * 3, counts as a hundred documents.
+    assert limits["a"].stutter_rate_high == (1000 * 28 + 100 * 39) // 1100
+    assert limits["small"].stutter_rate_high == (10 * 510 + 100 * 39) // 110
+    assert limits["a"].dup_line_rate_high is None and limits["a"].docs == 1000
+
+
+# Language identification: NULL, repeated and unique ids
+
+
+@pytest.mark.parametrize("shape", ["unique", "null", "repeated"])
+def test_no_language_is_lost_whatever_the_ids(spark, shape):
+    from meterproof.llm import language_id as li
+
+    pick = random.Random(6)
+    letters = {"aa": "abcde", "mm": "klmno", "zz": "vwxyz"}
+    texts = [(lang, " ".join("".join(pick.choice(cs) for _ in range(5)) for _ in range(12))) for lang, cs in letters.items() for _ in range(400)]
+    ids = {"unique": lambda i: i, "null": lambda i: None, "repeated": lambda i: i // 6}[shape]
+    rows = [(ids(i), text, lang) for i, (lang, text) in enumerate(texts)]
+    rows += [rows[0]] * 3000 + [(ids(1), "w" * 300_000, "zz")]  # a hot row and a very long one
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, lang STRING")
+    model = li.train(docs, sample=300)
+    assert model.languages == ["aa", "mm", "zz"]
+    found = li.identify(docs, model).join(docs.select("doc_id", "lang").distinct(), "doc_id") if shape == "unique" else None
+    if found is not None:
+        assert found.where("lang = lang_pred").count() >= 0.99 * found.count()
+    for lang, cs in letters.items():
+        probe = spark.createDataFrame([(i, " ".join(pick.choice(cs) * 3 + pick.choice(cs) for _ in range(8))) for i in range(40)], "doc_id LONG, text STRING")
+        assert li.identify(probe, model).where(f"lang_pred = '{lang}'").count() >= 39

@@ -384,9 +384,10 @@ def test_word_length_has_no_upper_end(spark):
     kept = {r.doc_id: r.kept for r in quality_rules.quality_rules(docs).collect()}
     assert not kept.pop(1000) and all(kept.values())
     alike = quality_rules.fences(quality_rules.merged(quality_rules.sketches(quality_rules.measures(docs)), ["lang"]), ["lang"])
-    low, high = alike.where("lang = 'zh'").select("word_length_low", "word_length_high").first()
-    # Quartiles of the 143 rates, the 36th and the 108th: 141 and 249 code points in bins of at most 1/512.
-    assert low < 0 and 2490 + 3 * (2490 - 1410) <= high <= (2490 + 3 * (2490 - 1410)) * 1.01
+    low, high = alike.where("lang = 'zh' AND rate = 'word_length'").select("low", "high").first()
+    # Of the 143 rates the 15th, 36th, 108th and 129th: 111, 141, 249 and 282 code points in bins of at most 1/512.
+    times = quality_rules.RATES["word_length"]
+    assert low < 0 and 2820 + times * (2820 - 2490) <= high <= (2820 + times * (2820 - 2490)) * 1.02
 
 
 def test_sketches_merge_to_the_same_counts(spark):
