@@ -33,6 +33,12 @@ def _session_results(context: DataFrame, frozen: DataFrame) -> DataFrame:
     )
 
 
+def session_results(requested: DataFrame, receipts: DataFrame, snapshots: DataFrame, frozen: DataFrame) -> DataFrame:
+    """Frozen results of usable executions counted per session and release: what `execution_summary`
+    and `session_bills` both start from. Store it once and give it to both."""
+    return _session_results(batch_context(requested, receipts, snapshots), frozen)
+
+
 def _checked(context: DataFrame, results: DataFrame) -> DataFrame:
     """The context with recounted totals and whether they agree with the snapshot."""
 
@@ -76,11 +82,11 @@ def _checked(context: DataFrame, results: DataFrame) -> DataFrame:
 
 
 def execution_summary(
-    requested: DataFrame, receipts: DataFrame, snapshots: DataFrame, frozen: DataFrame
+    requested: DataFrame, receipts: DataFrame, snapshots: DataFrame, frozen: DataFrame, results: DataFrame | None = None
 ) -> DataFrame:
     """One row per requested execution; counts and verdicts only when its evidence is trusted."""
     context = batch_context(requested, receipts, snapshots)
-    checked = _checked(context, _session_results(context, frozen))
+    checked = _checked(context, _session_results(context, frozen) if results is None else results)
     usable = F.col("usable")
     return checked.select(
         "execution_id",
@@ -103,11 +109,11 @@ def execution_summary(
 
 
 def session_bills(
-    requested: DataFrame, receipts: DataFrame, snapshots: DataFrame, frozen: DataFrame
+    requested: DataFrame, receipts: DataFrame, snapshots: DataFrame, frozen: DataFrame, results: DataFrame | None = None
 ) -> DataFrame:
     """Expected and reported amount per session and release of trusted executions."""
     context = batch_context(requested, receipts, snapshots)
-    results = _session_results(context, frozen)
+    results = _session_results(context, frozen) if results is None else results
     trusted = _checked(context, results).where("usable").select("execution_id")
     amounts = ("expected_amount", "actual_amount", "difference")
     return results.join(trusted, "execution_id", "left_semi").select(

@@ -127,7 +127,7 @@ class Chain:
 
     @cached_property
     def keys(self):
-        return ver.checked_keys(self.expected, self.sessions, self.actual, self.damaged)
+        return self.d.store("checked_keys", lambda: ver.checked_keys(self.expected, self.sessions, self.actual, self.damaged))
 
     @property
     def verdict_inputs(self):
@@ -135,7 +135,11 @@ class Chain:
 
     @cached_property
     def verdicts(self):
-        return ver.release_verdict(*self.verdict_inputs, self.damaged, at())
+        return self.d.store("verdicts", lambda: ver.release_verdict(*self.verdict_inputs, self.damaged, at()))
+
+    @cached_property
+    def results(self):
+        return self.d.store("session_results", lambda: rep.session_results(*self.attempt))
 
     @cached_property
     def lines(self):
@@ -665,14 +669,14 @@ _BUILDERS: dict[str, Callable[[Chain], DataFrame]] = {
     "check_execution": lambda c: evi.check_execution(c.d.requested, c.d.receipts, c.d.batch_snapshots),
     "check_batch_execution": lambda c: evi.check_batch_execution(c.d.requested, c.d.receipts, c.d.batch_snapshots),
     "snapshot_session_verdicts": lambda c: evi.snapshot_session_verdicts(*c.attempt),
-    "execution_summary": lambda c: times(rep.execution_summary(*c.attempt)),
-    "session_bills": lambda c: rep.session_bills(*c.attempt),
-    "bills_ranked": lambda c: rep.bills_ranked(rep.session_bills(*c.attempt)),
+    "execution_summary": lambda c: times(rep.execution_summary(*c.attempt, c.results)),
+    "session_bills": lambda c: rep.session_bills(*c.attempt, c.results),
+    "bills_ranked": lambda c: rep.bills_ranked(rep.session_bills(*c.attempt, c.results)),
     "bills_pivot": lambda c: rep.bills_pivot(c.d.frozen),
     "bills_complete": lambda c: rep.bills_complete(
-        rep.execution_summary(*c.attempt), rep.session_bills(*c.attempt)
+        rep.execution_summary(*c.attempt, c.results), rep.session_bills(*c.attempt, c.results)
     ),
-    "bills_filter": lambda c: rep.bills_filter(rep.session_bills(*c.attempt), "candidate", "FAIL"),
+    "bills_filter": lambda c: rep.bills_filter(rep.session_bills(*c.attempt, c.results), "candidate", "FAIL"),
     "execution_choices": lambda c: rep.execution_choices(c.d.receipts),
     "recent_attempts": lambda c: times(rep.recent_attempts(c.d.receipts.distinct())),
     "key_set_diff": _key_set_diff,
