@@ -381,3 +381,51 @@ def test_no_language_is_lost_whatever_the_ids(spark, shape):
     for lang, cs in letters.items():
         probe = spark.createDataFrame([(i, " ".join(pick.choice(cs) * 3 + pick.choice(cs) for _ in range(8))) for i in range(40)], "doc_id LONG, text STRING")
         assert li.identify(probe, model).where(f"lang_pred = '{lang}'").count() >= 39
+
+
+# Sharding: groups stay whole below a shard
+
+
+def test_groups_below_a_shard_stay_whole(spark):
+    from meterproof.llm import sharding
+
+    pick = random.Random(12)
+    rows = [(i, "".join(pick.choice("abcdef ") for _ in range(pick.randrange(5, 60)))) for i in range(3000)]
+    rows += [(10_000 + i, "x") for i in range(1500)] + [(20_000 + i, None) for i in range(200)] + [(30_000 + i, "y" * 900) for i in range(6)]
+    rows += [(40_000 + i, "huge text " * 30) for i in range(300)] + [rows[0]] * 5  # one group larger than two shards
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING")
+    found = sharding.shard(docs, shards=8).join(docs.distinct().withColumnRenamed("text", "t"), "doc_id").collect()
+    assert len(found) == len(rows)
+    total = sum(r.size for r in found)
+    shards, parts, sums = defaultdict(set), {}, Counter()
+    for r in found:
+        shards[r.t].add(r.shard)
+        parts[r.t] = r.group_parts
+        sums[r.shard] += r.size
+    size = Counter()
+    for r in found:
+        size[r.t] += r.size
+    for text, where in shards.items():
+        wanted = max(1, -(-size[text] * 8 // total))
+        assert parts[text] == wanted and len(where) <= wanted, text
+    assert {t for t, where in shards.items() if len(where) > 1} == {"huge text " * 30}
+    assert max(sums.values()) <= 1.03 * total / 8 and min(sums.values()) >= 0.97 * total / 8
+
+
+def test_packing_equals_brute_force():
+    import numpy as np
+    from meterproof.llm import sharding
+
+    random_ = np.random.default_rng(3)
+    demands = random_.integers(1, 1000, (200, 3)).astype(float)
+    demands[0] = [900, 5, 40_000]
+    shards = 7
+    room = [[1.0, 1.0, 1.0] for _ in range(shards)]
+    needs = demands / (demands.sum(axis=0) / shards)
+    wanted = [None] * len(needs)
+    for i in sorted(range(len(needs)), key=lambda i: (-needs[i][0], i)):
+        fitting = [k for k in range(shards) if room[k][0] >= needs[i][0] - 1e-12]
+        dots = {k: round(sum(w * n * r for w, n, r in zip(sharding.WEIGHTS, needs[i], room[k])), 12) for k in fitting} or {k: room[k][0] for k in range(shards)}
+        wanted[i] = min(dots, key=lambda k: (-dots[k], k))
+        room[wanted[i]] = [r - n for r, n in zip(room[wanted[i]], needs[i])]
+    assert sharding.pack(demands, shards).tolist() == wanted
