@@ -319,17 +319,21 @@ def _links(
 def one_of_each_group(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
     """The rows of `docs` with all their columns, one of each component of linked documents: that of
     the smallest (id, text hash), also where components share their smallest id or have NULL ids only. Documents without words all stay, NULL texts too; of rows that
-    repeat id and text and have words, one stays."""
+    repeat id and text and have words, one stays. Other columns may have any name."""
     found = stored(_links(docs, doc_id, **options), "links")
+    mark = "_"
+    while any(c.lower().startswith(mark) for c in docs.columns):
+        mark += "_"  # names of no column of `docs`
+    own, text, stay, known, of = (f"{mark}{name}" for name in ("id", "hash", "stays", "linked", "of"))
     here = F.struct(F.col(doc_id).alias("id"), "hash")
     grouped = found.where("n_links > 0").groupBy("root").agg(F.min(here).alias("stays"))
-    stays = grouped.select(F.col("stays.id").alias("_id"), F.col("stays.hash").alias("_hash"), F.lit(True).alias("_stays"))
-    linked = found.where("n_links > 0").select(F.col(doc_id).alias("_id"), F.col("hash").alias("_hash")).distinct()
-    chosen = linked.join(stays, linked["_id"].eqNullSafe(stays["_id"]) & (linked["_hash"] == stays["_hash"]), "left").select(
-        linked["_id"], linked["_hash"], F.coalesce("_stays", F.lit(False)).alias("_stays"), F.lit(True).alias("_linked")
+    stays = grouped.select(F.col("stays.id").alias(own), F.col("stays.hash").alias(text), F.lit(True).alias(stay))
+    linked = found.where("n_links > 0").select(F.col(doc_id).alias(own), F.col("hash").alias(text)).distinct()
+    chosen = linked.join(stays, linked[own].eqNullSafe(stays[own]) & (linked[text] == stays[text]), "left").select(
+        linked[own], linked[text], F.coalesce(stay, F.lit(False)).alias(stay), F.lit(True).alias(known)
     )
-    rows = docs.withColumn("_of", F.xxhash64("text"))
-    judged = rows.join(chosen.hint("merge"), rows[doc_id].eqNullSafe(chosen["_id"]) & (rows["_of"] == chosen["_hash"]), "left")
-    alone = judged.where("_linked IS NULL").select(*docs.columns)
-    kept = judged.where("_stays").dropDuplicates(["_id", "_hash"]).select(*docs.columns)
+    rows = docs.withColumn(of, F.xxhash64("text"))
+    judged = rows.join(chosen.hint("merge"), rows[doc_id].eqNullSafe(chosen[own]) & (rows[of] == chosen[text]), "left")
+    alone = judged.where(F.col(known).isNull()).select(*docs.columns)
+    kept = judged.where(stay).dropDuplicates([own, text]).select(*docs.columns)
     return alone.unionByName(kept)

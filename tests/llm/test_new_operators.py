@@ -429,3 +429,18 @@ def test_packing_equals_brute_force():
         wanted[i] = min(dots, key=lambda k: (-dots[k], k))
         room[wanted[i]] = [r - n for r, n in zip(room[wanted[i]], needs[i])]
     assert sharding.pack(demands, shards).tolist() == wanted
+
+
+# N-gram join: one row of each group, whatever the columns are called
+
+
+def test_survivors_keep_clashing_columns(spark):
+    from meterproof.llm import ngram_join
+
+    text = " ".join(f"word{i}" for i in range(40))
+    rows = [(i, t, i * 10, f"h{i}", True, "o", "r", "c") for i, t in enumerate([text, text, "other " + text, "alone in the world", None, ""])]
+    names = "doc_id LONG, text STRING, _id LONG, _hash STRING, _stays BOOLEAN, __of STRING, root STRING, class_id STRING"
+    docs = spark.createDataFrame(rows, names)
+    left = ngram_join.one_of_each_group(docs)
+    assert left.columns == docs.columns
+    assert sorted(tuple(r) for r in left.collect()) == sorted(rows[i] for i in (0, 3, 4, 5))
