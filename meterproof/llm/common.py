@@ -26,6 +26,12 @@ def lowered_words(text: str | None) -> list[bytes]:
     return WORD_BYTES.findall(text.encode("utf-8", "surrogatepass").translate(LOWER_ASCII)) if text else []
 
 
+def each_lowered_word(text: str | None) -> Iterator[bytes]:
+    """The same words one by one, for texts whose list of words would be large."""
+    folded = text.encode("utf-8", "surrogatepass").translate(LOWER_ASCII) if text else b""
+    return (found.group() for found in WORD_BYTES.finditer(folded))
+
+
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Bounds the rows of an Arrow batch, unless the session already asks for fewer."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -3,10 +3,13 @@
 import hashlib
 import random
 import re
+import subprocess
+import sys
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -338,6 +341,46 @@ def test_hits_against_brute_force(spark, awkward, nothing):
     assert decontamination.decontaminate(nothing, test).count() == 0
 
 
+def test_few_lookups_at_once_find_the_same(monkeypatch):
+    monkeypatch.setattr(decontamination, "LOOKUPS", 5)
+    rnd = random.Random(9)
+    prose = lambda n: " ".join(rnd.choices("a b c".split(), k=n))
+    items = [(str(i), prose(rnd.randint(1, 30))) for i in range(8)] + [("3", prose(20))]
+    texts = [f"{prose(20)} {items[i % 9][1]} {prose(5)}" for i in range(30)] + [None, "", "d"]
+    test = decontamination.Items()
+    for name, text in sorted(items):
+        test.add(name, text)
+    rows = pa.RecordBatch.from_arrays([pa.array(range(33), pa.int64()), pa.array(texts), pa.array([0] * 33, pa.int64())], ["id", "text", "hash"])
+    index = list(decontamination._indexing(test.numbers, 41)([rows]))
+    counts = np.bincount(index[0].column(3)[0].values.to_numpy(), index[0].column(4)[0].values.to_numpy(), len(test.numbers))
+    search = decontamination._searching(decontamination.Phrases.of(test, counts, 13, 4), len(counts), 40, 41)
+    found = [r for batch in search(index) for r in batch.to_pylist()]
+    assert [r["id"] for r in found] == list(range(33))
+    for r in found:
+        n, hit, names = brute_hits(texts[r["id"]], items)
+        assert (r["n_words"], sum(x["end"] - x["start"] for x in r["runs"]), r["items"]) == (n, hit, names)
+
+
+def test_a_whole_block_of_items_takes_under_500_mb():
+    code = """
+import random, resource
+import numpy as np
+from meterproof.llm import decontamination as d
+rnd, items, held = random.Random(1), d.Items(), 0
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+words = ["".join(rnd.choices("abcdefghij", k=rnd.randint(2, 9))) for _ in range(100_000)]
+while held < d.BLOCK_BYTES:
+    text = " ".join(rnd.choices(words, k=200))
+    items.add(str(held), text)
+    held += len(text)
+phrases = d.Phrases.of(items, np.ones(len(items.numbers), np.int64), 13, 4)
+kept = sum(x.nbytes for x in vars(phrases).values() if isinstance(x, np.ndarray))
+print(len(phrases.starts), kept / held, (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024)
+"""
+    n, times, peak = map(float, subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.split())
+    assert n > 2_000_000 and times < 6 and peak < 500
+
+
 def test_proximity_needs_all_words_within_the_span():
     a, b = np.array([0, 50, 100]), np.array([9, 61])
     assert decontamination.covering([a, b], 10).tolist() == [9]
