@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from meterproof.llm.common import in_arrow, ragged
-from meterproof.llm.token_counts import MODEL, SLICE, SPACE, units
+from meterproof.llm.token_counts import MODEL, SLICE, SPACE, check_units, units
 
 #: Characters of the units that a worker keeps the ids of, each unit counting OVERHEAD more; units
 #: over KEPT_LENGTH are encoded anew in each batch.
@@ -128,7 +128,9 @@ class Pieces:
 def pieces(path: str) -> Pieces:
     import sentencepiece
 
-    return Pieces(sentencepiece.SentencePieceProcessor(model_file=path))
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    check_units(model)
+    return Pieces(model)
 
 
 class Encoder:

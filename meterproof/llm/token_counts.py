@@ -6,7 +6,8 @@ the piece that a symbol would make with its right neighbour. In each round every
 its lowest-rank pair (the leftmost of equals), all units at the same time, and leaves the
 arrays when it has no pair left. What survives is counted: one token a piece, one a byte for a
 character the vocabulary lacks. A table from unit to count is kept between batches and is
-emptied when it has grown to its bound. There is no shuffle.
+emptied when its units have grown to a number of characters; long units are not kept. There is
+no shuffle.
 """
 
 from __future__ import annotations
@@ -31,7 +32,11 @@ EDGE = re.compile(f"(?<=[^{SPACE}]){SPACE}")
 NONE = np.int64(1) << 30
 # A unit over this length is merged with a queue: rounds over a flat array would cost its square.
 LONG_UNIT = 2048
-KNOWN_UNITS = 400_000
+#: Characters of the units whose counts a worker keeps, each unit counting OVERHEAD more; units
+#: over KEPT_LENGTH are counted anew in each batch.
+KNOWN_CHARACTERS, OVERHEAD, KEPT_LENGTH = 32_000_000, 40, 256
+#: Characters of the texts whose units are gathered for one call, about, and units of one round.
+GATHERED = 4_000_000
 ROUND_UNITS = 50_000
 SLICE = 1 << 20
 
@@ -54,6 +59,7 @@ class Merges:
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
+        check_units(model)
         size = model.get_piece_size()
         reserved = {i for i in range(size) if model.is_byte(i) or model.is_control(i) or model.is_unknown(i)}
         ids = {model.id_to_piece(i): i for i in range(size) if i not in reserved}
@@ -156,38 +162,71 @@ class Merges:
         return int(self.cost[[s for s in symbols if s >= 0]].sum())
 
 
+def check_units(model) -> None:
+    """Raises unless a model's tokens stay within units: no piece has a space mark after another
+    character, and texts are taken as they are but for marks instead of spaces."""
+    for i in range(model.get_piece_size()):
+        piece = model.id_to_piece(i)
+        if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i)) and EDGE.search(piece):
+            raise ValueError(f"piece {piece!r} crosses words, so texts cannot be cut before spaces")
+    probe = "  ①  ﬁ e\u0301\t\n\u3000A "
+    if model.normalize(probe) != SPACE + probe.replace(" ", SPACE):
+        raise ValueError("the model changes characters or spaces of texts before it cuts them")
+
+
 @lru_cache(maxsize=2)
 def merges(path: str) -> Merges:
     return Merges(path)
 
 
+class Counter:
+    """Counts batches of texts; remembers the counts of units."""
+
+    def __init__(self, table: Merges):
+        self.table, self.known, self.held = table, {}, 0
+
+    def counts(self, texts: list[str | None]) -> list[int]:
+        """Tokens of each text; one call for the new units of texts of about GATHERED characters."""
+        out, some, gathered = [], [], 0
+        for text in texts:
+            if text and len(text) > SLICE:
+                # A list of units at a time.
+                out += self._counted(some)
+                out.append(sum(self._of([words])[0] for words in units(text)))
+                some, gathered = [], 0
+                continue
+            some.append(text)
+            gathered += len(text or "")
+            if gathered >= GATHERED:
+                out += self._counted(some)
+                some, gathered = [], 0
+        return out + self._counted(some)
+
+    def _counted(self, texts: list[str | None]) -> list[int]:
+        return self._of([[word for words in units(text) for word in words] for text in texts])
+
+    def _of(self, lists: list[list[str]]) -> list[int]:
+        known = self.known
+        new = list(set().union(*lists) - known.keys())
+        known.update(zip(new, self.table.counts(new)))
+        sums = [sum(map(known.__getitem__, words)) for words in lists]
+        for word in new:
+            if len(word) > KEPT_LENGTH:
+                del known[word]
+            else:
+                self.held += len(word) + OVERHEAD
+        if self.held > KNOWN_CHARACTERS:
+            known.clear()
+            self.held = 0
+        return sums
+
+
 def _counting(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, known = merges(path), {}
-
-        def tokens(text: str | None) -> int:
-            total = 0
-            for words in units(text):
-                new = [word for word in set(words) if word not in known]
-                if len(known) + len(new) > KNOWN_UNITS:
-                    known.clear()
-                    new = list(set(words))
-                known.update(zip(new, table.counts(new)))
-                total += sum(map(known.__getitem__, words))
-            return total
-
+        counter = Counter(merges(path))
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            # One call for the units of all texts of the batch that are of usual length.
-            new = {word for text in texts if text and len(text) <= SLICE for words in units(text) for word in words} - known.keys()
-            if len(known) + len(new) > KNOWN_UNITS:
-                known.clear()
-            if len(new) <= KNOWN_UNITS:
-                new = list(new)
-                known.update(zip(new, table.counts(new)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array([tokens(text) for text in texts], pa.int64())], ["id", "n_bytes", "n_tokens"]
-            )
+            tokens = counter.counts(batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(tokens, pa.int64())], ["id", "n_bytes", "n_tokens"])
 
     return run
 
@@ -196,7 +235,8 @@ def token_counts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", mo
     """Per row of `docs`: its id, n_bytes (UTF-8), n_tokens and over_limit (n_tokens > `limit`).
 
     Tokens are those of the BPE SentencePiece file `model` without begin or end marks; the
-    strings of special tokens inside a text are ordinary text. NULL counts as empty: no bytes,
+    strings of special tokens inside a text are ordinary text. A file whose pieces cross words or
+    that normalises texts is refused. NULL counts as empty: no bytes,
     no tokens. Repeated rows are counted each, a NULL id stays NULL, columns besides id and
     text are not read (names may clash), and an empty table gives an empty result.
     """
