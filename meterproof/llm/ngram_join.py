@@ -225,21 +225,23 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) with the least node of its component, from edges (node, root); only nodes that are not their root.
 
     Alternates large-star and small-star steps; each round's edges are written, so a round
-    starts from files and a lost executor repeats one round at most.
+    starts from files and a lost executor repeats one round at most. A component with a large
+    share of all nodes has as many edges at one node: its rows are joined in place (`split_join`)
+    and are otherwise only grouped, which combines them before the shuffle.
     """
     edges = stored(edges.where("node <> root").select(F.greatest("node", "root").alias("node"), F.least("node", "root").alias("root")).distinct(), "edges")
     while True:
-        twice = edges.groupBy("node").count().where("count > 1").limit(1).count()
-        chained = edges.join(edges.select(F.col("node").alias("root")), "root", "left_semi").limit(1).count()
-        if not twice and not chained:
+        ends = edges.select("node", F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("root").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        degrees = ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+        if not degrees.where("up > 1 OR (up > 0 AND down > 0)").limit(1).count():
             return edges
         both = edges.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(edges.select(F.col("root").alias("a"), F.col("node").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("b")).select("a", F.least("a", "b").alias("low"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("node"), F.col("low").alias("root")).where("node <> root").distinct()
+        low = stored(both.groupBy("a").agg(F.min("b").alias("b"), F.count(F.lit(1)).alias("n")).select("a", F.least("a", "b").alias("low"), "n"), "low")
+        large = split_join(both.where("b > a"), low, ["a"], "n").select(F.col("b").alias("node"), F.col("low").alias("root")).where("node <> root").distinct()
         large = stored(large, "large")
-        least = large.groupBy("node").agg(F.min("root").alias("low"))
-        small = large.join(least, "node").select(F.col("root").alias("node"), F.col("low").alias("root")).where("node <> root")
-        edges = stored(small.unionByName(least.withColumnRenamed("low", "root")).distinct(), "edges")
+        least = stored(large.groupBy("node").agg(F.min("root").alias("low"), F.count(F.lit(1)).alias("n")), "least")
+        small = split_join(large, least, ["node"], "n").select(F.col("root").alias("node"), F.col("low").alias("root")).where("node <> root")
+        edges = stored(small.unionByName(least.select("node", F.col("low").alias("root"))).distinct(), "edges")
 
 
 def link_documents(
@@ -303,8 +305,8 @@ def _links(
         .select("cls", "least", "copies", F.coalesce("root", "cls").alias("root"), F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("partners", F.lit(0)).alias("partners"))
     )
     labelled = stored(labelled, "labelled")
-    named = labelled.groupBy("root").agg(F.min("least").alias("class_id"))
-    table = stored(labelled.join(named, "root").select("cls", "class_id", "copies", "links", "partners", "root"), "table")
+    named = labelled.groupBy("root").agg(F.min("least").alias("class_id"), F.count(F.lit(1)).alias("n"))
+    table = stored(split_join(labelled, named, ["root"], "n").select("cls", "class_id", "copies", "links", "partners", "root"), "table")
     worded = split_join(sketch.where("cls IS NOT NULL").select("id", "hash", "cls"), table, ["cls"], "copies")
     with_class = worded.select(
         "id", "hash", "class_id", F.col("copies").alias("n_copies"), (F.col("copies") - 1 + F.col("links")).alias("n_links"), F.col("partners").alias("n_partners"), "root"

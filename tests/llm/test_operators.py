@@ -54,6 +54,29 @@ def test_long_units_are_merged_alike_both_ways():
     assert table.counts(words) == [table._alone(w) for w in words]
 
 
+def test_known_units_are_bounded_by_their_characters(monkeypatch):
+    for name, value in (("KNOWN_CHARACTERS", 3000), ("GATHERED", 200), ("SLICE", 4000)):
+        monkeypatch.setattr(token_counts, name, value)
+    texts, counter = [*strange_texts(300), "word " * 3000, None], token_counts.Counter(token_counts.merges(PATH))
+    for start in range(0, len(texts), 20):
+        some = texts[start : start + 20]
+        assert counter.counts(some) == [len(LIBRARY.encode(t or "")) for t in some]
+        assert counter.held == sum(len(w) + token_counts.OVERHEAD for w in counter.known) <= 3000
+        assert max(map(len, counter.known), default=0) <= token_counts.KEPT_LENGTH
+
+
+@pytest.mark.parametrize("piece, normal", [("▁of▁the", str), ("▁the", str.lower), ("a", lambda t: " ".join(t.split()))])
+def test_models_that_cross_words_or_change_texts_are_refused(piece, normal):
+    class Model:
+        is_byte = is_control = is_unknown = staticmethod(lambda i: False)
+        get_piece_size = staticmethod(lambda: 1)
+        id_to_piece = staticmethod(lambda i: piece)
+        normalize = staticmethod(lambda text: ("▁" + normal(text)).replace(" ", "▁"))
+
+    with pytest.raises(ValueError):
+        token_counts.check_units(Model)
+
+
 # 2
 
 
@@ -269,6 +292,13 @@ def test_components_are_stars(spark):
     assert found == {**{i: 0 for i in range(1, 41)}, 101: 100, 102: 100}
 
 
+def test_a_hub_with_most_nodes_is_one_component(spark):
+    hub = spark.range(1, 20_001).selectExpr("id AS node", "CAST(20001 AS LONG) AS root")
+    found = ngram_join.components(hub.unionByName(spark.createDataFrame([(20001, 20002), (0, 20002), (30001, 30002)], "node LONG, root LONG")))
+    roots = found.groupBy("root").count().collect()
+    assert sorted(map(tuple, roots)) == [(0, 20002), (30001, 1)]
+
+
 def test_bands_meet_the_recall():
     bands, rows = ngram_join.choose_bands(0.8, 0.9999)
     assert 1 - (1 - 0.8**rows) ** bands >= 0.9999 and bands <= ngram_join.MAX_BANDS
