@@ -10,7 +10,7 @@ from meterproof.operators.expectations import ExpectationFailed, observed_write
 from meterproof.operators.landing import landing_audit, landing_integrity
 from meterproof.schemas import TABLES
 from meterproof.session import shared_dir
-from meterproof.sources.publish import part_states, publish_parts, write_manifest, write_parts
+from meterproof.sources.publish import part_states, publish_once, publish_parts, write_manifest, write_parts
 from meterproof.sources.tables import _checked, append_new, ensure_table, sync_runs
 from meterproof.streaming.landing import audited_landing_stream
 
@@ -133,3 +133,18 @@ def test_the_stream_keeps_its_audit(spark, root):
     assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, files.select(*whole.columns).collect()))
     sums = batches.agg(F.sum("invalid_record_hashes"), F.sum("missing_source_metadata"), F.sum("landed_rows")).first()
     assert tuple(sums) == (*landing_integrity(out).first(), 5) == (0, 0, 5)
+
+
+def test_published_lines_are_compressed_and_never_shuffled_to_find_strange_ones(spark, root):
+    batch = lines(spark, *[f"line {i}" for i in range(50)])
+    publish_parts(batch, f"{root}/parts", 4)
+    publish_once(batch, f"{root}/once")
+    for folder in ("parts/lines", "once"):
+        assert spark.read.text(f"{root}/{folder}").inputFiles() and all(f.endswith(".gz") for f in spark.read.text(f"{root}/{folder}").inputFiles())
+    # Under a threshold that no table meets: lines must not be dealt out by part to meet the parts that differ.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = part_states(batch, f"{root}/parts", 4)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin [part" in plan and "LeftSemi" in plan.split("BroadcastHashJoin [part")[1][:80]
