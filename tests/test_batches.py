@@ -170,3 +170,18 @@ def test_batches_are_evaluated_whole_or_not_at_all(spark, tmp_path, mode, passed
     }
     outcomes = {r.batch_id: (r.new_status, r.new_reason) for r in batch_outcomes(done.gate, done.violations).collect()}
     assert outcomes == {"a": ("SUCCEEDED", "Captured."), "b": ("FAILED", "2 violations, first kind: missing_session")}
+
+
+def test_stored_lines_hold_no_text_twice_and_payloads_come_back_whole(spark):
+    def odd(body):
+        body["note"] = 'ä "quoted" \\ \n   \U0001f600'
+
+    rows = lines(declared=2, body_change=odd)
+    found = batch.stored_lines(spark.createDataFrame(rows, LANDING))
+    assert not {"raw_record", "payload", "keys"} & set(found.columns)
+    events = batch.event_dedup(found)
+    assert "payload" not in events.columns
+    gate = batch.batch_gate(found, events, batch.batch_violations(found, events))
+    adapted = batch.batch_adapt(batch.batch_clean_events(events), gate, "code")["events_raw"]
+    wanted = {json.loads(text)["event_id"]: json.loads(text)["payload"] for text, *_ in rows}
+    assert {r.event_id: r.payload for r in adapted.collect()} == wanted
