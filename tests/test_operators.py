@@ -242,3 +242,27 @@ def test_one_key_may_own_most_rows(spark):
 def test_unreadable_lists_of_runs_name_none(spark):
     receipts = spark.createDataFrame([("1", '["a","b","a"]'), ("2", "[broken"), ("3", None)], "execution_id STRING, expected_run_ids_json STRING")
     assert sorted(map(tuple, evidence.expected_runs(receipts).collect())) == [("1", "a"), ("1", "b")]
+
+
+def test_checks_are_counted_per_session_and_releases_without_sorting(spark):
+    """Counts per session and release are shuffled, not one row per check; first problems sort no checks."""
+    from meterproof.operators import verdict
+
+    rows = [
+        ("r", "candidate", "s", "energy_match", "PASS"), ("r", "candidate", "s", "energy_match", "ODD"), ("r", "candidate", "s", None, "FAIL"),
+        ("r", "shadow", "s", "amount_match", None), ("r", "candidate", None, "new", "BLOCKED"),
+    ]
+    results = spark.createDataFrame(rows, "run_id STRING, release_role STRING, session_id STRING, assertion_id STRING, status STRING")
+    none = spark.createDataFrame([], "run_id STRING, session_id STRING, expected_energy_kwh DECIMAL(18,6), expected_amount DECIMAL(18,2), currency STRING, tariff_id STRING, tariff_valid_from TIMESTAMP, tariff_payload_hash STRING")
+    sessions = spark.createDataFrame([("r", "s", "Completed", None, None)], "run_id STRING, session_id STRING, status STRING, started_at TIMESTAMP, ended_at TIMESTAMP")
+    records = "run_id STRING, session_id STRING, release_role STRING, cdr_type STRING, country_code STRING, party_id STRING, cdr_id STRING, actual_energy_kwh DECIMAL(18,6), actual_duration_hours DECIMAL(18,6), actual_amount DECIMAL(18,6), currency STRING, tariff_id STRING, source_digest STRING"
+    keys = verdict.checked_keys(none, sessions, spark.createDataFrame([], records), results)
+    counted = ("required_assertions", "assertion_rows", "passed_assertions", "failed_assertions", "blocked_assertions", "invalid_assertions")
+    found = {(k.release_role, k.session_id, k.assertion_id): tuple(k[n] for n in counted) for k in keys.collect()}
+    assert len(found) == 17 and found["candidate", "s", "energy_match"] == (1, 2, 1, 0, 0, 1) and found["baseline", "s", "energy_match"] == (1, 0, 0, 0, 0, 0)
+    assert found["candidate", "s", None] == (0, 1, 0, 1, 0, 0) and found["shadow", "s", "amount_match"] == (0, 1, 0, 0, 0, 1)
+    assert found["candidate", None, "new"] == (0, 1, 0, 0, 1, 0)
+    plan = keys._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode(CASE WHEN") < plan.index("Aggregate [")
+    stored = spark.createDataFrame(keys.collect(), keys.schema)
+    assert "SortAggregate" not in verdict._by_release(stored)._jdf.queryExecution().executedPlan().toString()
