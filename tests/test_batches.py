@@ -185,3 +185,47 @@ def test_stored_lines_hold_no_text_twice_and_payloads_come_back_whole(spark):
     adapted = batch.batch_adapt(batch.batch_clean_events(events), gate, "code")["events_raw"]
     wanted = {json.loads(text)["event_id"]: json.loads(text)["payload"] for text, *_ in rows}
     assert {r.event_id: r.payload for r in adapted.collect()} == wanted
+
+
+def test_every_way_of_reading_a_line_gives_the_same_fields(spark, monkeypatch):
+    [(text, _, _, _), (later, _, _, _)] = lines(declared=1)[:2]
+
+    def written(document, body=None, **how):
+        body = json.loads(document["payload"]) if body is None else body
+        body = body if isinstance(body, str) else json.dumps(body, separators=(",", ":"))
+        return json.dumps({**document, "payload": body}, separators=(",", ":"), **how)
+
+    usual = [json.loads(text), json.loads(later)]
+    texts = [text, later, *[written(d, **how) for d in usual for how in ({}, {"sort_keys": True})]]
+    body = json.loads(usual[1]["payload"])
+    by_name = json.dumps(body, sort_keys=True, separators=(",", ":"))
+    texts += [written(usual[1], by_name), written(usual[1], by_name, sort_keys=True), text.replace('"seed": 42, ', "")]
+    texts += [written({**usual[1], "event_id": x}) for x in ("é", "a/b", "\x01\t\n", " ", "\x7f", "😀", "\\", '"', "", None, 7)]
+    texts += [written({**usual[1], "event_id": x}, ensure_ascii=False) for x in ("é", " ", "\x7f", "😀", "a\\u0001")]
+    plain = written(usual[1])
+    texts += [plain.replace('version":1', f'version":{x}') for x in ('"1"', "1.0", "1e0", "-0", "9" * 19, "9" * 40, "null", "[1]", "true")]
+    texts += [plain + x for x in (" ", "]", "}", ",", "\x00", '{"a":1}')] + [" " + plain, "﻿" + plain, plain[:-1], "", "[]", "1", "{}", None]
+    texts += [plain.replace('"run_id"', '"schema_version":1,"run_id"'), plain.replace("msg-", "\\u006dsg-"), plain.replace("msg-", "\\ud800"), plain.replace('"run_id"', "'run_id'")]
+    compact = json.dumps(body, separators=(",", ":"))
+    sample = body["meterValue"][0]["sampledValue"][0]
+    bodies = [
+        compact.replace(':500,', f":{x},") for x in ("null", '"5"', "5.0", "-5")
+    ] + [compact.replace('"value":1000', f'"value":{x}') for x in ("null", '"5"', "5.0", "-5", "1e3", "9" * 30)]
+    bodies += [compact.replace("00Z", x) for x in ("00.5Z", "00", "00+02:00", "00.1234567Z", "99Z")]
+    bodies += [compact + "]", compact.replace('"seqNo":1', '"seqNo":1,"seqNo":2'), compact.replace('"seqNo":1,', ""), "[]", "", "null", "7"]
+    for meters in ([], [{}], None, [{"timestamp": None, "sampledValue": [sample]}], *[
+        [{"timestamp": "2026-08-22T10:30:00Z", "sampledValue": found}]
+        for found in ([], None, [{}, sample], [sample, {}], [sample, sample], [{**sample, "value": None}, sample], [sample, {**sample, "value": 1.5}])
+    ]):
+        bodies.append({**body, "meterValue": meters})
+    texts += [written(usual[1], b) for b in bodies] + [written({**usual[1], "payload": 1}, compact).replace(json.dumps(compact), "1")]
+    landed = spark.createDataFrame([(t, sha(t or ""), f"{i}", T0) for i, t in enumerate(texts)], LANDING)
+    read = lambda: sorted(map(str, batch.batch_lines(landed).collect()))
+    quick = read()
+    paths = batch.batch_lines(landed).where("ok").count()
+    monkeypatch.setattr(batch, "LONG_DOCUMENT", 0)
+    by_kind = read()
+    monkeypatch.setattr(batch, "ENVELOPE_KIND", "none")
+    monkeypatch.setattr(batch, "EVENT_KINDS", ("none",))
+    assert quick == by_kind == read()
+    assert paths >= 8
