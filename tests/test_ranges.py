@@ -85,6 +85,39 @@ def test_sweep(spark, how, slices):
         sweep_validity(df, frame(spark, periods), ["run_id", "tariff_id"], "at", how="full")
 
 
+def test_pairs_of_one_instant_are_spread(spark):
+    """All sessions of one instant cover each other: their pairs are as many tasks' work, also where they share a slice."""
+    df = spark.createDataFrame([("r", "hot", day(5), i) for i in range(400)], "run_id STRING, tariff_id STRING, at TIMESTAMP, fact LONG")
+    periods = frame(spark, [("r", "hot", 5, 6, f"p{i}") for i in range(400)])
+    held = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for name, value in held.items():
+        spark.conf.set(name, value)
+    try:
+        got = sweep_validity(df, periods, ["run_id", "tariff_id"], "at", slices=1, cell=20)
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for name in held:
+            spark.conf.unset(name)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 400 * 400 and len(sizes) >= 4 and max(sizes) <= 400 * 200
+
+
+@pytest.mark.parametrize("cell", [1, 3, 1000])
+def test_cells_of_any_size(spark, cell):
+    periods = made_up(60, 90, 30, seed=5) + [("r", "t0", 3, 3, "empty"), ("r", "t0", 9, 3, "turned"), ("r", "hot", 95, 96, "late"), ("r", "late", 1, None, "open")]
+    facts = [("r", t, i % 97, i) for i, t in enumerate(["hot", "hot", "t0", "t1", "late"] * 40)] + [("r", None, 4, 900), ("r", "hot", None, 901), (None, "hot", 7, 902)]
+    df = spark.createDataFrame([(r, t, day(a), i) for r, t, a, i in facts], "run_id STRING, tariff_id STRING, at TIMESTAMP, fact LONG")
+    wanted = Counter()
+    for r, t, a, i in facts:
+        hits = [p for q, u, b, e, p in periods if (q, u) == (r, t) and t is not None and None not in (a, b) and b <= a and (e is None or a < e)]
+        wanted.update((i, p) for p in hits or [None])
+    got = sweep_validity(df, frame(spark, periods), ["run_id", "tariff_id"], "at", how="left", slices=3, cell=cell)
+    assert Counter((x.fact, x.payload) for x in got.collect()) == wanted
+    none = sweep_validity(df, frame(spark, periods).limit(0), ["run_id", "tariff_id"], "at", how="left", cell=cell).collect()
+    assert len(none) == len(facts) and not any(x.payload for x in none)
+    assert sweep_validity(df.limit(0), frame(spark, periods), ["run_id", "tariff_id"], "at", how="left", cell=cell).collect() == []
+
+
 def test_a_hot_key_lies_in_many_slices(spark):
     rows = in_ranges(frame(spark, made_up(2000, 4000, 40)), ["run_id", "tariff_id", "valid_from", "payload"], 8)
     sizes = [r["count"] for r in rows.where("tariff_id = 'hot'").groupBy("_slice").count().collect()]
